@@ -1,0 +1,19 @@
+"""Join helpers (J1, J2 live in their operators)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a side may hold to be broadcast on our own initiative. Larger sides are
+# left to the planner (sort-merge join, or an AQE runtime broadcast when the
+# shuffled size turns out small).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only after proving the side holds at most ``max_rows``
+    rows (a ``limit(max_rows + 1).count()`` job, which stops early). Otherwise
+    return ``df`` unchanged."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
