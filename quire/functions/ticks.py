@@ -25,7 +25,9 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 def decode_record(value: Column) -> Column:
     """A payload that is a JSON string literal (``"a,b,..."``) is
     unquoted; plain text passes through."""
-    return F.coalesce(F.get_json_object(value, "$"), value)
+    # Only quoted payloads go through the JSON reader: a failed JSON parse
+    # costs an exception per record.
+    return F.when(value.startswith('"'), F.coalesce(F.get_json_object(value, "$"), value)).otherwise(value)
 
 
 def tick_fields(line: Column) -> Column:

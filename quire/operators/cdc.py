@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.parallel import spread
+
 ROW_SCHEMA = "struct<id: int, first_name: string, last_name: string, email: string>"
 SOURCE_SCHEMA = (
     "struct<version: string, name: string, server_id: bigint, ts_sec: bigint, gtid: string, "
@@ -30,7 +32,7 @@ def cdc_decode(events: DataFrame, key_col: str = "key", value_col: str = "value"
     id comes from the key document, so deletes (null ``after``) keep it."""
     k = F.from_json(F.col(key_col).cast("string"), KEY_SCHEMA)["payload"]
     v = F.from_json(F.col(value_col).cast("string"), VALUE_SCHEMA)["payload"]
-    return events.select(
+    return spread(events).select(
         v["op"].alias("op"),
         F.coalesce(k["id"], v["after"]["id"], v["before"]["id"]).alias("id"),
         v["before"].alias("before"),

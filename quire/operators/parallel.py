@@ -1,0 +1,18 @@
+"""Input spreading before CPU-heavy per-row work."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the cluster's parallelism) when the input yields fewer splits - e.g. a
+    file written as one large row group, which Parquet cannot split. Used
+    before per-row parsing (regex splits, JSON decoding), where one task per
+    file would leave the other cores idle. A no-op for streams and for inputs
+    already split wider, which is the normal case at scale."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

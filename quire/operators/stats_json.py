@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.lookup import first_match, query_param
+from quire.operators.parallel import spread
 
 MESSAGE_SCHEMA = (
     "returndata struct<"
@@ -73,7 +74,7 @@ def flatten_statistics(messages: DataFrame, key_col: str = "key", value_col: str
     period, date, columnName, source). Measurements without data, or whose
     indicator has no (or an empty) name, are dropped (D19)."""
     rd = F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA)["returndata"]
-    parsed = messages.select(column_name(F.col(key_col).cast("string")).alias("columnName"), rd.alias("rd"))
+    parsed = spread(messages).select(column_name(F.col(key_col).cast("string")).alias("columnName"), rd.alias("rd"))
     zb = _dictionary(F.col("rd.wdnodes"), "zb")
     sj = _dictionary(F.col("rd.wdnodes"), "sj")
     rows = F.transform(

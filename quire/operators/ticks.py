@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import ticks as T
 from quire.operators.joins import broadcast_if_small
+from quire.operators.parallel import spread
 from quire.operators.ranking import global_row_number
 
 INDICATOR_SCHEMA = "key string, type string, value double, split string"
@@ -38,20 +39,23 @@ SHORT_SPAN = 12  # Fixed value: the fast EMA takes the first 12 values.
 def parse_ticks(df: DataFrame, value_col: str = "value", seq_col: str | None = None) -> DataFrame:
     """Decode records (plain or JSON-quoted), split into fields and keep the
     valid ones. Adds ``key``, ``fields``, ``event_time`` and ``seq`` (the
-    arrival order tie-break: ``seq_col`` if given, e.g. the Kafka offset)."""
-    line = T.decode_record(F.col(value_col).cast("string"))
-    out = df.select(
-        "*",
-        line.alias("record"),
-    ).withColumn("fields", T.tick_fields(F.col("record")))
-    out = out.filter(T.is_valid(F.col("fields")))
+    arrival order tie-break: ``seq_col`` if given, e.g. the Kafka offset).
+
+    Decoding and splitting happen once per record: the (record, fields) pair
+    is produced by a one-element ``explode``, whose output the optimizer does
+    not copy into the filters that follow (a plain projection would be
+    inlined into every pushed-down predicate and re-split per predicate)."""
     seq = F.col(seq_col) if seq_col else F.lit(None).cast("long")
+    decoded = spread(df).select(seq.alias("seq"), T.decode_record(F.col(value_col).cast("string")).alias("record"))
+    pair = F.array(F.struct(F.col("record"), T.tick_fields(F.col("record")).alias("fields")))
+    out = decoded.select("seq", F.explode(pair).alias("_t")).select("seq", "_t.record", "_t.fields")
+    out = out.filter(T.is_valid(F.col("fields")))
     return out.select(
         F.get(F.col("fields"), T.KEY_FIELD).alias("key"),
         "record",
         "fields",
         T.event_time(F.col("fields")).alias("event_time"),
-        seq.alias("seq"),
+        "seq",
     )
 
 
@@ -89,7 +93,7 @@ def feed_to_ticks(bodies: DataFrame, body_col: str = "body", day: str | None = N
     """Quote-feed response bodies to tick records: split on ``;``, take
     the third ``_`` piece, ``=`` to ``,``, drop quotes, keep records of more
     than 30 fields and (P14) whose field 31 equals ``day`` when given."""
-    entries = bodies.select(F.explode(T.body_lines(F.col(body_col))).alias("entry"))
+    entries = spread(bodies).select(F.explode(T.body_lines(F.col(body_col))).alias("entry"))
     recs = entries.select(T.entry_to_record(F.col("entry")).alias("record")).filter(F.col("record").isNotNull())
     recs = recs.withColumn("fields", T.tick_fields(F.col("record"))).filter(T.is_valid(F.col("fields")))
     if day is not None:
@@ -120,13 +124,17 @@ def short_ema_weight(r: Column, n: Column, span: int = SHORT_SPAN, latest: bool
 
 def ema_fold(values: Column) -> Column:
     """The sequential fold over an ordered array (streaming form, oracle for
-    the weighted sum)."""
+    the weighted sum). ``k`` rides in the accumulator: an outer expression
+    referenced inside the lambda would be re-evaluated for every element."""
     n = F.size(values)
-    k = _k(n)
+    init = F.struct(F.get(values, 0).alias("e"), _k(n).alias("k"))
     return F.aggregate(
         F.slice(values, 2, F.greatest(n - 1, F.lit(0))),
-        F.get(values, 0),
-        lambda acc, x: x * k + acc * (F.lit(1.0) - k),
+        init,
+        lambda acc, x: F.struct(
+            (x * acc["k"] + acc["e"] * (F.lit(1.0) - acc["k"])).alias("e"), acc["k"].alias("k")
+        ),
+        lambda acc: acc["e"],
     )
 
 

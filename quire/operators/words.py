@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import WORD_SEPARATOR, word_tokens
+from quire.operators.parallel import spread
 
 
 def words(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR) -> DataFrame:
     """One row per token, in the reference's flatMapValues form."""
-    return df.select(F.explode(word_tokens(F.col(text_col), pattern)).alias("word"))
+    return spread(df).select(F.explode(word_tokens(F.col(text_col), pattern)).alias("word"))
 
 
 def word_count(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR) -> DataFrame:

@@ -81,13 +81,10 @@ def tick_records_of(events: DataFrame) -> DataFrame:
     """F3 over an events DataFrame (batch or stream)."""
     ev = events.select("event_id", "ts", "user_id", "event_type", "value")
     fields = F.array(*_fields_from_events())
-    kept = F.when(F.col("event_id") % SHORT_MOD == 0, F.slice(fields, 1, 20)).otherwise(fields)
-    line = F.array_join(kept, ",")
-    quoted = F.concat(F.lit('"'), line, F.lit('"'))
-    return ev.select(
-        "event_id",
-        F.when(F.col("event_id") % 2 == 1, quoted).otherwise(line).alias("value"),
-    )
+    n = F.when(F.col("event_id") % SHORT_MOD == 0, F.lit(20)).otherwise(F.lit(34))
+    quote = F.when(F.col("event_id") % 2 == 1, F.lit('"')).otherwise(F.lit(""))
+    line = F.concat(quote, F.array_join(F.slice(fields, 1, n), ","), quote)
+    return ev.select("event_id", line.alias("value"))
 
 
 def feed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +92,8 @@ def feed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries joined by ``;``, one body per block of 64 event ids (bounded)."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     fields = _fields_from_events()
-    rest = F.array(*fields[1:])
-    rest = F.when(F.col("event_id") % SHORT_MOD == 0, F.slice(rest, 1, 19)).otherwise(rest)
+    n = F.when(F.col("event_id") % SHORT_MOD == 0, F.lit(19)).otherwise(F.lit(33))
+    rest = F.slice(F.array(*fields[1:]), 1, n)
     entry = F.concat(F.lit("var hq_str_"), F.col("event_type"), F.lit('="'), F.array_join(rest, ","), F.lit('"'))
     return (
         ev.select(F.floor(F.col("event_id") / FEED_BLOCK).alias("block"), "event_id", entry.alias("entry"))

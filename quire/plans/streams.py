@@ -21,7 +21,15 @@ MACD_WINDOW = ("780 minutes", "30 minutes")
 
 def _file_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     schema = load(spark, sf_dir, table).schema  # footer read only
-    return J.source(spark, "parquet", path=sf_dir, schema=schema, path_glob=f"{table}.parquet")
+    # The driver tables are single large files: spread each micro-batch.
+    return J.source(
+        spark,
+        "parquet",
+        path=sf_dir,
+        schema=schema,
+        path_glob=f"{table}.parquet",
+        spread_to=spark.sparkContext.defaultParallelism,
+    )
 
 
 def _run_to_memory(df: DataFrame, name: str, mode: str) -> str:

@@ -31,11 +31,14 @@ def source(
     starting: str = "earliest",
     max_files_per_trigger: int | None = None,
     path_glob: str | None = None,
+    spread_to: int | None = None,
 ) -> DataFrame:
     """One entry point for stream sources: ``kafka`` (text key/value
     pairs) or a file format (``parquet``, ``json``, ``csv``, ``text``) read
     from the folder ``path`` (optionally only files matching ``path_glob``)
-    with a declared schema."""
+    with a declared schema. ``spread_to`` round-robins each micro-batch over
+    that many tasks - for file streams made of few large, unsplittable files,
+    whose micro-batches would otherwise be parsed by one task each."""
     if kind == "kafka":
         return as_text_pairs(read_kafka_stream(spark, bootstrap, topic, starting))
     reader = spark.readStream.format(kind)
@@ -45,7 +48,8 @@ def source(
         reader = reader.option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    df = reader.load(path)
+    return df.repartition(spread_to) if spread_to else df
 
 
 def with_event_time(df: DataFrame, col: str = "ts", name: str = "event_time") -> DataFrame:
@@ -66,9 +70,10 @@ def macd_stream(values: DataFrame, window: str, slide: str, lateness: str, span:
     agg = (
         values.withWatermark("event_time", lateness)
         .groupBy("key", w.alias("w"))
-        .agg(F.array_sort(F.collect_list(F.struct("event_time", "seq", "x"))).alias("vals"))
+        .agg(F.sort_array(F.collect_list(F.struct("event_time", "seq", "x"))).alias("vals"))
+        .withColumn("xs", F.transform("vals", lambda v: v["x"]))
     )
-    xs = F.transform("vals", lambda v: v["x"])
+    xs = F.col("xs")
     return agg.select(
         "key",
         F.col("w.start").alias("window_start"),
