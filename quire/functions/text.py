@@ -19,8 +19,9 @@ def java_split(s: Column, pattern: str) -> Column:
     is kept when the text starts with a separator, trailing empty tokens are
     dropped, ``''`` gives ``['']`` and a text made only of separators gives
     ``[]``. Spark's ``split`` keeps trailing empties, so the trailing separator
-    run is stripped first."""
-    stripped = F.regexp_replace(s, f"(?:{pattern})\\z", "")
+    run is stripped first (a possessive repeat, so a separator run that is
+    not at the end is not retried in every split)."""
+    stripped = F.regexp_replace(s, f"(?:{pattern})++\\z", "")
     return F.when((s != F.lit("")) & (stripped == F.lit("")), F.array().cast("array<string>")).otherwise(
         F.split(stripped, pattern, -1)
     )
