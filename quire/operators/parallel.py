@@ -14,5 +14,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     already split wider, which is the normal case at scale."""
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df

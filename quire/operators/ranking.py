@@ -84,20 +84,35 @@ def quantile_ranks(n: int, probs: Sequence[float]) -> list[int]:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """Exact discrete quantiles of each column (nulls ignored). Only the
-    ``len(probs)`` picked values per column reach the driver."""
-    out: dict[str, list[float]] = {}
-    for c in cols:
-        vals = df.select(F.col(c).alias("_q_v")).filter(F.col("_q_v").isNotNull())
-        n = vals.count()
-        if n == 0:
-            out[c] = [float("nan")] * len(probs)
-            continue
-        ranks = quantile_ranks(n, probs)
-        ranked = global_row_number(vals, [F.col("_q_v").asc()], name="_q_r")
-        picked = {r["_q_r"]: r["_q_v"] for r in ranked.filter(F.col("_q_r").isin(sorted(set(ranks)))).collect()}
-        out[c] = [float(picked[r]) for r in ranks]
-    return out
+    """Exact discrete quantiles of each column (nulls ignored), all columns in
+    one distributed sort: the columns are stacked as (measure, value) rows and
+    ranked once; a measure's ranks start after the rows of the measures before
+    it. Only the picked values (``len(cols) * len(probs)``) reach the driver."""
+    stacked = (
+        df.select(
+            F.explode(
+                F.array(*[F.struct(F.lit(i).alias("m"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
+            ).alias("s")
+        )
+        .select("s.m", "s.v")
+        .filter(F.col("v").isNotNull())
+    )
+    counts = {r["m"]: r["n"] for r in stacked.groupBy("m").agg(F.count(F.lit(1)).alias("n")).collect()}
+    targets: dict[int, list[int]] = {}
+    base = 0
+    for i in range(len(cols)):
+        n = counts.get(i, 0)
+        targets[i] = [base + r for r in quantile_ranks(n, probs)] if n else []
+        base += n
+    wanted = sorted({r for rs in targets.values() for r in rs})
+    picked: dict[int, float] = {}
+    if wanted:
+        ranked = global_row_number(stacked, ["m", "v"], name="_q_r")
+        picked = {r["_q_r"]: r["v"] for r in ranked.filter(F.col("_q_r").isin(wanted)).collect()}
+    return {
+        c: ([float(picked[r]) for r in targets[i]] if targets[i] else [float("nan")] * len(probs))
+        for i, c in enumerate(cols)
+    }
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], rel_error: float) -> dict[str, list[float]]:

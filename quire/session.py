@@ -75,7 +75,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     context, so that ``DataFrame.checkpoint`` and streaming checkpoints work in
     tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
+        path = spark.conf.get(CHECKPOINT_CONF, None)
+        if not path:
+            raise RuntimeError(f"{CHECKPOINT_CONF} must be set on a remote session") from None
+        return path
     path = sc.getConf().get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(sc.applicationId)
     if not path:
         path = tempfile.mkdtemp(prefix="quire-ckpt-")
