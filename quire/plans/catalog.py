@@ -7,6 +7,7 @@ Defaults for the retail view (SURVEY §7.2): country AMERICA, invoices after
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -621,12 +622,13 @@ FORMATS_SQL = " UNION ALL ".join(
 
 def hive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K2: create a database and a table (with an array column) if
-    absent, append region rows, read the table back."""
+    absent, append region rows, read the table back. Each run uses a table of
+    its own, so repeated runs in one session do not append twice."""
     region = load(spark, sf_dir, "region")
     table = C.create_table(
         spark,
         "quire_db",
-        "region_copy",
+        f"region_copy_{uuid.uuid4().hex[:8]}",
         "r_regionkey INT, r_name STRING, name_parts ARRAY<STRING>",
         location=scratch_path(spark, "warehouse"),
     )
