@@ -107,7 +107,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     wanted = sorted({r for rs in targets.values() for r in rs})
     picked: dict[int, float] = {}
     if wanted:
-        ranked = global_row_number(stacked, ["m", "v"], name="_q_r")
+        # Equal values are interchangeable for the picked quantiles, so a
+        # random tie-break is safe; it lets the range bounds split a value
+        # repeated in a large share of the rows over several partitions.
+        spread_ties = stacked.withColumn("_q_t", F.rand(17))
+        ranked = global_row_number(spread_ties, ["m", "v", "_q_t"], name="_q_r")
         picked = {r["_q_r"]: r["v"] for r in ranked.filter(F.col("_q_r").isin(wanted)).collect()}
     return {
         c: ([float(picked[r]) for r in targets[i]] if targets[i] else [float("nan")] * len(probs))
