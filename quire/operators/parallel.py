@@ -11,7 +11,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     file written as one large row group, which Parquet cannot split. Used
     before per-row parsing (regex splits, JSON decoding), where one task per
     file would leave the other cores idle. A no-op for streams and for inputs
-    already split wider, which is the normal case at scale."""
+    already split wider, which is the normal case at scale.
+
+    Call it on a table scan: the partition count of a scan is known without
+    running anything, while asking a plan with shuffles for its RDD makes
+    adaptive execution run those shuffle stages ahead of time."""
     if df.isStreaming:
         return df
     try:

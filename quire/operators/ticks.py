@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import ticks as T
 from quire.operators.joins import broadcast_if_small
-from quire.operators.parallel import spread
 from quire.operators.ranking import global_row_number
 
 INDICATOR_SCHEMA = "key string, type string, value double, split string"
@@ -46,7 +45,7 @@ def parse_ticks(df: DataFrame, value_col: str = "value", seq_col: str | None = N
     not copy into the filters that follow (a plain projection would be
     inlined into every pushed-down predicate and re-split per predicate)."""
     seq = F.col(seq_col) if seq_col else F.lit(None).cast("long")
-    decoded = spread(df).select(seq.alias("seq"), T.decode_record(F.col(value_col).cast("string")).alias("record"))
+    decoded = df.select(seq.alias("seq"), T.decode_record(F.col(value_col).cast("string")).alias("record"))
     pair = F.array(F.struct(F.col("record"), T.tick_fields(F.col("record")).alias("fields")))
     out = decoded.select("seq", F.explode(pair).alias("_t")).select("seq", "_t.record", "_t.fields")
     out = out.filter(T.is_valid(F.col("fields")))
@@ -93,7 +92,7 @@ def feed_to_ticks(bodies: DataFrame, body_col: str = "body", day: str | None = N
     """Quote-feed response bodies to tick records: split on ``;``, take
     the third ``_`` piece, ``=`` to ``,``, drop quotes, keep records of more
     than 30 fields and (P14) whose field 31 equals ``day`` when given."""
-    entries = spread(bodies).select(F.explode(T.body_lines(F.col(body_col))).alias("entry"))
+    entries = bodies.select(F.explode(T.body_lines(F.col(body_col))).alias("entry"))
     recs = entries.select(T.entry_to_record(F.col("entry")).alias("record")).filter(F.col("record").isNotNull())
     recs = recs.withColumn("fields", T.tick_fields(F.col("record"))).filter(T.is_valid(F.col("fields")))
     if day is not None:

@@ -17,6 +17,7 @@ from quire.operators import aggregates as A
 from quire.operators import rfm as R
 from quire.operators import ticks as TK
 from quire.operators.cdc import cdc_apply, cdc_decode
+from quire.operators.parallel import spread
 from quire.operators.ranking import quantiles
 from quire.operators.stats_json import flatten_statistics
 from quire.operators.udfs import rfm_score_udf, split_with_udf
@@ -528,7 +529,7 @@ WHERE value >= 1.0 AND event_type IN ('click', 'view', 'purchase')
 
 
 def word_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(load(spark, sf_dir, "documents"), "text")
+    return word_count(spread(load(spark, sf_dir, "documents")), "text")
 
 
 _SEP = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+"

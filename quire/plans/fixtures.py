@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.joins import broadcast_if_small
+from quire.operators.parallel import spread
 from quire.sources.tables import load
 
 SHORT_MOD = 97
@@ -74,7 +75,7 @@ def _fields_from_events() -> list[Column]:
 def tick_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as tick records ``(event_id, value)``; value is the record
     text, plain or JSON-quoted."""
-    return tick_records_of(load(spark, sf_dir, "events"))
+    return tick_records_of(spread(load(spark, sf_dir, "events")))
 
 
 def tick_records_of(events: DataFrame) -> DataFrame:
@@ -154,7 +155,7 @@ def statistics_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """change events of a replicated ``customers``-like table built from
     orders, as (key, value) JSON documents with a Debezium-style envelope."""
-    return change_events_of(load(spark, sf_dir, "orders"))
+    return change_events_of(spread(load(spark, sf_dir, "orders")))
 
 
 def change_events_of(orders: DataFrame) -> DataFrame:

@@ -15,12 +15,13 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
 from check_oracles import rows_of  # noqa: E402
+from quire.operators.introspect import plan_text, schema_text  # noqa: E402
 from quire.plans import catalog  # noqa: E402
 from quire.sources.tables import TABLES, table_path  # noqa: E402
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df, "formatted")
 
 
 def test_clean_tx_pushdown_and_pruning(spark):
@@ -48,6 +49,13 @@ def test_aggregations_are_partial(spark):
     assert "collect_list" not in plan(catalog.macd_window(spark, SF_SMALL))
 
 
+def test_schema_and_conf(spark):
+    assert "|-- RFMScore: string" in schema_text(E.entry(spark))
+    spark.conf.set("spark.sql.shuffle.partitions", "5")  # K11
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
