@@ -32,8 +32,10 @@ def _file_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     )
 
 
-def _run_to_memory(df: DataFrame, name: str, mode: str) -> str:
-    """Run ``df`` into a memory sink (K6) and return the table name."""
+def run_to_memory(df: DataFrame, name: str, mode: str) -> str:
+    """K6: run ``df`` into a memory sink and return its table name. The
+    memory sink keeps the whole output in driver memory - a debugging sink for
+    small outputs; the registered queries below use file sinks instead."""
     spark = df.sparkSession
     qname = unique_name(name)
     writer = (
@@ -46,24 +48,50 @@ def _run_to_memory(df: DataFrame, name: str, mode: str) -> str:
     return qname
 
 
-def _to_memory(df: DataFrame, name: str, mode: str) -> DataFrame:
-    return df.sparkSession.table(_run_to_memory(df, name, mode))
+def _run_to_files(df: DataFrame, name: str) -> str:
+    """Append-mode output to the Parquet file sink (exactly-once through the
+    sink's commit log); returns the folder."""
+    spark = df.sparkSession
+    out = scratch_path(spark, name)
+    writer = (
+        df.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint_for(spark, name))
+    )
+    run_available_now(writer)
+    return out
+
+
+def _run_changelog(df: DataFrame, name: str) -> str:
+    """Update-mode output as a per-batch changelog (K7 on files)."""
+    spark = df.sparkSession
+    out = scratch_path(spark, name)
+    writer = (
+        df.writeStream.outputMode("update")
+        .foreachBatch(J.changelog_batch(out))
+        .option("checkpointLocation", checkpoint_for(spark, name))
+    )
+    run_available_now(writer)
+    return out
 
 
 def stream_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5 (file stand-in) + P5 + K6: key/value pairs into a memory table
-    queried by SQL (S9)."""
+    """S5 (file stand-in) + P5: the key/value stream appended to a table,
+    then queried by SQL through a view (S8, S9)."""
     ev = _file_stream(spark, sf_dir, "events")
     kv = ev.select(F.col("event_id").cast("string").alias("key"), F.col("event_type").alias("value"))
-    name = _run_to_memory(kv, "kv", "append")
-    return spark.sql(f"SELECT * FROM {name}")
+    view = unique_name("kv")
+    spark.read.parquet(_run_to_files(kv, "kv")).createOrReplaceTempView(view)
+    return spark.sql(f"SELECT * FROM {view}")
 
 
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4 + T6: running word count over the documents stream (complete mode;
-    update mode gives the changelog of K7)."""
+    """T4 + T6 + K7: running word count over the documents stream in update
+    mode; the changelog compacted to the current counts."""
     docs = _file_stream(spark, sf_dir, "documents")
-    return _to_memory(J.word_count_stream(docs, "text"), "word_count", "complete")
+    out = _run_changelog(J.word_count_stream(docs, "text"), "word_count")
+    return J.compact_changelog(spark, out, ["word"])
 
 
 def _tick_values_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,13 +104,14 @@ def stream_slide_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2 + T11: sliding 26-minute windows, watermark lateness 1 hour,
     append mode (only closed windows are emitted)."""
     stats = J.sliding_window_stats(_tick_values_stream(spark, sf_dir), "26 minutes", "1 minute", LATENESS)
-    return _to_memory(stats, "slide", "append")
+    return spark.read.parquet(_run_to_files(stats, "slide"))
 
 
 def stream_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B7 on a stream: MACD per closed window."""
     w, s = MACD_WINDOW
-    return _to_memory(J.macd_stream(_tick_values_stream(spark, sf_dir), w, s, LATENESS), "macd", "append")
+    macd = J.macd_stream(_tick_values_stream(spark, sf_dir), w, s, LATENESS)
+    return spark.read.parquet(_run_to_files(macd, "macd"))
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,11 +128,13 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B12 on a stream: change events (from the orders stream) applied to a
-    replica kept in state; returns the replica's live rows."""
+    """B12 on a stream: change events (from the orders stream) reduced to the
+    last change per key in state; the update-mode changelog is compacted and
+    deleted keys dropped."""
     orders = _file_stream(spark, sf_dir, "orders")
     changes = FX.change_events_of(orders)
-    latest = _to_memory(J.cdc_replica_stream(cdc_decode(changes)), "replica", "complete")
+    out = _run_changelog(J.cdc_replica_stream(cdc_decode(changes)), "replica")
+    latest = J.compact_changelog(spark, out, ["id"])
     return latest.filter(F.col("op") != F.lit("d")).select("after.*")
 
 

@@ -181,3 +181,13 @@ def test_foreach_batch_replay_is_idempotent(spark):
     assert spark.read.parquet(f"{out}/indexes").count() == 4 + 2
     assert spark.read.parquet(f"{out}/parameters").count() == 2 + 1
     assert spark.read.json(f"{out}/topic").count() == 4 + 2
+
+
+def test_memory_sink_queried_by_sql(spark):
+    from quire.plans.streams import run_to_memory
+
+    src = scratch_path(spark, "kv-src")
+    _write_json(spark, src, [("2018-01-01T00:00:00", str(v)) for v in range(1, 33)], "key string, value string")
+    kv = J.source(spark, "json", path=src, schema="key string, value string")
+    name = run_to_memory(kv, "kv", "append")
+    assert spark.sql(f"SELECT count(*) AS n, sum(CAST(value AS INT)) AS s FROM {name}").first() == (32, 528)
