@@ -178,17 +178,6 @@ def ema_by_key(values: DataFrame, span: int = SHORT_SPAN, digits: int = 6) -> Da
     )
 
 
-def _window_starts(t: Column, window_s: int, slide_s: int) -> Column:
-    """All sliding-window starts (epoch seconds) whose window holds ``t``:
-    the same assignment as ``F.window(t, window, slide)``."""
-    if window_s % slide_s:
-        raise ValueError("window must be a multiple of slide")
-    secs = F.unix_micros(t.cast("timestamp")) / F.lit(1_000_000)
-    last = F.floor(secs / slide_s) * slide_s
-    count = window_s // slide_s
-    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda j: (last - j * slide_s).cast("long"))
-
-
 def macd_windows(
     values: DataFrame,
     window: str = "26 minutes",
@@ -199,26 +188,48 @@ def macd_windows(
 ) -> DataFrame:
     """T2 + B7: per key and sliding event-time window, MACD = EMA(first
     ``span`` values) - EMA(all values); ``split`` is the time text of the
-    window's first record (the reference's row time)."""
+    window's first record (the reference's row time). Windows are those of
+    ``F.window(event_time, window, slide)``.
+
+    Every tick lies in ``m = window / slide`` windows. The window facts
+    (first rank, size, first time) are built from per-slide-bucket aggregates,
+    and each bucket carries the fixed-size list of its ``m`` windows; the ticks
+    then meet that list in a 1:1 join on (key, bucket) and are expanded to
+    their windows only after the join, feeding a partial aggregate. The ticks
+    are shuffled once, never ``m`` times."""
     window_s = _seconds(window)
     slide_s = _seconds(slide)
-    ranked = _ranked(values)
-    exploded = ranked.select(
-        "key", "event_time", "g", "x", F.explode(_window_starts(F.col("event_time"), window_s, slide_s)).alias("ws")
+    if window_s % slide_s:
+        raise ValueError("window must be a multiple of slide")
+    m = window_s // slide_s
+    secs = F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(1_000_000)
+    ranked = _ranked(values).withColumn("b", F.floor(secs / slide_s).cast("long"))
+    buckets = ranked.groupBy("key", "b").agg(
+        F.min("g").alias("bg"), F.count(F.lit(1)).alias("bn"), F.min("event_time").alias("bt")
     )
-    per_window = exploded.groupBy("key", "ws").agg(
-        F.min("g").alias("g0"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("event_time").alias("t0"),
+    # window starting at bucket wb covers buckets wb .. wb + m - 1
+    windows = (
+        buckets.select("key", "bg", "bn", "bt", F.explode(F.sequence(F.col("b") - (m - 1), F.col("b"))).alias("wb"))
+        .groupBy("key", "wb")
+        .agg(F.min("bg").alias("g0"), F.sum("bn").alias("n"), F.min("bt").alias("t0"))
     )
-    joined = exploded.join(per_window, ["key", "ws"])
-    r = F.col("g") - F.col("g0")
-    n = F.col("n")
-    agg = joined.groupBy("key", "ws", "n", "t0").agg(
+    per_bucket = (
+        windows.select(
+            "key",
+            F.struct("wb", "g0", "n", "t0").alias("w"),
+            F.explode(F.sequence(F.col("wb"), F.col("wb") + (m - 1))).alias("b"),
+        )
+        .groupBy("key", "b")
+        .agg(F.collect_list("w").alias("ws"))  # exactly m windows per bucket
+    )
+    exploded = ranked.join(per_bucket, ["key", "b"]).select("g", "x", "key", F.explode("ws").alias("w"))
+    r = F.col("g") - F.col("w.g0")
+    n = F.col("w.n")
+    agg = exploded.groupBy("key", F.col("w.wb").alias("wb"), n.alias("n"), F.col("w.t0").alias("t0")).agg(
         F.sum(F.col("x") * ema_weight(r, n)).alias("ema_all"),
         F.sum(F.col("x") * short_ema_weight(r, n, span, latest)).alias("ema_short"),
     )
-    start = F.timestamp_seconds(F.col("ws"))
+    start = F.timestamp_seconds(F.col("wb") * slide_s)
     return agg.select(
         "key",
         start.alias("window_start"),
