@@ -251,15 +251,43 @@ def _seconds(d: str) -> int:
 # ------------------------------------------------------- window aggregates
 
 
-def window_stats(values: DataFrame, window: str, slide: str | None = None) -> DataFrame:
+def window_stats(values: DataFrame, window: str, slide: str | None = None, prebucket: bool = True) -> DataFrame:
     """Tick count and exact value total per key and event-time window
-    (tumbling without ``slide``). Totals are summed in integer hundredths."""
+    (tumbling without ``slide``). Totals are summed in integer hundredths.
+
+    Sliding windows (``window`` a multiple of ``slide``) are rolled up from
+    per-slide-bucket partial results: each tick is aggregated once into its
+    bucket, and only the bucket rows are expanded to the ``window / slide``
+    windows holding them, instead of every tick. ``prebucket=False`` keeps
+    Spark's own window expansion (needed on streams, where the window column
+    carries the watermark)."""
+    cents = F.round(F.col("x") * 100).cast("long")
+    ws, ss = _seconds(window), (_seconds(slide) if slide else None)
+    if prebucket and ss and ws % ss == 0 and ws > ss:
+        m = ws // ss
+        secs = F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(1_000_000)
+        per_bucket = values.groupBy("key", F.floor(secs / ss).cast("long").alias("b")).agg(
+            F.count(F.lit(1)).alias("bn"), F.sum(cents).alias("bc")
+        )
+        rolled = (
+            per_bucket.select("key", "bn", "bc", F.explode(F.sequence(F.col("b") - (m - 1), F.col("b"))).alias("wb"))
+            .groupBy("key", "wb")
+            .agg(F.sum("bn").alias("n"), F.sum("bc").alias("_c"))
+        )
+        start = F.timestamp_seconds(F.col("wb") * ss)
+        return rolled.select(
+            "key",
+            start.alias("window_start"),
+            (start + F.expr(f"INTERVAL {ws} SECONDS")).alias("window_end"),
+            "n",
+            (F.col("_c").cast("double") / F.lit(100.0)).alias("total"),
+        )
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     return (
         values.groupBy("key", w.alias("w"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.round(F.col("x") * 100).cast("long")).alias("_c"),
+            F.sum(cents).alias("_c"),
         )
         .select(
             "key",

@@ -59,7 +59,7 @@ def with_event_time(df: DataFrame, col: str = "ts", name: str = "event_time") ->
 def sliding_window_stats(values: DataFrame, window: str, slide: str | None, lateness: str) -> DataFrame:
     """T2/T3 + T11: per key and window, count and exact total, emitted in
     append mode once the watermark passes the window end."""
-    return TK.window_stats(values.withWatermark("event_time", lateness), window, slide)
+    return TK.window_stats(values.withWatermark("event_time", lateness), window, slide, prebucket=False)
 
 
 def macd_stream(values: DataFrame, window: str, slide: str, lateness: str, span: int = TK.SHORT_SPAN) -> DataFrame:
