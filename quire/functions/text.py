@@ -14,17 +14,37 @@ WORD_SEPARATOR = r"(?U)\W+"
 WORD_SEPARATOR_EXPLICIT = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+"
 
 
+def _is_run_pattern(pattern: str) -> bool:
+    """A pattern ending in an unescaped greedy ``+``: its matches never touch,
+    so a limit -1 split has at most one empty token at each end."""
+    return pattern.endswith("+") and not pattern.endswith("\\+")
+
+
 def java_split(s: Column, pattern: str) -> Column:
     """Split like ``java.util.regex.Pattern.split(s)``: a leading empty token
     is kept when the text starts with a separator, trailing empty tokens are
     dropped, ``''`` gives ``['']`` and a text made only of separators gives
-    ``[]``. Spark's ``split`` keeps trailing empties, so the trailing separator
-    run is stripped first (a possessive repeat, so a separator run that is
-    not at the end is not retried in every split)."""
-    stripped = F.regexp_replace(s, f"(?:{pattern})++\\z", "")
-    return F.when((s != F.lit("")) & (stripped == F.lit("")), F.array().cast("array<string>")).otherwise(
-        F.split(stripped, pattern, -1)
-    )
+    ``[]``. Spark's ``split`` (limit -1) keeps trailing empties, so they are
+    trimmed with array functions afterwards - no second regex pass.
+
+    The result refers to the split more than once; on large texts project the
+    split into a column first and use ``java_trim`` (see ``words``)."""
+    return java_trim(F.split(s, pattern, -1), s, pattern)
+
+
+def java_trim(parts: Column, s: Column, pattern: str) -> Column:
+    """Java's trailing-empty rule applied to a limit -1 split ``parts`` of ``s``."""
+    n = F.size(parts)
+    empty = F.array().cast("array<string>")
+    if _is_run_pattern(pattern):
+        trimmed = F.when(F.element_at(parts, -1) == F.lit(""), F.slice(parts, 1, n - 1)).otherwise(parts)
+        only_sep = (n == 2) & (F.element_at(parts, 1) == F.lit("")) & (F.element_at(parts, 2) == F.lit(""))
+        kept = F.when(only_sep, empty).otherwise(trimmed)
+    else:
+        # 1-based position, from the end, of the last non-empty token (0: none)
+        last = F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), True)
+        kept = F.when(last == 0, empty).otherwise(F.slice(parts, 1, n - last + 1))
+    return F.when(s == F.lit(""), F.array(F.lit(""))).otherwise(kept)
 
 
 def word_tokens(s: Column, pattern: str = WORD_SEPARATOR) -> Column:

@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the cluster's parallelism) when the input yields fewer splits - e.g. a
-    file written as one large row group, which Parquet cannot split. Used
-    before per-row parsing (regex splits, JSON decoding), where one task per
-    file would leave the other cores idle. A no-op for streams and for inputs
-    already split wider, which is the normal case at scale.
+    """Hash-distribute the rows over ``min_partitions`` tasks (default: the
+    cluster's parallelism) when the input is made of fewer files than that.
 
-    Call it on a table scan: the partition count of a scan is known without
-    running anything, while asking a plan with shuffles for its RDD makes
-    adaptive execution run those shuffle stages ahead of time."""
+    A Parquet file written as one large row group is read by one task, however
+    many byte ranges Spark cuts it into, so the split count says nothing; the
+    file count does. Used before per-row parsing (regex splits, JSON), where
+    one task per file would leave the other cores idle. A no-op for streams
+    and for inputs of many files, the normal case at scale.
+
+    Call it on a table scan, after selecting the columns the job needs (the
+    hash reads every column of ``df``); the file list of a scan is known
+    without running anything.
+    The rows are hashed on their content, not dealt round-robin: a round-robin
+    repartition followed by another shuffle is dropped by the optimizer."""
     if df.isStreaming:
         return df
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        files = len(df.inputFiles())
+    except Exception:  # noqa: BLE001 - no file list (e.g. not a file scan): leave as is
+        return df
+    if files == 0 or files >= target:
         return df
-    return df.repartition(target) if current < target else df
+    return df.repartition(target, F.xxhash64(*[F.col(c) for c in df.columns]))

@@ -10,12 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import WORD_SEPARATOR, word_tokens
+from quire.functions.text import WORD_SEPARATOR, java_trim
 
 
 def words(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR) -> DataFrame:
-    """One row per token, in the reference's flatMapValues form."""
-    return df.select(F.explode(word_tokens(F.col(text_col), pattern)).alias("word"))
+    """One row per token, in the reference's flatMapValues form (X13: lower,
+    Java-style split). The regex split is projected once into a column and
+    the trailing-empty rule applied to that column, so each text is split
+    exactly once."""
+    lowered = df.select(F.lower(F.col(text_col)).alias("_s"))
+    parts = lowered.select("_s", F.split(F.col("_s"), pattern, -1).alias("_p"))
+    return parts.select(F.explode(java_trim(F.col("_p"), F.col("_s"), pattern)).alias("word"))
 
 
 def word_count(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR) -> DataFrame:

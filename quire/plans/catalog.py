@@ -529,7 +529,7 @@ WHERE value >= 1.0 AND event_type IN ('click', 'view', 'purchase')
 
 
 def word_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(spread(load(spark, sf_dir, "documents")), "text")
+    return word_count(spread(load(spark, sf_dir, "documents").select("text")), "text")
 
 
 _SEP = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+"

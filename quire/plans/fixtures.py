@@ -75,7 +75,8 @@ def _fields_from_events() -> list[Column]:
 def tick_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as tick records ``(event_id, value)``; value is the record
     text, plain or JSON-quoted."""
-    return tick_records_of(spread(load(spark, sf_dir, "events")))
+    ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return tick_records_of(spread(ev))
 
 
 def tick_records_of(events: DataFrame) -> DataFrame:
@@ -155,7 +156,8 @@ def statistics_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """change events of a replicated ``customers``-like table built from
     orders, as (key, value) JSON documents with a Debezium-style envelope."""
-    return change_events_of(spread(load(spark, sf_dir, "orders")))
+    cols = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    return change_events_of(spread(load(spark, sf_dir, "orders").select(*cols)))
 
 
 def change_events_of(orders: DataFrame) -> DataFrame:
