@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.joins import broadcast_if_small
+from quire.operators.parallel import spread
 from quire.sources.tables import load
 
 TX_COLUMNS = [
@@ -40,7 +41,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     orders_geo = orders.join(customer, orders.o_custkey == customer.c_custkey).join(geo, "c_nationkey")
-    lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
+    # spread: a lineitem stored as a few large row groups would otherwise be
+    # probed against the joins by one task per file (no-op for many files)
+    lineitem = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag"))
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     joined = lineitem.join(orders_geo, lineitem.l_orderkey == orders_geo.o_orderkey).join(
         part, lineitem.l_partkey == part.p_partkey
