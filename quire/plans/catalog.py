@@ -66,7 +66,7 @@ WHERE Country = '{COUNTRY}' AND Quantity > 0
 
 RFM_SQL = f"""
 SELECT CustomerID,
-       date_diff('day', max(CAST(InvoiceDate AS DATE)), DATE '{AS_OF}') AS Recency,
+       CAST(date_diff('day', max(CAST(InvoiceDate AS DATE)), DATE '{AS_OF}') AS INTEGER) AS Recency,
        count(*) AS Frequency,
        CAST(sum(CAST(round(UnitPrice * 100) AS BIGINT) * Quantity) AS DOUBLE) / 100.0 AS Monetary
 FROM ({CLEAN_SQL}) c GROUP BY CustomerID
@@ -505,7 +505,7 @@ def array_concat_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CONCAT_SQL = """
 SELECT event_type AS key, time_bucket(INTERVAL 26 MINUTE, date_trunc('second', ts), TIMESTAMP '1970-01-01') AS window_start,
-       count(*) AS n_items, array_to_string(list_sort(list(CAST(event_id AS VARCHAR))), ',') AS items
+       CAST(count(*) AS INTEGER) AS n_items, array_to_string(list_sort(list(CAST(event_id AS VARCHAR))), ',') AS items
 FROM events WHERE event_id % 97 <> 0 GROUP BY ALL
 """
 

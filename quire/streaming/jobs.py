@@ -78,7 +78,7 @@ def macd_stream(values: DataFrame, window: str, slide: str, lateness: str, span:
         "key",
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
-        F.size("vals").alias("n"),
+        F.size("vals").cast("long").alias("n"),
         F.lit("MACD").alias("type"),
         F.round(TK.macd_fold(xs, span), 6).alias("value"),
         F.date_format(F.get("vals", 0)["event_time"], "HH:mm:ss").alias("split"),

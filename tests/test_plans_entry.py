@@ -81,11 +81,19 @@ def duck():
     return con
 
 
+# Spark type name -> DuckDB type name, for the schema comparison.
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp": "TIMESTAMP",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
     rel = duck.sql(E.oracle_sql()[name])
+    stypes = {c.lower(): TYPES.get(t, t) for c, t in df.dtypes}
+    dtypes = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    assert stypes == dtypes
     a, ac = rows_of(df.columns, srows)
     b, bc = rows_of(rel.columns, rel.fetchall())
     assert ac == bc
