@@ -108,3 +108,13 @@ def test_top_fraction_and_exact_quantiles(spark):
     s = np.sort(np.array(vals))
     assert q == [float(s[int(np.ceil(p * len(s))) - 1]) for p in (0.25, 0.5, 0.75)]
     assert q == df.approxQuantile("v", [0.25, 0.5, 0.75], 0.0)
+
+
+def test_exact_quantiles_heavy_duplicates_and_nulls(spark):
+    rnd = random.Random(5)
+    vals = [0.0 if i % 3 == 0 else float(rnd.randint(1, 40)) for i in range(900)] + [None] * 50
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = exact_quantiles(df, ["v"], [0.1, 0.25, 0.5, 0.75, 1.0])["v"]
+    s = np.sort(np.array([v for v in vals if v is not None]))
+    assert got == [float(s[int(np.ceil(p * len(s))) - 1]) for p in (0.1, 0.25, 0.5, 0.75, 1.0)]
+    assert got == df.approxQuantile("v", [0.1, 0.25, 0.5, 0.75, 1.0], 0.0)
