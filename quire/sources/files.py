@@ -23,7 +23,7 @@ def csv_scan(
     header: bool = True,
     repartition: int | None = None,
 ) -> DataFrame:
-    """CSV with a header; a glob such as ``by-day/*.csv`` reads a folder
+    """CSV with a header; a glob such as ``daily/*.csv`` reads a folder
     of daily files. Types are inferred unless ``schema`` is given. P16: an
     explicit ``repartition`` count is a parameter, off by default (AQE sizes
     the shuffles that follow)."""
