@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quire.llm.ship import ship
 
@@ -14,6 +15,24 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document left after passages of 35 words that start
+    anywhere else are removed."""
+    from quire.llm.substring_dedup import dedup_substrings
+
+    return dedup_substrings(spark, _table(spark, sf_dir, "documents"), kept_as="sha256").withColumnRenamed("kept", "kept_sha256")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by regularised quadratic discriminants."""
+    from quire.llm import quality_classifier as Q
+
+    docs = _table(spark, sf_dir, "documents")
+    model = Q.learn(spark, docs, _table(spark, sf_dir, "labels"))
+    got = Q.quality_scores(spark, docs, model, carry=["doc_id"])
+    return got.select("doc_id", Q.held_out().alias("held_out"), "score", (F.col("score") >= Q.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 32k piece model."""
     from quire.llm.token_count import token_counts
@@ -21,6 +40,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the 49k word vocabulary and decoded again."""
+    from quire.llm.bpe_codec import encode
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encode(spark, _table(spark, sf_dir, "documents"), path, carry=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 1:2:3 weighted mix takes from every document."""
     from quire.llm.source_mix import mix
@@ -28,6 +55,14 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark, _table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document at a five-word shingle
+    similarity of 0.8."""
+    from quire.llm.ngram_join import similar_documents
+
+    return similar_documents(spark, _table(spark, sf_dir, "documents")).drop("leads")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rule counts and the calibrated n-gram verdict of every document."""
     from quire.llm.quality_rules import quality_rules
@@ -35,6 +70,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("probability")
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op8_source_mix, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_quality_classifier, op4_token_counts, op7_bpe_codec, op8_source_mix, op9_ngram_join,
+        op10_quality_rules,
+    )
+}
 
 ORACLES: dict[str, str] = {}
