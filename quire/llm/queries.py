@@ -40,6 +40,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every embedding at a cosine of 0.95."""
+    from quire.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by the 49k word vocabulary and decoded again."""
     from quire.llm.bpe_codec import encode
@@ -73,7 +80,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op2_quality_classifier, op4_token_counts, op7_bpe_codec, op8_source_mix, op9_ngram_join,
+        op1_substring_dedup, op2_quality_classifier, op4_token_counts, op6_embedding_dedup, op7_bpe_codec, op8_source_mix, op9_ngram_join,
         op10_quality_rules,
     )
 }
