@@ -40,6 +40,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    from quire.llm import pii
+
+    got = pii.find_spans(spark, _table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter(F.col("base")["k"], pii.is_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return got.select("doc_id", *counts, F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of every embedding at a cosine of 0.95."""
     from quire.llm.embedding_dedup import near_duplicates
@@ -80,7 +89,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op2_quality_classifier, op4_token_counts, op6_embedding_dedup, op7_bpe_codec, op8_source_mix, op9_ngram_join,
+        op1_substring_dedup, op2_quality_classifier, op4_token_counts, op5_pii, op6_embedding_dedup, op7_bpe_codec, op8_source_mix, op9_ngram_join,
         op10_quality_rules,
     )
 }
