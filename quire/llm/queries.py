@@ -33,6 +33,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", Q.held_out().alias("held_out"), "score", (F.col("score") >= Q.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-log-likelihood of every document."""
+    from quire.llm.lm_score import lm_scores
+
+    return lm_scores(spark, _table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 32k piece model."""
     from quire.llm.token_count import token_counts
@@ -89,8 +96,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_substring_dedup, op2_quality_classifier, op4_token_counts, op5_pii, op6_embedding_dedup, op7_bpe_codec, op8_source_mix, op9_ngram_join,
-        op10_quality_rules,
+        op1_substring_dedup, op2_quality_classifier, op3_lm_score, op4_token_counts, op5_pii, op6_embedding_dedup,
+        op7_bpe_codec, op8_source_mix, op9_ngram_join,        op10_quality_rules,
     )
 }
 
