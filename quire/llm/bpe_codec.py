@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.textarrays import text_column
+from quire.llm.textarrays import spare, text_column
 
 LEXICON_WORDS = 1 << 16  # bound of the lexicon; rarer words are merged
 LONGEST = 32  # bytes of a word in the lexicon
@@ -397,7 +397,7 @@ def encode(
     """
     lexicon = lexicon or build_lexicon(spark, docs, vocab_path, text_col)
     keep = [c for c in (docs.columns if carry is None else carry) if c not in outputs]
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    src = docs.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(spare(keep)))
     kinds = {"n_tokens": "long", "ids": "binary", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), *(f"{o} {kinds[o]}" for o in outputs)])
 

@@ -244,7 +244,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
     ``log_prob`` is the sum over all words of a whole text of the logarithm of
     their conditional probability (a bucket's is shared evenly by its distinct
     words). Null and empty texts have no words and 0 for both; equal texts score
-    alike; an empty table gives none; other columns aren't read. Training visits
+    alike to single precision; an empty table gives none; other columns aren't read. Training visits
     documents in the order of their partitions, so other partitions give slightly
     different weights.
     """

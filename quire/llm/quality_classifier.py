@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.textarrays import Texts, chunks, combine, text_column
+from quire.llm.textarrays import Texts, chunks, combine, spare, text_column
 
 THRESHOLD = 0.7
 SHRINK = 0.1  # share of the pooled covariance
@@ -220,7 +220,7 @@ def quality_scores(spark: SparkSession, docs: DataFrame, model: Discriminant, te
     """
     keep = [c for c in (docs.columns if carry is None else carry) if c != score_col]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias("t"))
+    src = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias(spare(keep)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     return src.mapInArrow(_score_rows(model, [*keep, score_col]), f"{schema}, `{score_col}` double")
 

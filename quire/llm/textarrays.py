@@ -48,6 +48,14 @@ def text_column(col: pa.Array | pa.ChunkedArray) -> pa.Array:
     return col.fill_null("") if col.null_count else col
 
 
+def spare(names: list[str]) -> str:
+    """A column name that isn't among the names."""
+    name = "text to read"
+    while name in names:
+        name += "_"
+    return name
+
+
 def chunks(col: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """(first row, rows) of pieces of about ``size`` bytes; a longer text is a
     piece of its own, never cut."""
