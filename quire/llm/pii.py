@@ -5,7 +5,7 @@ further, overlapping spans: obfuscated addresses, longer or shorter numbers,
 other separators. Each proposal is described by its format and context in a few
 small integers. Boosted trees of depth two are grown over counts of equal
 descriptions (so the work after one pass over the texts has a fixed bound):
-proposals that are base spans are positive, those that a check refused negative,
+proposals that are base spans are positive, those that fail their check negative,
 the rest negative with a low weight. On a held-out fifth the lowest score per
 kind that reaches the wanted precision is its threshold; a proposal above it is
 added if it meets no base span and no better proposal.
@@ -37,10 +37,16 @@ BASE = {
 }
 # High-recall generators; cheap tests tell which texts can hold a match.
 PROPOSE = {
-    "email": rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)*+",
-    "ip": r"(?:(?<![0-9.])|\G)[0-9]++(?:\.[0-9]++){2,}+|(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}",
-    "card": r"(?:(?<![0-9])|\G)[0-9](?:[\x20./-]?[0-9]){11,18}+",
-    "phone": r"(?:(?<![0-9])|\G)\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}+",
+    "email": (rf"(?:(?<![{_LOCAL}])|\G)[{_LOCAL}]++\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]++)*+",),
+    "ip": (r"(?:(?<![0-9.])|\G)[0-9]++(?:\.[0-9]++){2,}+|(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}",),
+    "card": (
+        r"(?:(?<![0-9])|\G)[0-9](?:[\x20./-]?[0-9]){11,18}+",
+        r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[\x20./-][0-9]{4}){2}[\x20./-][0-9]{1,4})(?![0-9])",
+    ),
+    "phone": (
+        r"(?:(?<![0-9])|\G)\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}+",
+        r"(?<![0-9])(?:\+?[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])",
+    ),
 }
 MAY_HOLD = {
     "email": r"@|\(at\)|\[at\]",
@@ -55,7 +61,7 @@ CONTEXT = (
     r"(?i)(?:\bip|host|server|addr|node)[^\n]{0,12}$",
     r"(?i)(?:version|\bv|license|no|date|token|id)[^\n]{0,4}$",
 )
-FEATURES = 10
+FEATURES = 11
 TREES, RATE, UNLABELLED, PRECISION = 10, 0.4, 0.3, 0.9
 CARD_DIGITS, PHONE_DIGITS = (13, 19), (9, 15)
 
@@ -123,7 +129,7 @@ def _char_class(c: Column) -> Column:
 def describe(kind: int, x: Column) -> Column:
     """FEATURES small integers of a proposal: the kind, digits, other
     characters, groups of digits, characters before and after, words before,
-    first character, separators, and the at sign."""
+    first character, separators, the at sign, and the kind's check."""
     m, d = x["m"], F.length(_digits(x["m"]))
     context = reduce(lambda acc, i: F.when(x["before"].rlike(CONTEXT[i]), i + 1).otherwise(acc), range(len(CONTEXT) - 1, -1, -1), F.lit(0))
     marks = sum((F.when(F.contains(m, F.lit(c)), 1 << i).otherwise(0) for i, c in enumerate(". -:")), F.lit(0))
@@ -133,6 +139,7 @@ def describe(kind: int, x: Column) -> Column:
         _char_class(F.left(x["after"], F.lit(1))), context,
         F.when(m.startswith("+"), 1).when(m.startswith("("), 2).when(m.rlike("^[0-9]"), 3).when(m.rlike("^[A-Za-z]"), 4).otherwise(5),
         marks, F.when(F.contains(m, F.lit("@")), 1).when(m.rlike(r"[(\[]at[)\]]"), 2).otherwise(0),
+        F.when(checked(KINDS[kind], m), 1).otherwise(0),
     ]
     return F.array(*[p.cast("int") for p in parts])
 
@@ -155,13 +162,16 @@ def _base_spans(k: int) -> Column:
     return F.transform(good, lambda x: F.struct(F.lit(k).alias("k"), x["s"].alias("s"), _end(x).alias("e")).cast(SPAN))
 
 
-def _described(k: int) -> Column:
+def _described(k: int, i: int) -> Column:
+    """The i-th generator's proposals of a kind: positive if a base span, negative
+    if it fails the check itself, else unlabelled."""
+
     def row(x: Column) -> Column:
-        same = F.filter(F.col(f"h{k}"), lambda h: (h["s"] < _end(x)) & (_end(h) > x["s"]))
-        y = F.when(F.exists(same, lambda h: h["ok"]), 1).when(F.size(same) > 0, 0)
+        base = F.exists(F.col(f"h{k}"), lambda h: h["ok"] & (h["s"] == x["s"]) & (_end(h) == _end(x)))
+        y = F.when(base, 1).when(~checked(KINDS[k], x["m"]), 0)
         return F.struct(F.lit(k).alias("k"), x["s"].alias("s"), _end(x).alias("e"), describe(k, x).alias("f"), y.cast("int").alias("y")).cast(PROPOSAL)
 
-    return F.transform(F.col(f"p{k}"), row)
+    return F.transform(F.col(f"p{k}_{i}"), row)
 
 
 def proposals(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
@@ -169,8 +179,10 @@ def proposals(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataF
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     out = docs.select(F.col(id_col).alias("id"), text.alias("t"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
     for k, kind in enumerate(KINDS):
-        out = out.withColumn(f"h{k}", _checked_hits(kind)).withColumn(f"p{k}", _hits(F.col("t"), PROPOSE[kind], MAY_HOLD[kind]))
-    base, more = [_base_spans(k) for k in range(len(KINDS))], [_described(k) for k in range(len(KINDS))]
+        out = out.withColumn(f"h{k}", _checked_hits(kind))
+        out = out.withColumns({f"p{k}_{i}": _hits(F.col("t"), p, MAY_HOLD[kind]) for i, p in enumerate(PROPOSE[kind])})
+    base = [_base_spans(k) for k in range(len(KINDS))]
+    more = [_described(k, i) for k, kind in enumerate(KINDS) for i in range(len(PROPOSE[kind]))]
     return out.select("id", F.concat(*base).alias("base"), F.concat(*more).alias("more"), *(["row"] if carry else []))
 
 

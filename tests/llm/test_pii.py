@@ -60,7 +60,7 @@ def test_base_spans_and_overlaps(spark):
 
 
 def test_redaction_and_odd_rows(spark):
-    rows = [(1, "x a@b.co, +1 (706) 555-3138 4644348398010899 é", "en", "a", 1), (2, None, "en", "a", 1)]
+    rows = [(1, "x a@b.co, +1 (706) 555-3138, 4644348398010899 é", "en", "a", 1), (2, None, "en", "a", 1)]
     got = pii.find_spans(spark, spark.createDataFrame(rows, SCHEMA), carry=True)
     out = {r[0]: r[1] for r in got.select("doc_id", pii.redacted(F.col("row.text"), F.col("spans"))).collect()}
     assert out[1].startswith("x [EMAIL], [PHONE]") and out[1].endswith(" é") and not re.search("[0-9]", out[1]) and out[2] is None
@@ -69,6 +69,18 @@ def test_redaction_and_odd_rows(spark):
     assert pii.find_spans(spark, empty_docs(spark)).collect() == []
 
 
+def test_boosting_adds_spans_that_the_base_misses(spark):
+    rows = [(k, f"word +1 (706) 555-{3000 + k} word 464434839801{k % 10}899 word", "en", "a", 1) for k in range(300)]
+    rows = [(k, t.replace("464434839801%d899" % (k % 10), "4644348398010899" if k % 3 else "4644348398010890"), "en", "a", 1) for k, t, *_ in rows]
+    rows.append((1000, "both 4644348398010899 4644348398010899 and +1 (706) 555-3138 190.", "en", "a", 1))
+    got = {r.doc_id: r for r in pii.find_spans(spark, spark.createDataFrame(rows, SCHEMA)).collect()}
+    text, last = rows[-1][1], got[1000]
+    found = {(pii.KINDS[k], text[s:e]) for k, s, e in last.spans}
+    assert not last.base and ("card", "4644348398010899") in found and ("phone", "+1 (706) 555-3138") in found
+    refused = [k for k in range(300) if not k % 3]
+    assert not any(pii.KINDS[x.k] == "card" for k in refused for x in got[k].spans)
+
+
 def test_no_python_on_the_path(spark):
     made = pii.proposals(spark.createDataFrame([(1, "a@b.co", "en", "a", 1)], SCHEMA), "doc_id", "text", False)
     plan = made._jdf.queryExecution().toString()
