@@ -24,17 +24,3 @@ def r_score(value: Column, cuts: Sequence[float]) -> Column:
 def fm_score(value: Column, cuts: Sequence[float]) -> Column:
     """Frequency and monetary value: higher is better, 1-2-3-4."""
     return bucket(value, cuts, (1, 2, 3, 4))
-
-
-def r_score_py(v: float, cuts: Sequence[float]) -> int:
-    for c, s in zip(cuts, (4, 3, 2)):
-        if v <= c:
-            return s
-    return 1
-
-
-def fm_score_py(v: float, cuts: Sequence[float]) -> int:
-    for c, s in zip(cuts, (1, 2, 3)):
-        if v <= c:
-            return s
-    return 4

@@ -43,9 +43,7 @@ def spread_aggs(df: DataFrame, col: str = "Quantity", digits: int = 4) -> DataFr
 def distinct_counts(df: DataFrame) -> DataFrame:
     """A3: distinct invoices, products and customers."""
     return df.agg(
-        F.count_distinct("InvoiceNo").alias("number_of_transactions"),
-        F.count_distinct("StockCode").alias("number_of_products_bought"),
-        F.count_distinct("CustomerID").alias("number_of_customers"),
+        *[F.count_distinct(c).alias(name) for c, name in (("InvoiceNo", "invoices"), ("StockCode", "products"), ("CustomerID", "customers"))]
     )
 
 
@@ -55,6 +53,14 @@ def approx_distinct(df: DataFrame, col: str = "StockCode", rsd: float = 0.1) ->
     return df.agg(F.approx_count_distinct(col, rsd).alias("approx_distinct_stockcode"))
 
 
+def approx_distinct_checked(df: DataFrame, col: str = "StockCode", rsd: float = 0.1) -> DataFrame:
+    """A4 beside the exact count, and whether the sketch lies within three
+    relative standard deviations of it (one pass per distinct value)."""
+    exact = F.count_distinct(col)
+    near = F.abs(F.approx_count_distinct(col, rsd) - exact) <= 3 * rsd * exact
+    return df.agg(exact.alias("exact"), near.alias("within"))
+
+
 def collect_aggs(df: DataFrame, key: str = "InvoiceNo") -> DataFrame:
     """Per invoice, the set of countries and the list of products, as
     sorted text (stable output). Lists are only collected per invoice, a group

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROW_SCHEMA = "struct<id: int, first_name: string, last_name: string, email: string>"
+ROW_SCHEMA = "struct<id: bigint, first_name: string, last_name: string, email: string>"
 SOURCE_SCHEMA = (
     "struct<version: string, name: string, server_id: bigint, ts_sec: bigint, gtid: string, "
     "file: string, pos: bigint, row: int, snapshot: boolean, thread: bigint, db: string, table: string>"
@@ -22,7 +22,7 @@ VALUE_SCHEMA = (
     f"payload struct<before: {ROW_SCHEMA}, after: {ROW_SCHEMA}, source: {SOURCE_SCHEMA}, "
     "op: string, ts_ms: bigint>"
 )
-KEY_SCHEMA = "payload struct<id: int>"
+KEY_SCHEMA = "payload struct<id: bigint>"
 
 
 def cdc_decode(events: DataFrame, key_col: str = "key", value_col: str = "value") -> DataFrame:

@@ -10,10 +10,10 @@ Unrolled, the fold is a weighted sum::
     EMA = x0*(1-k)^(n-1) + sum_{r>=1} x_r * k * (1-k)^(n-1-r)
 
 where ``r`` is the 0-based rank of the value in (event time, sequence) order.
-The batch operators use this form: ranks come from a distributed global row
-number (range-partitioned, so one busy instrument is split over many tasks),
-the window's first rank and size from a grouped aggregate, and the EMA is a
-plain ``sum`` with map-side partial aggregation. No window's values are ever
+The batch operators use this form: a tick is ranked inside its key's time bucket,
+and the ticks of the buckets before it are a running sum over bucket counts (a
+small table), so one busy instrument is split over many tasks by one hash
+shuffle; the EMA is a plain ``sum`` with map-side partial aggregation. No window's values are ever
 collected into one array, however many ticks it holds. The streaming form
 (windows closed by the watermark) keeps the window's values in state and folds
 the sorted list with ``aggregate``; ``ema_fold`` builds that expression.
@@ -21,12 +21,10 @@ the sorted list with ``aggregate``; ``ema_fold`` builds that expression.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import ticks as T
-from quire.operators.joins import broadcast_if_small
-from quire.operators.ranking import global_row_number
 
 INDICATOR_SCHEMA = "key string, type string, value double, split string"
 SHORT_SPAN = 12  # Fixed value: the fast EMA takes the first 12 values.
@@ -91,10 +89,11 @@ def to_kafka_records(rows: DataFrame, key_col: str = "key") -> DataFrame:
 def feed_to_ticks(bodies: DataFrame, body_col: str = "body", day: str | None = None) -> DataFrame:
     """Quote-feed response bodies to tick records: split on ``;``, take
     the third ``_`` piece, ``=`` to ``,``, drop quotes, keep records of more
-    than 30 fields and (P14) whose field 31 equals ``day`` when given."""
+    than 30 fields and (P14) whose field 31 equals ``day`` when given. As in
+    ``parse_ticks``, one-element explodes keep each entry's splits single."""
     entries = bodies.select(F.explode(T.body_lines(F.col(body_col))).alias("entry"))
-    recs = entries.select(T.entry_to_record(F.col("entry")).alias("record")).filter(F.col("record").isNotNull())
-    recs = recs.withColumn("fields", T.tick_fields(F.col("record"))).filter(T.is_valid(F.col("fields")))
+    recs = entries.select(F.explode(F.array(T.entry_to_record(F.col("entry")))).alias("record")).filter(F.col("record").isNotNull())
+    recs = recs.select("record", F.explode(F.array(T.tick_fields(F.col("record")))).alias("fields")).filter(T.is_valid(F.col("fields")))
     if day is not None:
         recs = recs.filter(F.get(F.col("fields"), T.DATE_FIELD) == F.lit(day))
     return recs
@@ -153,18 +152,30 @@ def tick_values(parsed: DataFrame) -> DataFrame:
     ).filter(F.col("x").isNotNull() & F.col("event_time").isNotNull())
 
 
-def _ranked(values: DataFrame) -> DataFrame:
-    return global_row_number(values, ["key", "event_time", "seq"], name="g")
+EMA_BUCKET_S = 1800  # seconds of a bucket in which a key's ticks are ranked
+
+
+def _bucketed(values: DataFrame, bucket_s: int) -> tuple[DataFrame, DataFrame]:
+    """Ticks with their bucket ``b`` and rank ``r0`` in it, and one row per
+    bucket: its ticks ``bn``, first time ``bt`` and the key's ticks before it,
+    ``before``. The running sum is over buckets, not over ticks."""
+    secs = F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(1_000_000)
+    placed = values.select("key", "event_time", "seq", "x", F.floor(secs / bucket_s).cast("long").alias("b"))
+    inside = Window.partitionBy("key", "b").orderBy("event_time", "seq")
+    ranked = placed.withColumn("r0", F.row_number().over(inside) - 1)
+    buckets = placed.groupBy("key", "b").agg(F.count(F.lit(1)).alias("bn"), F.min("event_time").alias("bt"))
+    earlier = Window.partitionBy("key").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    return ranked, buckets.withColumn("before", F.coalesce(F.sum("bn").over(earlier), F.lit(0)))
 
 
 def ema_by_key(values: DataFrame, span: int = SHORT_SPAN, digits: int = 6) -> DataFrame:
     """EMA over all of a key's values, EMA of its first ``span`` values and
-    their difference (MACD), one row per key."""
-    ranked = _ranked(values)
-    per_key = ranked.groupBy("key").agg(F.min("g").alias("g0"), F.count(F.lit(1)).alias("n"))
-    joined = ranked.join(broadcast_if_small(per_key), "key")
-    r = F.col("g") - F.col("g0")
-    n = F.col("n")
+    their difference (MACD), one row per key. Ticks meet their bucket's row on
+    (key, bucket), so a busy key is many groups until the final sum."""
+    ranked, buckets = _bucketed(values, EMA_BUCKET_S)
+    total = F.sum("bn").over(Window.partitionBy("key")).alias("n")
+    joined = ranked.join(buckets.select("key", "b", "before", total), ["key", "b"])
+    r, n = F.col("before") + F.col("r0"), F.col("n")
     agg = joined.groupBy("key", "n").agg(
         F.sum(F.col("x") * ema_weight(r, n)).alias("ema_all"),
         F.sum(F.col("x") * short_ema_weight(r, n, span)).alias("ema_short"),
@@ -178,6 +189,15 @@ def ema_by_key(values: DataFrame, span: int = SHORT_SPAN, digits: int = 6) -> Da
     )
 
 
+def bucket_windows(buckets: DataFrame, m: int) -> DataFrame:
+    """(key, b, wb, g0, n, t0, before): every bucket beside each of its ``m``
+    windows (the one starting at bucket wb covers wb .. wb + m - 1) with the
+    window's first rank, size and first time: buckets x m rows, both sides."""
+    mine = buckets.select("key", "b", "before", "bn", "bt", F.explode(F.sequence(F.col("b") - (m - 1), F.col("b"))).alias("wb"))
+    windows = mine.groupBy("key", "wb").agg(F.min("before").alias("g0"), F.sum("bn").alias("n"), F.min("bt").alias("t0"))
+    return mine.select("key", "b", "wb", "before").join(windows, ["key", "wb"])
+
+
 def macd_windows(
     values: DataFrame,
     window: str = "26 minutes",
@@ -191,39 +211,20 @@ def macd_windows(
     window's first record (the reference's row time). Windows are those of
     ``F.window(event_time, window, slide)``.
 
-    Every tick lies in ``m = window / slide`` windows. The window facts
-    (first rank, size, first time) are built from per-slide-bucket aggregates,
-    and each bucket carries the fixed-size list of its ``m`` windows; the ticks
-    then meet that list in a 1:1 join on (key, bucket) and are expanded to
-    their windows only after the join, feeding a partial aggregate. The ticks
-    are shuffled once, never ``m`` times."""
+    Every tick lies in ``m = window / slide`` windows. The window facts come
+    from per-slide-bucket rows expanded to their ``m`` windows; each bucket then
+    carries the list of these (at most ``m``), and the ticks meet it in a join
+    on (key, bucket), the partitioning in which they were ranked. They are
+    expanded to their windows after that, into a partial aggregate: ticks are
+    shuffled once, never ``m`` times."""
     window_s = _seconds(window)
     slide_s = _seconds(slide)
     if window_s % slide_s:
         raise ValueError("window must be a multiple of slide")
-    m = window_s // slide_s
-    secs = F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(1_000_000)
-    ranked = _ranked(values).withColumn("b", F.floor(secs / slide_s).cast("long"))
-    buckets = ranked.groupBy("key", "b").agg(
-        F.min("g").alias("bg"), F.count(F.lit(1)).alias("bn"), F.min("event_time").alias("bt")
-    )
-    # window starting at bucket wb covers buckets wb .. wb + m - 1
-    windows = (
-        buckets.select("key", "bg", "bn", "bt", F.explode(F.sequence(F.col("b") - (m - 1), F.col("b"))).alias("wb"))
-        .groupBy("key", "wb")
-        .agg(F.min("bg").alias("g0"), F.sum("bn").alias("n"), F.min("bt").alias("t0"))
-    )
-    per_bucket = (
-        windows.select(
-            "key",
-            F.struct("wb", "g0", "n", "t0").alias("w"),
-            F.explode(F.sequence(F.col("wb"), F.col("wb") + (m - 1))).alias("b"),
-        )
-        .groupBy("key", "b")
-        .agg(F.collect_list("w").alias("ws"))  # exactly m windows per bucket
-    )
-    exploded = ranked.join(per_bucket, ["key", "b"]).select("g", "x", "key", F.explode("ws").alias("w"))
-    r = F.col("g") - F.col("w.g0")
+    ranked, buckets = _bucketed(values, slide_s)
+    per_bucket = bucket_windows(buckets, window_s // slide_s).groupBy("key", "b").agg(F.collect_list(F.struct("wb", "g0", "n", "t0", "before")).alias("ws"))
+    exploded = ranked.join(per_bucket, ["key", "b"]).select("r0", "x", "key", F.explode("ws").alias("w"))
+    r = F.col("w.before") + F.col("r0") - F.col("w.g0")
     n = F.col("w.n")
     agg = exploded.groupBy("key", F.col("w.wb").alias("wb"), n.alias("n"), F.col("w.t0").alias("t0")).agg(
         F.sum(F.col("x") * ema_weight(r, n)).alias("ema_all"),
@@ -253,7 +254,7 @@ def _seconds(d: str) -> int:
 
 def window_stats(values: DataFrame, window: str, slide: str | None = None, prebucket: bool = True) -> DataFrame:
     """Tick count and exact value total per key and event-time window
-    (tumbling without ``slide``). Totals are summed in integer hundredths.
+    (tumbling without ``slide``). Totals are summed as decimals of ten places.
 
     Sliding windows (``window`` a multiple of ``slide``) are rolled up from
     per-slide-bucket partial results: each tick is aggregated once into its
@@ -261,13 +262,13 @@ def window_stats(values: DataFrame, window: str, slide: str | None = None, prebu
     windows holding them, instead of every tick. ``prebucket=False`` keeps
     Spark's own window expansion (needed on streams, where the window column
     carries the watermark)."""
-    cents = F.round(F.col("x") * 100).cast("long")
+    exact = F.col("x").cast("decimal(28,10)")
     ws, ss = _seconds(window), (_seconds(slide) if slide else None)
     if prebucket and ss and ws % ss == 0 and ws > ss:
         m = ws // ss
         secs = F.unix_micros(F.col("event_time").cast("timestamp")) / F.lit(1_000_000)
         per_bucket = values.groupBy("key", F.floor(secs / ss).cast("long").alias("b")).agg(
-            F.count(F.lit(1)).alias("bn"), F.sum(cents).alias("bc")
+            F.count(F.lit(1)).alias("bn"), F.sum(exact).alias("bc")
         )
         rolled = (
             per_bucket.select("key", "bn", "bc", F.explode(F.sequence(F.col("b") - (m - 1), F.col("b"))).alias("wb"))
@@ -280,32 +281,39 @@ def window_stats(values: DataFrame, window: str, slide: str | None = None, prebu
             start.alias("window_start"),
             (start + F.expr(f"INTERVAL {ws} SECONDS")).alias("window_end"),
             "n",
-            (F.col("_c").cast("double") / F.lit(100.0)).alias("total"),
+            F.col("_c").cast("double").alias("total"),
         )
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     return (
         values.groupBy("key", w.alias("w"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(cents).alias("_c"),
+            F.sum(exact).alias("_c"),
         )
         .select(
             "key",
             F.col("w.start").alias("window_start"),
             F.col("w.end").alias("window_end"),
             "n",
-            (F.col("_c").cast("double") / F.lit(100.0)).alias("total"),
+            F.col("_c").cast("double").alias("total"),
         )
     )
 
 
-def concat_groups(parsed: DataFrame, window: str = "26 minutes", item: Column | None = None) -> DataFrame:
+CHUNK = 1000  # most items of one row of concat_groups
+
+
+def concat_groups(parsed: DataFrame, window: str = "26 minutes", item: Column | None = None, part: str = "1 minute", chunk: int = CHUNK) -> DataFrame:
     """Per key and tumbling window, the concatenation of every
-    tick's array (the reference's commented ``reduceGroups(_ ++ _)``); the
-    group is bounded by the window."""
+    tick's array (the reference's commented ``reduceGroups(_ ++ _)``) in rows of
+    bounded size: (key, window_start, part, chunk, items). A window is cut in
+    parts of time, a part in chunks of at most ``chunk`` ticks by time and
+    sequence; all chunks in order are the whole group, no element is lost."""
     item = item if item is not None else F.array(F.col("record"))
-    return (
-        parsed.groupBy("key", F.window("event_time", window).alias("w"))
-        .agg(F.flatten(F.collect_list(item)).alias("items"))
-        .select("key", F.col("w.start").alias("window_start"), "items")
-    )
+    step = _seconds(part)
+    rows = parsed.select("key", "event_time", "seq", item.alias("item"), F.window("event_time", window)["start"].alias("window_start"))
+    offset = F.unix_seconds("event_time") - F.unix_seconds("window_start")
+    rows = rows.withColumn("part", F.floor(offset / step).cast("int"))
+    order = Window.partitionBy("key", "window_start", "part").orderBy("event_time", "seq")
+    rows = rows.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / chunk).cast("int"))
+    return rows.groupBy("key", "window_start", "part", "chunk").agg(F.flatten(F.collect_list("item")).alias("items"))

@@ -17,9 +17,8 @@ from quire.operators import aggregates as A
 from quire.operators import rfm as R
 from quire.operators import ticks as TK
 from quire.operators.cdc import cdc_apply, cdc_decode
-from quire.operators.parallel import spread
 from quire.operators.ranking import quantiles
-from quire.operators.stats_json import flatten_statistics
+from quire.operators.stats_json import QUOTA_DDL, flatten_statistics
 from quire.operators.udfs import rfm_score_udf, split_with_udf
 from quire.operators.words import word_count
 from quire.plans import fixtures as FX
@@ -58,7 +57,7 @@ def _rfm(spark: SparkSession, sf_dir: str, frequency: str = "lines") -> DataFram
 CLEAN_SQL = f"""
 SELECT InvoiceNo, StockCode, Description, Quantity,
        CAST(date_trunc('second', InvoiceDate) AS TIMESTAMP) AS InvoiceDate,
-       UnitPrice, CAST(CustomerID AS INTEGER) AS CustomerID, Country
+       UnitPrice, CAST(CustomerID AS BIGINT) AS CustomerID, Country
 FROM ({TX_SQL}) tx
 WHERE Country = '{COUNTRY}' AND Quantity > 0
   AND date_trunc('second', InvoiceDate) > TIMESTAMP '{AFTER}' AND CustomerID IS NOT NULL
@@ -68,7 +67,7 @@ RFM_SQL = f"""
 SELECT CustomerID,
        CAST(date_diff('day', max(CAST(InvoiceDate AS DATE)), DATE '{AS_OF}') AS INTEGER) AS Recency,
        count(*) AS Frequency,
-       CAST(sum(CAST(round(UnitPrice * 100) AS BIGINT) * Quantity) AS DOUBLE) / 100.0 AS Monetary
+       CAST(sum(CAST(CAST(UnitPrice AS VARCHAR) AS DECIMAL(24,10)) * CAST(Quantity AS DECIMAL(11,0))) AS DOUBLE) AS Monetary
 FROM ({CLEAN_SQL}) c GROUP BY CustomerID
 """
 
@@ -104,42 +103,33 @@ def _score_sql(select: str) -> str:
 # ----------------------------------------------------------------- CSV / range
 
 
-def csv_flight_top5_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + A6 + P4 + O2 + O3: the F1 table written as CSV, read back with
-    header and inferred types, top 5 destinations by total."""
+def _flight_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 written as CSV and scanned with header and inferred types."""
     path = scratch_path(spark, "flights")
     write_format(FX.flights(spark, sf_dir), "csv", path, header="true")
-    flights = csv_scan(spark, path)
-    return (
-        flights.groupBy("DEST_COUNTRY_NAME")
-        .sum("count")
-        .withColumnRenamed("sum(count)", "destination_total")
-        .orderBy(F.desc("destination_total"), F.asc("DEST_COUNTRY_NAME"))
-        .limit(5)
-    )
+    return csv_scan(spark, path)
+
+
+def csv_flight_top5_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 + O2 + O3: the five nations with the most lines."""
+    lines = F.sum("count").alias("lines")
+    per_nation = _flight_csv(spark, sf_dir).groupBy(F.col("DEST_COUNTRY_NAME").alias("nation")).agg(lines)
+    return per_nation.orderBy(F.desc("lines"), "nation").limit(5)
 
 
 def csv_flight_top5_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through a temp view and SQL text."""
-    path = scratch_path(spark, "flights")
-    write_format(FX.flights(spark, sf_dir), "csv", path, header="true")
-    csv_scan(spark, path).createOrReplaceTempView("flight_data")
-    return spark.sql(
-        """
-        SELECT DEST_COUNTRY_NAME, sum(count) AS destination_total
-        FROM flight_data GROUP BY DEST_COUNTRY_NAME
-        ORDER BY sum(count) DESC, DEST_COUNTRY_NAME LIMIT 5
-        """
-    )
+    _flight_csv(spark, sf_dir).createOrReplaceTempView("nation_lines")
+    return spark.sql("SELECT DEST_COUNTRY_NAME AS nation, sum(count) AS lines FROM nation_lines GROUP BY 1 ORDER BY lines DESC, nation LIMIT 5")
 
 
 FLIGHT_TOP5_SQL = """
-SELECT n.n_name AS DEST_COUNTRY_NAME, CAST(count(*) AS BIGINT) AS destination_total
+SELECT n.n_name AS nation, CAST(count(*) AS BIGINT) AS lines
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
-GROUP BY n.n_name ORDER BY destination_total DESC, DEST_COUNTRY_NAME LIMIT 5
+GROUP BY n.n_name ORDER BY lines DESC, nation LIMIT 5
 """
 
 
@@ -166,22 +156,15 @@ def distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3 in the reference's SQL form over a temp view."""
-    _clean(spark, sf_dir).createOrReplaceTempView("retail")
-    return spark.sql(
-        """
-        SELECT COUNT(DISTINCT InvoiceNo) AS number_of_transactions,
-               COUNT(DISTINCT StockCode) AS number_of_products_bought,
-               COUNT(DISTINCT CustomerID) AS number_of_customers
-        FROM retail
-        """
-    )
+    """A3 as SQL text over a temp view."""
+    _clean(spark, sf_dir).createOrReplaceTempView("cleaned_lines")
+    counts = ", ".join(f"count(DISTINCT {c}) AS {n}" for c, n in (("InvoiceNo", "invoices"), ("StockCode", "products"), ("CustomerID", "customers")))
+    return spark.sql(f"SELECT {counts} FROM cleaned_lines")
 
 
 DISTINCT_SQL = f"""
-SELECT count(DISTINCT InvoiceNo) AS number_of_transactions,
-       count(DISTINCT StockCode) AS number_of_products_bought,
-       count(DISTINCT CustomerID) AS number_of_customers
+SELECT count(DISTINCT InvoiceNo) AS invoices, count(DISTINCT StockCode) AS products,
+       count(DISTINCT CustomerID) AS customers
 FROM ({CLEAN_SQL}) c
 """
 
@@ -236,7 +219,11 @@ SELECT array_to_string(list_sort(list(DISTINCT Country)), ',') AS countries FROM
 
 
 def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.approx_distinct(_tx(spark, sf_dir), "StockCode", 0.1)
+    """A4: the exact count and whether the sketch is within its bound."""
+    return A.approx_distinct_checked(_tx(spark, sf_dir), "StockCode", 0.1)
+
+
+APPROX_SQL = f"SELECT count(DISTINCT StockCode) AS exact, true AS within FROM ({TX_SQL}) tx"
 
 
 def group_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,11 +273,11 @@ def pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PARETO_SQL = f"""
 WITH rfm AS ({RFM_SQL}),
-c AS (SELECT CAST(round(Monetary * 100) AS BIGINT) AS cents,
+c AS (SELECT CAST(CAST(Monetary AS VARCHAR) AS DECIMAL(30,10)) AS money,
              row_number() OVER (ORDER BY Monetary DESC, CustomerID) AS rk FROM rfm),
 n AS (SELECT count(*) AS n FROM rfm)
-SELECT CAST(sum(cents) AS DOUBLE) / 100.0 * 0.8 AS revenue_share,
-       CAST(sum(CASE WHEN rk <= (SELECT CAST(floor(n * 0.2) AS BIGINT) FROM n) THEN cents ELSE 0 END) AS DOUBLE) / 100.0
+SELECT CAST(sum(money) AS DOUBLE) * 0.8 AS revenue_share,
+       CAST(sum(CASE WHEN rk <= (SELECT CAST(floor(n * 0.2) AS BIGINT) FROM n) THEN money END) AS DOUBLE)
            AS top_revenue,
        count(*) AS customers,
        (SELECT CAST(floor(n * 0.2) AS BIGINT) FROM n) AS top_customers
@@ -318,6 +305,52 @@ SELECT 'Monetary', quantile_disc(Monetary, 0.25), quantile_disc(Monetary, 0.5),
 """
 
 
+APPROX_ERROR = 0.05  # the reference's setting
+
+
+def quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 at relative error 0.05: per measure, whether each cut point's rank
+    is within the error of its quantile."""
+    r = _rfm(spark, sf_dir).checkpoint(eager=True)
+    cuts = quantiles(r, R.RFM_COLUMNS, R.QUARTILES, APPROX_ERROR)
+    n = F.count(F.lit(1))
+    near = []
+    for c in R.RFM_COLUMNS:
+        ok = F.lit(True)
+        for p, v in zip(R.QUARTILES, cuts[c]):
+            below, upto = F.count_if(F.col(c) < v), F.count_if(F.col(c) <= v)
+            ok = ok & (upto >= (p - APPROX_ERROR) * n) & (below <= (p + APPROX_ERROR) * n)
+        near.append(F.struct(F.lit(c).alias("measure"), ok.alias("within"), n.alias("customers")))
+    return r.agg(F.array(*near).alias("a")).select(F.explode("a").alias("a")).select("a.*")
+
+
+QUARTILES_APPROX_SQL = f"""
+WITH rfm AS ({RFM_SQL})
+SELECT m AS measure, true AS within, (SELECT count(*) FROM rfm) AS customers
+FROM (VALUES ('Recency'), ('Frequency'), ('Monetary')) t(m)
+"""
+
+
+def top_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 + O3: the five customers of the highest RFM score, best value first."""
+    scored = R.rfm_score(_rfm(spark, sf_dir), RFM_EXACT)
+    return scored.orderBy(F.desc("RFMScore"), F.desc("Monetary"), "CustomerID").limit(5)
+
+
+TOP_SCORE_SQL = _score_sql("SELECT * FROM scored ORDER BY RFMScore DESC, Monetary DESC, CustomerID LIMIT 5")
+
+
+def lowest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 + O5: ``take`` of an ascending sort: the five smallest lines (a top-k,
+    so five rows reach the driver)."""
+    cols = ["Quantity", "InvoiceNo", "StockCode"]
+    lines = _clean(spark, sf_dir).select(*cols)
+    return spark.createDataFrame(lines.orderBy(*cols).take(5), lines.schema)
+
+
+LOWEST_SQL = f"SELECT Quantity, InvoiceNo, StockCode FROM ({CLEAN_SQL}) c ORDER BY 1, 2, 3 LIMIT 5"
+
+
 def rfm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.rfm_score(_rfm(spark, sf_dir), RFM_EXACT)
 
@@ -413,7 +446,7 @@ TUMBLE_SQL = f"""
 WITH v AS ({TICKS_V})
 SELECT key, time_bucket(INTERVAL 26 MINUTE, t, TIMESTAMP '1970-01-01') AS window_start,
        time_bucket(INTERVAL 26 MINUTE, t, TIMESTAMP '1970-01-01') + INTERVAL 26 MINUTE AS window_end,
-       count(*) AS n, CAST(sum(CAST(round(x * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
+       count(*) AS n, CAST(sum(CAST(CAST(x AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE) AS total
 FROM v GROUP BY ALL
 """
 
@@ -430,7 +463,7 @@ FROM ({TICKS_V}) v
 
 SLIDE_SQL = f"""
 SELECT key, ws AS window_start, ws + INTERVAL 26 MINUTE AS window_end, count(*) AS n,
-       CAST(sum(CAST(round(x * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
+       CAST(sum(CAST(CAST(x AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE) AS total
 FROM ({SLIDE_WINDOWS_V}) w GROUP BY ALL
 """
 
@@ -494,19 +527,52 @@ WHERE window_end <= (SELECT max(date_trunc('second', ts)) FROM events
 """
 
 
+STREAM_MACD_RECORDS_SQL = f"SELECT key, 'MACD' AS type, value, split FROM ({STREAM_MACD_SQL}) m"
+
+
 def array_concat_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per key and 26-minute window, the concatenated arrays of the
-    ticks' sequence numbers, as sorted text."""
+    ticks' sequence numbers in chunks of one minute, as text."""
     g = TK.concat_groups(_parsed(spark, sf_dir), "26 minutes", item=F.array(F.col("seq").cast("string")))
     return g.select(
-        "key", "window_start", F.size("items").alias("n_items"), F.array_join(F.sort_array("items"), ",").alias("items")
+        "key", "window_start", "part", "chunk", F.size("items").alias("n_items"), F.array_join(F.sort_array("items"), ",").alias("items")
     )
 
 
-CONCAT_SQL = """
-SELECT event_type AS key, time_bucket(INTERVAL 26 MINUTE, date_trunc('second', ts), TIMESTAMP '1970-01-01') AS window_start,
-       CAST(count(*) AS INTEGER) AS n_items, array_to_string(list_sort(list(CAST(event_id AS VARCHAR))), ',') AS items
-FROM events WHERE event_id % 97 <> 0 GROUP BY ALL
+CONCAT_SQL = f"""
+WITH t AS (SELECT event_type AS key, event_id, date_trunc('second', ts) AS t,
+                  time_bucket(INTERVAL 26 MINUTE, date_trunc('second', ts), TIMESTAMP '1970-01-01') AS window_start
+           FROM events WHERE event_id % 97 <> 0),
+p AS (SELECT *, CAST(date_diff('minute', window_start, date_trunc('minute', t)) AS INTEGER) AS part FROM t),
+c AS (SELECT *, CAST((row_number() OVER (PARTITION BY key, window_start, part ORDER BY t, event_id) - 1) // {TK.CHUNK}
+                     AS INTEGER) AS chunk FROM p)
+SELECT key, window_start, part, chunk, CAST(count(*) AS INTEGER) AS n_items,
+       array_to_string(list_sort(list(CAST(event_id AS VARCHAR))), ',') AS items
+FROM c GROUP BY ALL
+"""
+
+
+def macd_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B7 at the reference's own window, 26 minutes sliding by one, over ticks
+    made dense: the events' times folded into one day (their order kept by the
+    sequence), so that windows hold many ticks."""
+    v = _values(spark, sf_dir)
+    day = F.unix_seconds(F.col("event_time").cast("timestamp")) % 86400
+    return TK.macd_windows(v.withColumn("event_time", F.timestamp_seconds(day)), "26 minutes", "1 minute")
+
+
+MACD_DENSE_SQL = f"""
+WITH v AS (SELECT key, seq, x, TIMESTAMP '1970-01-01' + to_seconds(epoch(t)::BIGINT % 86400) AS t FROM ({TICKS_V}) q),
+w AS (SELECT key, seq, x, t, unnest(generate_series(date_trunc('minute', t) - INTERVAL 25 MINUTE, date_trunc('minute', t),
+                                                    INTERVAL 1 MINUTE)) AS ws FROM v),
+l AS (SELECT key, ws, count(*) AS n, min(t) AS t0, list(x ORDER BY t, seq) AS xs FROM w GROUP BY key, ws),
+s AS (SELECT key, ws, n, t0,
+             list_transform(xs, lambda x: {{'e': x, 'x': x, 'k': 2.0 / (len(xs) + 1)}}) AS all_x,
+             list_transform(xs[1:12], lambda x: {{'e': x, 'x': x, 'k': 2.0 / (len(xs[1:12]) + 1)}}) AS short_x
+      FROM l)
+SELECT key, ws AS window_start, ws + INTERVAL 26 MINUTE AS window_end, n, 'MACD' AS type,
+       round({_fold('short_x')} - {_fold('all_x')}, 6) AS value, strftime(t0, '%H:%M:%S') AS split
+FROM s
 """
 
 
@@ -529,7 +595,7 @@ WHERE value >= 1.0 AND event_type IN ('click', 'view', 'purchase')
 
 
 def word_count_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(spread(load(spark, sf_dir, "documents").select("text")), "text")
+    return word_count(load(spark, sf_dir, "documents"), "text")
 
 
 _SEP = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+"
@@ -560,15 +626,15 @@ def cdc_decode_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 _EMAIL = "'cust' || CAST(o_custkey AS VARCHAR) || '@example.com'"
 _EMAIL_U = "'cust' || CAST(o_custkey AS VARCHAR) || '+u@example.com'"
 CDC_DECODE_SQL = f"""
-SELECT 'c' AS op, CAST(o_orderkey AS INTEGER) AS id, CAST(NULL AS VARCHAR) AS before_email, {_EMAIL} AS after_email,
-       o_orderstatus AS after_first_name, epoch_ms(o_orderdate) AS ts_ms, 'mysql-bin.000003' AS file,
+SELECT 'c' AS op, CAST(o_orderkey AS BIGINT) AS id, CAST(NULL AS VARCHAR) AS before_email, {_EMAIL} AS after_email,
+       o_orderstatus AS after_first_name, epoch_ms(o_orderdate) AS ts_ms, 'changes.000017' AS file,
        o_orderkey * 10 AS pos, 0 AS row FROM orders
 UNION ALL
-SELECT 'u', CAST(o_orderkey AS INTEGER), {_EMAIL}, {_EMAIL_U}, 'U', epoch_ms(o_orderdate) + 86400000,
-       'mysql-bin.000003', o_orderkey * 10 + 1, 1 FROM orders WHERE o_orderkey % 3 = 0
+SELECT 'u', CAST(o_orderkey AS BIGINT), {_EMAIL}, {_EMAIL_U}, 'U', epoch_ms(o_orderdate) + 86400000,
+       'changes.000017', o_orderkey * 10 + 1, 1 FROM orders WHERE o_orderkey % 3 = 0
 UNION ALL
-SELECT 'd', CAST(o_orderkey AS INTEGER), CASE WHEN o_orderkey % 3 = 0 THEN {_EMAIL_U} ELSE {_EMAIL} END, NULL, NULL,
-       epoch_ms(o_orderdate) + 172800000, 'mysql-bin.000003', o_orderkey * 10 + 2, 2 FROM orders WHERE o_orderkey % 7 = 0
+SELECT 'd', CAST(o_orderkey AS BIGINT), CASE WHEN o_orderkey % 3 = 0 THEN {_EMAIL_U} ELSE {_EMAIL} END, NULL, NULL,
+       epoch_ms(o_orderdate) + 172800000, 'changes.000017', o_orderkey * 10 + 2, 2 FROM orders WHERE o_orderkey % 7 = 0
 """
 
 
@@ -577,7 +643,7 @@ def cdc_apply_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CDC_APPLY_SQL = f"""
-SELECT CAST(o_orderkey AS INTEGER) AS id,
+SELECT CAST(o_orderkey AS BIGINT) AS id,
        CASE WHEN o_orderkey % 3 = 0 THEN 'U' ELSE o_orderstatus END AS first_name,
        o_orderpriority AS last_name,
        CASE WHEN o_orderkey % 3 = 0 THEN {_EMAIL_U} ELSE {_EMAIL} END AS email
@@ -588,27 +654,24 @@ FROM orders WHERE o_orderkey % 7 <> 0
 # ---------------------------------------------------------- formats and tables
 
 
+ORDER_COLUMNS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
+
+
 def formats_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation written and read back as Parquet, ORC, JSON, CSV and text."""
-    nation = load(spark, sf_dir, "nation")
-    schema = "n_nationkey int, n_name string, n_regionkey int"
+    """Orders written and read back as Parquet, ORC, JSON, CSV and text."""
+    names = [c.split()[0] for c in ORDER_COLUMNS.split(", ")]
+    orders = load(spark, sf_dir, "orders").select(*names)
     parts = []
     for fmt in ("parquet", "orc", "json", "csv"):
-        path = scratch_path(spark, f"nation-{fmt}")
-        write_format(nation, fmt, path, **({"header": "true"} if fmt == "csv" else {}))
-        back = read_format(spark, fmt, path, schema=schema, **({"header": "true"} if fmt == "csv" else {}))
-        parts.append(back.select(F.lit(fmt).alias("format"), "n_nationkey", "n_name", "n_regionkey"))
-    path = scratch_path(spark, "nation-text")
-    write_format(nation.select(F.concat_ws("|", "n_nationkey", "n_name", "n_regionkey").alias("value")), "text", path)
+        path = scratch_path(spark, f"orders-{fmt}")
+        header = {"header": "true"} if fmt == "csv" else {}
+        write_format(orders, fmt, path, **header)
+        parts.append(read_format(spark, fmt, path, schema=ORDER_COLUMNS, **header).select(F.lit(fmt).alias("format"), *names))
+    path = scratch_path(spark, "orders-text")
+    write_format(orders.select(F.concat_ws("|", *names).alias("value")), "text", path)
     f = F.split(F.col("value"), r"\|", -1)
-    parts.append(
-        read_format(spark, "text", path).select(
-            F.lit("text").alias("format"),
-            F.get(f, 0).cast("int").alias("n_nationkey"),
-            F.get(f, 1).alias("n_name"),
-            F.get(f, 2).cast("int").alias("n_regionkey"),
-        )
-    )
+    typed = [F.get(f, i).cast(c.split()[1]).alias(c.split()[0]) for i, c in enumerate(ORDER_COLUMNS.split(", "))]
+    parts.append(read_format(spark, "text", path).select(F.lit("text").alias("format"), *typed))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -616,11 +679,42 @@ def formats_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FORMATS_SQL = " UNION ALL ".join(
-    f"SELECT '{f}' AS format, n_nationkey, n_name, n_regionkey FROM nation"
+    f"SELECT '{f}' AS format, CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, "
+    "CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders"
     for f in ("parquet", "orc", "json", "csv", "text")
 )
 
 
+DAILY_SCHEMA = "key string, event_id bigint, user_id bigint, value double"
+
+
+def csv_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as CSV files by day, and the glob over all days
+    scanned with a declared schema: ticks, users and total per key."""
+    path = scratch_path(spark, "daily")
+    ev = load(spark, sf_dir, "events").select(F.col("event_type").alias("key"), "event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    # one file per day
+    ev.repartition("day").write.partitionBy("day").option("header", "true").csv(path)
+    days = csv_scan(spark, f"{path}/day=*/*.csv", schema=DAILY_SCHEMA)
+    total = F.sum(F.col("value").cast("decimal(28,10)")).cast("double")
+    return days.groupBy("key").agg(F.count(F.lit(1)).alias("ticks"), F.count_distinct("user_id").alias("users"), F.max("event_id").alias("last"), total.alias("total"))
+
+
+CSV_DAILY_SQL = """
+SELECT event_type AS key, count(*) AS ticks, count(DISTINCT user_id) AS users, max(event_id) AS last,
+       CAST(sum(CAST(CAST(value AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE) AS total
+FROM events GROUP BY 1
+"""
+
+
+def stats_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B8 + K1 + K2: statistics messages flattened and appended to a table of
+    the catalog, read back."""
+    table = C.create_table(spark, "quire_db", f"quota_{uuid.uuid4().hex[:8]}", QUOTA_DDL, location=scratch_path(spark, "warehouse"))
+    C.append_table(flatten_statistics(FX.statistics_messages(spark, sf_dir)), table)
+    return spark.table(table).withColumn("quotaType", F.to_json("quotaType"))
+
+
 def hive_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 + K2: create a database and a table (with an array column) if
     absent, append region rows, read the table back. Each run uses a table of
@@ -662,6 +756,15 @@ QUERIES: dict[str, Query] = {
     "customer_lines": customer_lines,
     "pareto": pareto,
     "quartiles": quartiles,
+    "quartiles_approx": quartiles_approx,
+    "top_score": top_score,
+    "lowest_lines": lowest_lines,
+    "macd_dense": macd_dense,
+    "csv_daily": csv_daily,
+    "stats_table": stats_table,
+    "stream_word_text": ST.stream_word_text,
+    "stream_stats": ST.stream_stats,
+    "stream_macd_records": ST.stream_macd_records,
     "rfm_score": rfm_score,
     "rfm_score_udf": rfm_score_udf_q,
     "segments": segments,
@@ -706,6 +809,16 @@ ORACLES: dict[str, str] = {
     "customer_lines": CUSTOMER_SQL,
     "pareto": PARETO_SQL,
     "quartiles": QUARTILES_SQL,
+    "approx_distinct": APPROX_SQL,
+    "quartiles_approx": QUARTILES_APPROX_SQL,
+    "top_score": TOP_SCORE_SQL,
+    "lowest_lines": LOWEST_SQL,
+    "macd_dense": MACD_DENSE_SQL,
+    "csv_daily": CSV_DAILY_SQL,
+    "stats_table": STATS_SQL,
+    "stream_word_text": f"SELECT word AS key, CAST(count AS VARCHAR) AS value FROM ({WORD_COUNT_SQL}) w",
+    "stream_stats": STATS_SQL,
+    "stream_macd_records": STREAM_MACD_RECORDS_SQL,
     "rfm_score": RFM_SCORE_SQL,
     "rfm_score_udf": RFM_SCORE_SQL,
     "segments": SEGMENTS_SQL,

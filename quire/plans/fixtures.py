@@ -17,8 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.joins import broadcast_if_small
-from quire.operators.parallel import spread
 from quire.sources.tables import load
 
 SHORT_MOD = 97
@@ -38,7 +36,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = load(spark, sf_dir, "nation")
     region = load(spark, sf_dir, "region")
-    geo = broadcast_if_small(
+    geo = (
         nation.join(region, nation.n_regionkey == region.r_regionkey).select(
             F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name"
         )
@@ -51,7 +49,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(cust, orders.o_custkey == cust.c_custkey)
         .join(geo, "c_nationkey")
     )
-    return chain.groupBy("n_name", "r_name").agg(F.sum("lines").cast("int").alias("count")).select(
+    return chain.groupBy("n_name", "r_name").agg(F.sum("lines").alias("count")).select(
         F.col("n_name").alias("DEST_COUNTRY_NAME"), F.col("r_name").alias("ORIGIN_COUNTRY_NAME"), "count"
     )
 
@@ -76,7 +74,7 @@ def tick_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as tick records ``(event_id, value)``; value is the record
     text, plain or JSON-quoted."""
     ev = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return tick_records_of(spread(ev))
+    return tick_records_of(ev)
 
 
 def tick_records_of(events: DataFrame) -> DataFrame:
@@ -157,7 +155,7 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """change events of a replicated ``customers``-like table built from
     orders, as (key, value) JSON documents with a Debezium-style envelope."""
     cols = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
-    return change_events_of(spread(load(spark, sf_dir, "orders").select(*cols)))
+    return change_events_of(load(spark, sf_dir, "orders").select(*cols))
 
 
 def change_events_of(orders: DataFrame) -> DataFrame:
@@ -165,13 +163,13 @@ def change_events_of(orders: DataFrame) -> DataFrame:
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
     ts0 = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
     created = F.struct(
-        F.col("o_orderkey").cast("int").alias("id"),
+        F.col("o_orderkey").cast("bigint").alias("id"),
         F.col("o_orderstatus").alias("first_name"),
         F.col("o_orderpriority").alias("last_name"),
         F.concat(F.lit("cust"), F.col("o_custkey").cast("string"), F.lit("@example.com")).alias("email"),
     )
     updated = F.struct(
-        F.col("o_orderkey").cast("int").alias("id"),
+        F.col("o_orderkey").cast("bigint").alias("id"),
         F.lit("U").alias("first_name"),
         F.col("o_orderpriority").alias("last_name"),
         F.concat(F.lit("cust"), F.col("o_custkey").cast("string"), F.lit("+u@example.com")).alias("email"),
@@ -180,7 +178,7 @@ def change_events_of(orders: DataFrame) -> DataFrame:
     is_d = F.col("o_orderkey") % 7 == 0
     last = F.when(is_u, updated).otherwise(created)
     null_row = F.lit(None).cast(
-        "struct<id:int,first_name:string,last_name:string,email:string>"
+        "struct<id:bigint,first_name:string,last_name:string,email:string>"
     )
 
     def change(op: str, before: Column, after: Column, dt_ms: int, row: int) -> Column:
@@ -189,7 +187,7 @@ def change_events_of(orders: DataFrame) -> DataFrame:
             before.alias("before"),
             after.alias("after"),
             (ts0 + F.lit(dt_ms)).alias("ts_ms"),
-            F.lit("mysql-bin.000003").alias("file"),
+            F.lit("changes.000017").alias("file"),
             (F.col("o_orderkey") * 10 + F.lit(row)).alias("pos"),
             F.lit(row).alias("row"),
         )
@@ -202,9 +200,9 @@ def change_events_of(orders: DataFrame) -> DataFrame:
     )
     ev = o.select("o_orderkey", F.explode(changes).alias("ch")).filter(F.col("ch").isNotNull())
     source = F.struct(
-        F.lit("0.7.5").alias("version"),
-        F.lit("dbserver1").alias("name"),
-        F.lit(223344).cast("long").alias("server_id"),
+        F.lit("1.0").alias("version"),
+        F.lit("replica-a").alias("name"),
+        F.lit(40).cast("long").alias("server_id"),
         (F.col("ch.ts_ms") / 1000).cast("long").alias("ts_sec"),
         F.lit(None).cast("string").alias("gtid"),
         F.col("ch.file").alias("file"),
@@ -212,8 +210,8 @@ def change_events_of(orders: DataFrame) -> DataFrame:
         F.col("ch.row").cast("int").alias("row"),
         F.lit(False).alias("snapshot"),
         F.lit(7).cast("long").alias("thread"),
-        F.lit("inventory").alias("db"),
-        F.lit("customers").alias("table"),
+        F.lit("shop").alias("db"),
+        F.lit("clients").alias("table"),
     )
     payload = F.struct(
         F.col("ch.before").alias("before"),
@@ -222,20 +220,5 @@ def change_events_of(orders: DataFrame) -> DataFrame:
         F.col("ch.op").alias("op"),
         F.col("ch.ts_ms").alias("ts_ms"),
     )
-    key_doc = F.to_json(F.struct(F.struct(F.col("o_orderkey").cast("int").alias("id")).alias("payload")))
+    key_doc = F.to_json(F.struct(F.struct(F.col("o_orderkey").cast("bigint").alias("id")).alias("payload")))
     return ev.select(key_doc.alias("key"), F.to_json(F.struct(payload.alias("payload"))).alias("value"))
-
-
-# ------------------------------------------------------------------ F7 text / kv
-
-
-def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents as the text-lines topic (key = doc_id, value = text)."""
-    d = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return d.select(F.col("doc_id").cast("string").alias("key"), F.col("text").alias("value"))
-
-
-def key_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as a key/value topic (key = event_id, value = event_type)."""
-    ev = load(spark, sf_dir, "events").select("event_id", "event_type")
-    return ev.select(F.col("event_id").cast("string").alias("key"), F.col("event_type").alias("value"))

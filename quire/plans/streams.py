@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from quire.operators import ticks as TK
 from quire.operators.cdc import cdc_decode
+from quire.operators.stats_json import flatten_statistics
+from quire.operators.words import word_count_updates
 from quire.plans import fixtures as FX
 from quire.session import scratch_path
 from quire.sources.tables import load
@@ -21,15 +23,7 @@ MACD_WINDOW = ("780 minutes", "30 minutes")
 
 def _file_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     schema = load(spark, sf_dir, table).schema  # footer read only
-    # The driver tables are single large files: spread each micro-batch.
-    return J.source(
-        spark,
-        "parquet",
-        path=sf_dir,
-        schema=schema,
-        path_glob=f"{table}.parquet",
-        spread_to=spark.sparkContext.defaultParallelism,
-    )
+    return J.source(spark, "parquet", path=sf_dir, schema=schema, path_glob=f"{table}.parquet")
 
 
 def run_to_memory(df: DataFrame, name: str, mode: str) -> str:
@@ -63,13 +57,13 @@ def _run_to_files(df: DataFrame, name: str) -> str:
     return out
 
 
-def _run_changelog(df: DataFrame, name: str) -> str:
+def _run_changelog(df: DataFrame, name: str, keys: list[str]) -> str:
     """Update-mode output as a per-batch changelog (K7 on files)."""
     spark = df.sparkSession
     out = scratch_path(spark, name)
     writer = (
         df.writeStream.outputMode("update")
-        .foreachBatch(J.changelog_batch(out))
+        .foreachBatch(J.changelog_batch(out, keys))
         .option("checkpointLocation", checkpoint_for(spark, name))
     )
     run_available_now(writer)
@@ -90,10 +84,27 @@ def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4 + T6 + K7: running word count over the documents stream in update
     mode; the changelog compacted to the current counts."""
     docs = _file_stream(spark, sf_dir, "documents")
-    out = _run_changelog(J.word_count_stream(docs, "text"), "word_count")
+    out = _run_changelog(J.word_count_stream(docs, "text"), "word_count", ["word"])
     return J.compact_changelog(spark, out, ["word"])
 
 
+def stream_word_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 + X22: the same changelog as (word, count text) records."""
+    docs = _file_stream(spark, sf_dir, "documents")
+    updates = word_count_updates(J.word_count_stream(docs, "text"))
+    out = _run_changelog(updates, "word_text", ["key"])
+    return J.compact_changelog(spark, out, ["key"])
+
+
+def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics messages flattened on a stream, by the batch function."""
+    src = scratch_path(spark, "messages")
+    FX.statistics_messages(spark, sf_dir).write.parquet(src)
+    messages = J.source(spark, "parquet", path=src, schema="key string, value string")
+    rows = spark.read.parquet(_run_to_files(flatten_statistics(messages), "stats"))
+    return rows.withColumn("quotaType", F.to_json("quotaType"))
+
+
 def _tick_values_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _file_stream(spark, sf_dir, "events")
     parsed = TK.parse_ticks(FX.tick_records_of(ev), "value", seq_col="event_id")
@@ -109,33 +120,51 @@ def stream_slide_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B7 on a stream: MACD per closed window."""
-    w, s = MACD_WINDOW
-    macd = J.macd_stream(_tick_values_stream(spark, sf_dir), w, s, LATENESS)
-    return spark.read.parquet(_run_to_files(macd, "macd"))
+    window, slide = MACD_WINDOW
+    out = scratch_path(spark, "buckets")
+    writer = (
+        J.closed_buckets(_tick_values_stream(spark, sf_dir), slide, LATENESS).writeStream.format("parquet")
+        .outputMode("append").option("path", out).option("checkpointLocation", checkpoint_for(spark, "buckets"))
+    )
+    q = run_available_now(writer)
+    return J.closed_macd(spark.read.parquet(out), J.watermark_of(q), window, slide)
+
+
+def stream_macd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X12 + X21: the closed windows' rows as (key, JSON) records for a topic,
+    decoded again."""
+    records = TK.to_kafka_records(stream_macd(spark, sf_dir).select("key", "type", "value", "split"))
+    row = F.from_json("value", TK.INDICATOR_SCHEMA)
+    return records.select("key", row.alias("r")).select("key", "r.type", "r.value", "r.split")
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One tick stream to the raw table, the indicator table and the
-    indicator topic via ``foreachBatch``; returns the indicator table."""
+    """One tick stream of Kafka-shaped rows to the raw table, the
+    indicator table and the indicator topic via ``foreachBatch``; both tables."""
     ev = _file_stream(spark, sf_dir, "events")
-    records = FX.tick_records_of(ev)
-    out = scratch_path(spark, "fanout")
-    writer = records.writeStream.foreachBatch(J.fanout_batch(out)).option(
+    records = FX.tick_records_of(ev).select(F.lit(None).cast("string").alias("key"), "value", F.lit(0).alias("partition"), F.col("event_id").alias("offset"))
+    tables = J.fanout_tables(spark, "quire_db", f"_{unique_name('t')}", scratch_path(spark, "warehouse"))
+    writer = records.writeStream.foreachBatch(J.fanout_batch(tables, scratch_path(spark, "topic"))).option(
         "checkpointLocation", checkpoint_for(spark, "fanout")
     )
     run_available_now(writer)
-    return spark.read.parquet(f"{out}/indexes").drop("batch_id")
+    raw = F.split("value", ",")
+    parameters = spark.table(tables["parameters"]).select(
+        F.lit("parameters").alias("target"), "key", F.lit(None).cast("string").alias("type"), F.lit(None).cast("double").alias("value"),
+        F.to_timestamp(F.concat_ws(" ", F.get(raw, F.lit(31)), F.get(raw, F.lit(32)))).alias("time"), F.get(raw, F.lit(1)).cast("long").alias("seq"),
+    )
+    indexes = spark.table(tables["indexes"]).select(F.lit("indexes").alias("target"), "key", "type", "value", "time", F.lit(None).cast("long").alias("seq"))
+    return indexes.unionByName(parameters)
 
 
 def stream_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B12 on a stream: change events (from the orders stream) reduced to the
-    last change per key in state; the update-mode changelog is compacted and
-    deleted keys dropped."""
-    orders = _file_stream(spark, sf_dir, "orders")
-    changes = FX.change_events_of(orders)
-    out = _run_changelog(J.cdc_replica_stream(cdc_decode(changes)), "replica")
-    latest = J.compact_changelog(spark, out, ["id"])
-    return latest.filter(F.col("op") != F.lit("d")).select("after.*")
+    """B12 on a stream: change events (from the orders stream) merged batch by
+    batch into a replica from which deleted keys are gone."""
+    changes = FX.change_events_of(_file_stream(spark, sf_dir, "orders"))
+    out = scratch_path(spark, "replica")
+    writer = cdc_decode(changes).writeStream.foreachBatch(J.replica_batch(out)).option("checkpointLocation", checkpoint_for(spark, "replica"))
+    run_available_now(writer)
+    return J.replica(spark, out)
 
 
 STREAM_MEMORY_SQL = "SELECT CAST(event_id AS VARCHAR) AS key, event_type AS value FROM events"
@@ -150,16 +179,17 @@ WITH v AS ({_TICKS_V}),
 w AS (SELECT key, x, unnest(generate_series(date_trunc('minute', t) - INTERVAL 25 MINUTE, date_trunc('minute', t),
                                             INTERVAL 1 MINUTE)) AS ws FROM v)
 SELECT key, ws AS window_start, ws + INTERVAL 26 MINUTE AS window_end, count(*) AS n,
-       CAST(sum(CAST(round(x * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS total
+       CAST(sum(CAST(CAST(x AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE) AS total
 FROM w GROUP BY ALL
 HAVING ws + INTERVAL 26 MINUTE <= (SELECT max(t) FROM v) - INTERVAL 1 HOUR
 """
 
 STREAM_FANOUT_SQL = """
-SELECT event_type AS key, 'AMO' AS type, value * 10 AS value, date_trunc('second', ts) AS time
-FROM events WHERE event_id % 97 <> 0
+SELECT 'indexes' AS target, event_type AS key, 'AMO' AS type, value * 10 AS value, date_trunc('second', ts) AS time,
+       CAST(NULL AS BIGINT) AS seq FROM events WHERE event_id % 97 <> 0
 UNION ALL
-SELECT event_type, 'OBV', value, date_trunc('second', ts) FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+SELECT 'indexes', event_type, 'OBV', value, date_trunc('second', ts), NULL FROM events
+WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+UNION ALL
+SELECT 'parameters', event_type, NULL, NULL, date_trunc('second', ts), CAST(event_id AS BIGINT) FROM events WHERE event_id % 97 <> 0
 """
-
-

@@ -3,7 +3,7 @@ retail CSV files; mapping of SURVEY §7.2).
 
 Join order is chosen for scale: orders are first enriched with the customer's
 region (customer is keyed like orders' foreign key; nation and region are tiny
-dimensions broadcast after a size check), then lineitem meets orders once on
+dimensions that Spark broadcasts unaided), then lineitem meets orders once on
 the order key and part once on the part key. A Country filter on ``tx`` is
 pushed by Catalyst down to the region scan, and a date filter to the orders
 scan.
@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators.joins import broadcast_if_small
 from quire.sources.tables import load
 
 TX_COLUMNS = [
@@ -32,7 +31,7 @@ TX_COLUMNS = [
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = load(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    geo = broadcast_if_small(
+    geo = (
         nation.join(region, nation.n_regionkey == region.r_regionkey).select(
             F.col("n_nationkey").alias("c_nationkey"), "r_name"
         )

@@ -57,46 +57,60 @@ def get_spark(
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime part of the base settings to an existing session and
     make sure a checkpoint folder is known."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
-        try:
-            spark.conf.set(k, BASE_CONF[k])
-        except Exception:  # noqa: BLE001 - some confs are static on remote sessions
-            pass
+    for k in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled"):
+        spark.conf.set(k, BASE_CONF[k])
     checkpoint_dir(spark)
     return spark
 
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
-
-    Read from ``spark.checkpoint.dir``; when unset (a local run), a fresh
-    folder under the system temp dir is created and registered with the
-    context, so that ``DataFrame.checkpoint`` and streaming checkpoints work in
-    tests.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Connect sessions expose no SparkContext
-        path = spark.conf.get(CHECKPOINT_CONF, None)
-        if not path:
-            raise RuntimeError(f"{CHECKPOINT_CONF} must be set on a remote session") from None
-        return path
-    path = sc.getConf().get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(sc.applicationId)
+    """The shared checkpoint folder of the session: ``spark.checkpoint.dir``,
+    or else the folder given to ``SparkContext.setCheckpointDir``.
+
+    Only a local master may do without either: a fresh folder under the system
+    temp dir is then created and registered with the context. On a cluster each
+    executor would write to its own disk, so there it is an error."""
+    sc = spark.sparkContext
+    known = sc.getCheckpointDir()
+    path = sc.getConf().get(CHECKPOINT_CONF, None) or _LOCAL_DIRS.get(sc.applicationId) or known
     if not path:
-        path = tempfile.mkdtemp(prefix="quire-ckpt-")
-        _LOCAL_DIRS[sc.applicationId] = path
-    if sc.getCheckpointDir() is None:
+        if not _is_local(sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share (master {sc.master})")
+        path = _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="quire-ckpt-")
+    if known is None:
         sc.setCheckpointDir(path)
     return path
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this session has made and return how many;
+    for the end of a job, when no DataFrame over them is needed any more."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        remove_path(spark, p)
+    return len(paths)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours in whatever file system it lies."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quire-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/quire-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def local_test_session(cores: int = 4, partitions: int = 8) -> SparkSession:

@@ -1,3 +1,3 @@
 """Scans, connectors and sinks."""
 
-from quire.sources.tables import TABLES, load, register_views  # noqa: F401
+from quire.sources.tables import TABLES, load  # noqa: F401

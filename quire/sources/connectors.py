@@ -133,9 +133,3 @@ def append_table(df: DataFrame, name: str) -> None:
     """K1/K3/K4: append rows by column position into an existing table - a
     DataFrame write, never data spliced into SQL text (D6)."""
     df.write.mode("append").insertInto(name)
-
-
-def save_as_table(df: DataFrame, name: str, fmt: str | None = None) -> None:
-    """K1 in the reference's form: ``write.format(...).mode(Append).saveAsTable``."""
-    spark = df.sparkSession
-    df.write.format(fmt or ("hive" if _hive_enabled(spark) else "parquet")).mode("append").saveAsTable(name)

@@ -18,9 +18,3 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one table. Column pruning and filter pushdown reach the Parquet
     reader because callers only select/filter on the returned DataFrame."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """A temp view per table, so SQL text can name the tables."""
-    for n in names:
-        load(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -12,12 +12,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from quire.operators import ticks as TK
-from quire.operators.cdc import cdc_apply_with_deletes
+from quire.operators.cdc import cdc_merge
 from quire.operators.words import word_count
-from quire.sources.connectors import read_kafka_stream, as_text_pairs
+from quire.session import remove_path
+from quire.sources.connectors import as_text_pairs, read_kafka_stream, write_kafka_batch
 
 
 def source(
@@ -31,14 +33,14 @@ def source(
     starting: str = "earliest",
     max_files_per_trigger: int | None = None,
     path_glob: str | None = None,
-    spread_to: int | None = None,
+    repartition: int | None = None,
 ) -> DataFrame:
     """One entry point for stream sources: ``kafka`` (text key/value
     pairs) or a file format (``parquet``, ``json``, ``csv``, ``text``) read
     from the folder ``path`` (optionally only files matching ``path_glob``)
-    with a declared schema. ``spread_to`` round-robins each micro-batch over
-    that many tasks - for file streams made of few large, unsplittable files,
-    whose micro-batches would otherwise be parsed by one task each."""
+    with a declared schema. ``repartition`` (off by default) deals each
+    micro-batch round-robin over that many tasks, at the cost of a shuffle: only
+    for streams of few large, unsplittable files."""
     if kind == "kafka":
         return as_text_pairs(read_kafka_stream(spark, bootstrap, topic, starting))
     reader = spark.readStream.format(kind)
@@ -49,11 +51,7 @@ def source(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.load(path)
-    return df.repartition(spread_to) if spread_to else df
-
-
-def with_event_time(df: DataFrame, col: str = "ts", name: str = "event_time") -> DataFrame:
-    return df.withColumn(name, F.col(col).cast("timestamp"))
+    return df.repartition(repartition) if repartition else df
 
 
 def sliding_window_stats(values: DataFrame, window: str, slide: str | None, lateness: str) -> DataFrame:
@@ -62,27 +60,28 @@ def sliding_window_stats(values: DataFrame, window: str, slide: str | None, late
     return TK.window_stats(values.withWatermark("event_time", lateness), window, slide, prebucket=False)
 
 
-def macd_stream(values: DataFrame, window: str, slide: str, lateness: str, span: int = TK.SHORT_SPAN) -> DataFrame:
-    """B7 + T2 + T11 on a stream: the window's values wait in state (bounded by
-    the window length) until the watermark closes it, then the sorted values
-    are folded into MACD."""
-    w = F.window("event_time", window, slide)
-    agg = (
-        values.withWatermark("event_time", lateness)
-        .groupBy("key", w.alias("w"))
-        .agg(F.sort_array(F.collect_list(F.struct("event_time", "seq", "x"))).alias("vals"))
-        .withColumn("xs", F.transform("vals", lambda v: v["x"]))
-    )
-    xs = F.col("xs")
-    return agg.select(
-        "key",
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
-        F.size("vals").cast("long").alias("n"),
-        F.lit("MACD").alias("type"),
-        F.round(TK.macd_fold(xs, span), 6).alias("value"),
-        F.date_format(F.get("vals", 0)["event_time"], "HH:mm:ss").alias("split"),
-    )
+def closed_buckets(values: DataFrame, slide: str, lateness: str) -> DataFrame:
+    """T3 + T11: ticks wait in state once, in the tumbling bucket of the slide's
+    length that holds them, and come out as rows again when the watermark closes
+    it. Windows are built of whole buckets, so a window behind the watermark has
+    all its ticks in the output."""
+    tick = F.struct("event_time", "seq", "x")
+    held = values.withWatermark("event_time", lateness).groupBy("key", F.window("event_time", slide).alias("bucket")).agg(F.collect_list(tick).alias("ticks"))
+    return held.select("key", F.col("bucket.end").alias("bucket_end"), F.explode("ticks").alias("t")).select("key", "bucket_end", "t.*")
+
+
+def watermark_of(q: StreamingQuery) -> str | None:
+    """The last watermark a finished query reached, as its progress tells it."""
+    marks = [p["eventTime"]["watermark"] for p in q.recentProgress if "watermark" in (p["eventTime"] or {})]
+    return max(marks, default=None)
+
+
+def closed_macd(buckets: DataFrame, watermark: str | None, window: str, slide: str, span: int = TK.SHORT_SPAN) -> DataFrame:
+    """B7 + T2: MACD of the windows that end at the watermark or before, over
+    the closed buckets' ticks (the sink of ``closed_buckets``); the batch
+    operator, so each tick is stored and shuffled once and not per window."""
+    rows = TK.macd_windows(buckets, window, slide, span)
+    return rows.filter(F.col("window_end") <= F.lit(watermark).cast("timestamp"))
 
 
 def word_count_stream(lines: DataFrame, text_col: str = "value") -> DataFrame:
@@ -91,59 +90,124 @@ def word_count_stream(lines: DataFrame, text_col: str = "value") -> DataFrame:
     return word_count(lines, text_col)
 
 
-def cdc_replica_stream(decoded: DataFrame) -> DataFrame:
-    """B12 on a stream: last change per key kept in state (``max_by``);
-    rows whose last change is a delete are filtered by the reader."""
-    return cdc_apply_with_deletes(decoded)
+def _batches(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the ``<prefix><id>`` folders that are complete."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    done = lambda n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and done(n))
+
+
+def replica_batch(out_dir: str) -> Callable[[DataFrame, int], None]:
+    """B12 on a stream: every micro-batch of decoded changes is merged into the
+    replica: changed keys take their last change, deleted keys go and leave
+    nothing behind. Versions are folders ``v=<batch>``: a batch reads the newest
+    one before its own and writes its own, so a replayed batch gives the same
+    version again; older ones are deleted. A merge rewrites the replica: use
+    long triggers, or a table format with MERGE, when it is large. Changes of a
+    key must arrive in order, as a topic's partition keeps them."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        old = [b for b in _batches(spark, out_dir, "v=") if b < batch_id]
+        after = batch.select("after.*").schema
+        current = spark.read.schema(after).parquet(f"{out_dir}/v={old[-1]}") if old else spark.createDataFrame([], after)
+        cdc_merge(current, batch).write.mode("overwrite").parquet(f"{out_dir}/v={batch_id}")
+        for b in old[:-1]:
+            remove_path(spark, f"{out_dir}/v={b}")
+
+    return run
+
+
+def replica(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The replica's newest version."""
+    return spark.read.parquet(f"{out_dir}/v={_batches(spark, out_dir, 'v=')[-1]}")
 
 
-def changelog_batch(out_dir: str) -> Callable[[DataFrame, int], None]:
+def changelog_batch(out_dir: str, keys: list[str] | None = None, compact_every: int = 16) -> Callable[[DataFrame, int], None]:
     """K7 shape on files: each micro-batch's updated rows (``update`` output
-    mode) go to ``<out>/batch_id=<id>``; overwriting that folder makes a
-    replayed batch idempotent."""
+    mode) go to ``log/batch_id=<id>``; overwriting that folder makes a replayed
+    batch idempotent. With ``keys``, every ``compact_every`` batches the log so
+    far is reduced to the latest row per key in ``base/upto=<id>`` and the
+    folders it covers are deleted, so reads do not grow with history."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{out_dir}/log/batch_id={batch_id}")
+        if keys and batch_id % compact_every == compact_every - 1:
+            done = [b for b in _batches(spark, f"{out_dir}/log", "batch_id=") if b <= batch_id]
+            bases = _batches(spark, f"{out_dir}/base", "upto=")
+            compact_changelog(spark, out_dir, keys).write.mode("overwrite").parquet(f"{out_dir}/base/upto={batch_id}")
+            for b in done:
+                remove_path(spark, f"{out_dir}/log/batch_id={b}")
+            for b in bases:
+                if b < batch_id:
+                    remove_path(spark, f"{out_dir}/base/upto={b}")
 
     return run
 
 
 def compact_changelog(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
     """The current table of an update-mode changelog: per key, the row of the
-    latest batch (``max_by``, a partial aggregate)."""
-    log = spark.read.parquet(out_dir)
+    latest batch (``max_by``, a partial aggregate) of the newest base and the
+    log behind it."""
+    bases = _batches(spark, f"{out_dir}/base", "upto=")
+    base = bases[-1] if bases else -1
+    parts = [(base, f"{out_dir}/base/upto={base}")] if bases else []
+    parts += [(b, f"{out_dir}/log/batch_id={b}") for b in _batches(spark, f"{out_dir}/log", "batch_id=") if b > base]
+    frames = [spark.read.parquet(path).withColumn("batch_id", F.lit(b)) for b, path in parts]
+    log = frames[0]
+    for f in frames[1:]:
+        log = log.unionByName(f)
     values = [c for c in log.columns if c not in keys and c != "batch_id"]
     latest = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_row"))
     return latest.select(*keys, "_row.*")
 
 
-def fanout_batch(out_dir: str, kafka: tuple[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+FANOUT_TABLES = {
+    "parameters": "key STRING, value STRING, batch_id BIGINT",
+    "indexes": "key STRING, type STRING, value DOUBLE, time TIMESTAMP, batch_id BIGINT",
+}
+
+
+def fanout_tables(spark: SparkSession, database: str, suffix: str = "", location: str | None = None) -> dict[str, str]:
+    """K3 + K4: the two catalog tables of the fan-out, partitioned by batch."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
+    names = {}
+    for name, columns in FANOUT_TABLES.items():
+        names[name] = f"{database}.{name}{suffix}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {names[name]} ({columns}) USING parquet PARTITIONED BY (batch_id)")
+    return names
+
+
+def fanout_batch(tables: dict[str, str], topic_dir: str, kafka: tuple[str, str] | None = None, seq_col: str = "offset") -> Callable[[DataFrame, int], None]:
     """T10 + K3 + K4 + K5: a ``foreachBatch`` function writing one micro-batch
     of tick records to three places: the raw (key, value) table, the indicator
     table (key, type, value, time TIMESTAMP) and the indicator topic (JSON
     values; a file folder unless ``kafka`` = (bootstrap, topic) is given).
+    ``seq_col`` is the arrival order: ``offset`` for rows of a Kafka source.
 
-    The batch is parsed once and persisted because it feeds three writes.
-    Each write goes to a ``batch_id=<id>`` folder in overwrite mode, so a
-    replayed batch replaces its own output instead of duplicating it."""
+    The batch is parsed once and persisted because it feeds three writes. The
+    tables' and folder's part of a batch is overwritten, so a replayed batch
+    replaces its own rows there. A topic only takes appends: a replay sends its
+    records again (at least once)."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        parsed = TK.parse_ticks(batch, "value", seq_col="event_id").persist()
+        parsed = TK.parse_ticks(batch, "value", seq_col=seq_col).persist()
         try:
-            part = f"batch_id={batch_id}"
-            parsed.select("key", F.col("record").alias("value")).write.mode("overwrite").parquet(
-                f"{out_dir}/parameters/{part}"
-            )
+            raw = parsed.select("key", F.col("record").alias("value"))
             rows = TK.indicator_rows(parsed, full_time=True)
-            rows.write.mode("overwrite").parquet(f"{out_dir}/indexes/{part}")
+            for name, df in (("parameters", raw), ("indexes", rows)):
+                part = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                part.write.option("partitionOverwriteMode", "dynamic").insertInto(tables[name], overwrite=True)
             records = TK.to_kafka_records(rows)
             if kafka:
-                bootstrap, topic = kafka
-                records.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option(
-                    "topic", topic
-                ).save()
+                write_kafka_batch(records, *kafka)
             else:
-                records.write.mode("overwrite").json(f"{out_dir}/topic/{part}")
+                records.write.mode("overwrite").json(f"{topic_dir}/batch_id={batch_id}")
         finally:
             parsed.unpersist()
 

@@ -25,12 +25,12 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:8]}"
 
 
-def run_available_now(writer: DataStreamWriter, timeout_s: float = 600) -> StreamingQuery:
-    """Run over all available input, then stop. Raises if the query
-    failed or did not finish in time."""
+def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None) -> StreamingQuery:
+    """Run over all available input, then stop, however long it takes.
+    Raises if the query failed, or did not finish within ``timeout_s`` if given."""
     q = writer.trigger(availableNow=True).start()
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    if finished is False:
         q.stop()
         raise TimeoutError(f"streaming query {q.name or q.id} did not finish in {timeout_s}s")
     exc = q.exception()
