@@ -252,7 +252,7 @@ def similar_documents(
     # 2. neighbourhoods
     bands = classes.select("node", "sig").mapInArrow(_bands, "band long, node long")
     shared = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).where("c > 1").select("band", "low")
-    near = components(spark, bands.join(shared, "band").select(F.col("node").alias("u"), F.col("low").alias("v")))
+    near = components(spark, bands.join(shared.hint("merge"), "band").select(F.col("node").alias("u"), F.col("low").alias("v")))
     path = scratch_path(spark, "near")
     near.join(classes.select("node", "copies", "n", F.col("lead.no").alias("no")), "node").write.parquet(path)
     near = spark.read.parquet(path)
@@ -262,7 +262,9 @@ def similar_documents(
     placed = near.join(size, "root").withColumn("block", F.pmod(F.xxhash64("node", F.lit(9)), "tiles").cast("int"))
     one = placed.select("no", "node", "root", "copies", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k"))
     one = one.select("no", "node", "root", "copies", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"))
-    told = rows.select("no", "text").join(one, "no").groupBy("root", "i", "j").applyInArrow(_tile(words, least, num, den), "node long, links long, to long")
+    # both sides of these two joins grow with the corpus, so they are sort-merge
+    # joins at any size (and split where a key is hot)
+    told = rows.select("no", "text").join(one.hint("merge"), "no").groupBy("root", "i", "j").applyInArrow(_tile(words, least, num, den), "node long, links long, to long")
     path = scratch_path(spark, "links")
     told.write.parquet(path)
     told = spark.read.parquet(path)
