@@ -319,7 +319,7 @@ def quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
         ok = F.lit(True)
         for p, v in zip(R.QUARTILES, cuts[c]):
             below, upto = F.count_if(F.col(c) < v), F.count_if(F.col(c) <= v)
-            ok = ok & (upto >= (p - APPROX_ERROR) * n) & (below <= (p + APPROX_ERROR) * n)
+            ok = ok & (upto >= F.floor((p - APPROX_ERROR) * n)) & (below <= F.ceil((p + APPROX_ERROR) * n))
         near.append(F.struct(F.lit(c).alias("measure"), ok.alias("within"), n.alias("customers")))
     return r.agg(F.array(*near).alias("a")).select(F.explode("a").alias("a")).select("a.*")
 

@@ -201,8 +201,8 @@ def fanout_batch(tables: dict[str, str], topic_dir: str, kafka: tuple[str, str]
             raw = parsed.select("key", F.col("record").alias("value"))
             rows = TK.indicator_rows(parsed, full_time=True)
             for name, df in (("parameters", raw), ("indexes", rows)):
-                part = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                part.write.option("partitionOverwriteMode", "dynamic").insertInto(tables[name], overwrite=True)
+                target = f"{tables[name]} PARTITION (batch_id = {int(batch_id)})"
+                batch.sparkSession.sql(f"INSERT OVERWRITE TABLE {target} SELECT * FROM {{df}}", df=df)
             records = TK.to_kafka_records(rows)
             if kafka:
                 write_kafka_batch(records, *kafka)

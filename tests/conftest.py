@@ -10,15 +10,6 @@ sys.path.insert(0, ROOT)
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
-# Optional small CSV samples for the golden tests of FIXTURES.md (F1 flight
-# summary, F2 daily retail files), given by path or glob in the environment;
-# the golden tests are skipped when they are not set.
-RETAIL_GLOB = os.environ.get("QUIRE_RETAIL_CSV_GLOB", "")
-FLIGHTS_CSV = os.environ.get("QUIRE_FLIGHTS_CSV", "")
-
-needs_ref_data = pytest.mark.skipif(
-    not (RETAIL_GLOB and FLIGHTS_CSV), reason="QUIRE_RETAIL_CSV_GLOB / QUIRE_FLIGHTS_CSV not set"
-)
 
 
 @pytest.fixture(scope="session")
@@ -33,6 +24,9 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    from quire.session import clear_scratch
+
+    clear_scratch(s)
     s.stop()
 
 

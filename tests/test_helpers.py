@@ -1,32 +1,59 @@
 from __future__ import annotations
 
-from quire.operators.introspect import plan_text
-from quire.operators.joins import broadcast_if_small
-from quire.operators.parallel import spread
-from quire.session import scratch_path
-from quire.sources.tables import load
+import pytest
 
+from quire import session
+from quire.session import checkpoint_dir, clear_scratch, scratch_path
 
-def test_broadcast_only_after_size_check(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no automatic broadcast
+
+class _Conf:
+    def __init__(self, value):
+        self.value = value
+
+    def get(self, key, default=None):
+        return self.value or default
+
+
+class _Context:
+    """Stands in for a SparkContext: only what checkpoint_dir reads."""
+
+    def __init__(self, master, conf=None, known=None):
+        self.master, self.known, self.applicationId, self._conf = master, known, f"app-{master}-{conf}-{known}", _Conf(conf)
+
+    def getConf(self):
+        return self._conf
+
+    def getCheckpointDir(self):
+        return self.known
+
+    def setCheckpointDir(self, path):
+        self.known = path
+
+
+class _Session:
+    def __init__(self, **kw):
+        self.sparkContext = _Context(**kw)
+
+
+def test_cluster_needs_a_shared_folder(monkeypatch):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_Session(master="spark://host:7077"))
+    assert checkpoint_dir(_Session(master="yarn", conf="hdfs://shared")) == "hdfs://shared"
+    # a folder the caller has given to the context counts too
+    assert checkpoint_dir(_Session(master="yarn", known="hdfs://own/uuid")) == "hdfs://own/uuid"
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: "/tmp/made")
+    local = _Session(master="local[2]")
+    assert checkpoint_dir(local) == "/tmp/made" == local.sparkContext.known
+
+
+def test_scratch_is_cleared(spark):
+    before = dict(session._SCRATCH)
     try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in plan_text(big.join(broadcast_if_small(small, max_rows=10), "k"))
-        assert "BroadcastHashJoin" not in plan_text(big.join(broadcast_if_small(small, max_rows=9), "k"))
+        session._SCRATCH.clear()
+        path = scratch_path(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3 and clear_scratch(spark) == 1
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            spark.read.parquet(path)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_spread_by_file_count(spark, sf_small):
-    one_file = load(spark, sf_small, "events").select("event_id", "value")
-    spread_df = spread(one_file, 4)
-    assert "REPARTITION_BY_NUM" in plan_text(spread_df) and spread_df.count() == one_file.count()
-    many = scratch_path(spark, "many-files")
-    spark.range(100).repartition(6).write.parquet(many)
-    many_df = spark.read.parquet(many)
-    assert len(many_df.inputFiles()) >= 4
-    assert "REPARTITION_BY_NUM" not in plan_text(spread(many_df, 4))
-    # streams are left alone
-    stream = spark.readStream.schema("id long").parquet(many)
-    assert spread(stream, 4) is stream
+        session._SCRATCH.update(before)

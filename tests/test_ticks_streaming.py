@@ -4,12 +4,15 @@ import datetime as dt
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import ticks as TK
+from quire.operators.introspect import plan_text, stream_plan_text
 from quire.session import scratch_path
+from quire.sources.connectors import as_text_pairs
 from quire.streaming import jobs as J
-from quire.streaming.runner import checkpoint_for, run_available_now
+from quire.streaming.runner import checkpoint_for, run_available_now, unique_name
 
 T0 = dt.datetime(2018, 4, 9, 9, 30, 0)
 
@@ -88,7 +91,7 @@ def test_ema_by_key_matches_fold(spark):
         assert abs(got[key].macd - (fold(xs[:12]) - fold(xs))) < 1e-5
 
 
-def test_macd_windows_match_fold_and_stream(spark):
+def test_macd_windows_match_fold(spark):
     vals = TK.tick_values(TK.parse_ticks(_dense_ticks(spark), "value", seq_col="event_id")).cache()
     batch = {(r.key, r.window_start): r for r in TK.macd_windows(vals, "26 minutes", "1 minute").collect()}
     # brute force over the local rows
@@ -105,11 +108,53 @@ def test_macd_windows_match_fold_and_stream(spark):
         assert r.n == len(xs)
         assert abs(r.value - round(fold(xs[:12]) - fold(xs), 6)) < 1e-5
         assert r.split == items[0][0].strftime("%H:%M:%S")
-    # the streaming form (state + watermark) gives the same closed windows
-    stream = J.macd_stream(vals, "26 minutes", "1 minute", "0 seconds")
-    assert stream.isStreaming is False  # same expressions also run in batch
-    sv = {(r.key, r.window_start): r.value for r in stream.collect()}
-    assert all(abs(sv[k] - batch[k].value) < 1e-5 for k in batch)
+    # intermediate rows: every bucket beside its windows, no more
+    ranked, buckets = TK._bucketed(vals, 60)
+    n = buckets.count()
+    assert TK.bucket_windows(buckets, 26).count() == 26 * n and ranked.count() == len(local)
+
+
+def test_ema_plan_splits_a_key(spark):
+    vals = TK.tick_values(TK.parse_ticks(_dense_ticks(spark), "value", seq_col="event_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(TK.ema_by_key(vals), "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    top = plan[: plan.index("Join")]
+    # the final sum is behind an exchange on the key, the join before it is not on the key alone
+    assert "hashpartitioning(key" in top and "partial_sum" in top
+
+
+def test_macd_stream_26_by_1(spark):
+    """The reference's window on a real stream: closed windows as in batch."""
+    ticks = _dense_ticks(spark)
+    src, out = scratch_path(spark, "macd-src"), scratch_path(spark, "macd-out")
+    ticks.repartition(2).write.json(src)
+    stream = J.source(spark, "json", path=src, schema="event_id long, value string")
+    vals = TK.tick_values(TK.parse_ticks(stream, "value", seq_col="event_id"))
+    held = J.closed_buckets(vals, "1 minute", "10 minutes")
+    q = run_available_now(held.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint_for(spark, "macd")))
+    got = {(r.key, r.window_start): r for r in J.closed_macd(spark.read.parquet(out), J.watermark_of(q), "26 minutes", "1 minute").collect()}
+    batch_values = TK.tick_values(TK.parse_ticks(ticks, "value", seq_col="event_id"))
+    last = batch_values.agg(F.max("event_time")).first()[0] - dt.timedelta(minutes=10)
+    want = {(r.key, r.window_start): r for r in TK.macd_windows(batch_values, "26 minutes", "1 minute").collect() if r.window_end <= last}
+    assert held.isStreaming and want and got.keys() == want.keys()
+    assert all((got[k].n, got[k].value, got[k].split) == (want[k].n, want[k].value, want[k].split) for k in want)
+
+
+def test_totals_are_not_rounded(spark):
+    rows = [(i, line("k", i, 0.004, T0)) for i in range(10)]
+    vals = TK.tick_values(TK.parse_ticks(spark.createDataFrame(rows, "event_id long, value string"), "value", seq_col="event_id"))
+    assert TK.window_stats(vals, "26 minutes").first().total == 0.04
+    assert {r.total for r in TK.window_stats(vals, "26 minutes", "1 minute").collect()} == {0.04}
+
+
+def test_groups_come_in_bounded_chunks(spark):
+    parsed = TK.parse_ticks(_dense_ticks(spark), "value", seq_col="event_id")
+    got = TK.concat_groups(parsed, item=F.array("seq"), chunk=3).collect()
+    assert max(len(r["items"]) for r in got) == 3
+    assert sorted(x for r in got for x in r["items"]) == sorted(r.seq for r in parsed.collect())
 
 
 def _to_folder(out):
@@ -171,16 +216,46 @@ def test_stream_word_count_update_mode(spark):
     assert got == sorted([("a", 2), ("b", 1), ("b", 2), ("c", 1)])
 
 
-def test_foreach_batch_replay_is_idempotent(spark):
+def test_fanout_of_kafka_rows_and_replay(spark):
+    """Binary key and value with partition and offset, as a Kafka source gives
+    them, through the text pairs (S7, P5) into both tables and the topic."""
+    rows = [(None, bytearray(line("k", i, 3.0 + i, T0).encode()), 0, i) for i in (1, 2)]
+    batch = as_text_pairs(spark.createDataFrame(rows, "key binary, value binary, partition int, offset long"))
+    tables = J.fanout_tables(spark, "quire_test", f"_{unique_name('t')}", scratch_path(spark, "fanout-db"))
     out = scratch_path(spark, "fanout")
-    batch = spark.createDataFrame([(1, line("k", 1, 3.0, T0)), (2, line("k", 2, 4.0, T0))], "event_id long, value string")
-    fn = J.fanout_batch(out)
+    fn = J.fanout_batch(tables, out)
     fn(batch, 0)
     fn(batch, 0)  # replay of the same batch id
     fn(batch.limit(1), 1)
-    assert spark.read.parquet(f"{out}/indexes").count() == 4 + 2
-    assert spark.read.parquet(f"{out}/parameters").count() == 2 + 1
-    assert spark.read.json(f"{out}/topic").count() == 4 + 2
+    assert spark.table(tables["indexes"]).count() == 4 + 2
+    assert spark.table(tables["parameters"]).count() == 2 + 1
+    assert spark.read.json(f"{out}").count() == 4 + 2
+    assert dict(spark.table(tables["indexes"]).dtypes)["time"] == "timestamp"
+
+
+def test_stream_word_count_complete_mode(spark):
+    src, out = scratch_path(spark, "wcc-src"), scratch_path(spark, "wcc-out")
+    spark.createDataFrame([("a b a",), ("b",)], "value string").write.text(src)
+    counts = J.word_count_stream(J.source(spark, "text", path=src), "value")
+    run_available_now(counts.writeStream.outputMode("complete").foreachBatch(_to_folder(out)).option("checkpointLocation", checkpoint_for(spark, "wcc")))
+    assert sorted((r.word, r["count"]) for r in spark.read.parquet(f"{out}/batch_id=0").collect()) == [("a", 2), ("b", 2)]
+
+
+def test_a_time_limit_is_only_on_request(spark):
+    src = scratch_path(spark, "slow-src")
+    spark.range(4).write.parquet(src)
+    slow = spark.readStream.schema("id long").parquet(src)
+
+    def wait(batch, _):
+        import time
+
+        time.sleep(3)
+
+    w = lambda: slow.writeStream.foreachBatch(wait).option("checkpointLocation", checkpoint_for(spark, "slow"))
+    with pytest.raises(TimeoutError):
+        run_available_now(w(), timeout_s=1)
+    q = run_available_now(w())
+    assert q.exception() is None and "FileStreamSource" in stream_plan_text(q) + str(q.lastProgress)
 
 
 def test_memory_sink_queried_by_sql(spark):
