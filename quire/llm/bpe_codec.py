@@ -20,6 +20,7 @@ import re
 import struct
 import tempfile
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.textarrays import spare, text_column
+from quire.session import scratch_path
 
 LEXICON_WORDS = 1 << 16  # bound of the lexicon; rarer words are merged
 LONGEST = 32  # bytes of a word in the lexicon
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000  # bound of each memo of a Python worker
+NO_MERGE, ID_MASK = 1 << 60, (1 << 20) - 1
 
 
 def byte_letters() -> list[str]:
@@ -49,6 +52,13 @@ def byte_letters() -> list[str]:
 UNICODE_BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+# Code points up to U+017F but U+0130, whose lower case is two: composed, so
+# normal as they are, and of the same classes in every Unicode version in use.
+LATIN = re.compile("[\x00-\u012f\u0131-\u017f]*").fullmatch
+LATIN_LETTERS = "a-zªµºß-öø-ſ"  # of lower-cased text
+LATIN_NUMBERS = "0-9²³¹¼½¾"
+
+
 class WordBpe:
     """Exact encoder of a blank-free word, from a public vocabulary file."""
 
@@ -65,76 +75,92 @@ class WordBpe:
         steps = spec["normalizer"]["normalizers"]
         if [s["type"] for s in steps] != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("another normaliser than NFC, blanks, lower case")
-        # Unicode tables differ between versions, so words beyond ASCII go through
-        # the public library's own normaliser and splitter; merging is ours.
+        # Unicode tables differ between versions, so words beyond Latin letters go
+        # through the public library's own normaliser and splitter; merging is ours.
         library = Tokenizer.from_file(path)
         self.normal, self.pieces = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.split = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
+        for name, inside in ((r"\p{L}", LATIN_LETTERS), (r"\p{N}", LATIN_NUMBERS), (r"\s", UNICODE_BLANKS)):
+            pattern = pattern.replace(name, inside)  # they stand inside brackets only
+        self.split = re.compile(pattern).findall
         self.letters = byte_letters()
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
-        self.merges: dict[int, tuple[int, int]] = {}
+        self.merges: dict[int, int] = {}  # pair -> rank and merged id in one integer, so they sort by rank
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.vocab[a] << 20 | self.vocab[b]] = (rank, self.vocab[a + b])
+            self.merges[self.vocab[a] << 20 | self.vocab[b]] = rank << 20 | self.vocab[a + b]
+        self.piece_memo: dict[str, list[int]] = {}
         self.first = [self.vocab[c] for c in self.letters]
         self.final = [self.vocab[c + self.tail] for c in self.letters]
 
     def merged(self, ids: list[int]) -> list[int]:
         """Symbols with the lowest-ranked adjacent pair, leftmost first, merged
         until none is left."""
-        get = self.merges.get
         if len(ids) > 48:
             return self._merged_long(ids)
-        ranks = [get(a << 20 | b, (1 << 30, 0)) for a, b in zip(ids, ids[1:], strict=False)]
-        while ranks:
-            best = min(ranks)
-            if best[0] == 1 << 30:
-                break
+        get = self.merges.get
+        ranks = [get(a << 20 | b, NO_MERGE) for a, b in zip(ids, ids[1:])]  # noqa: B905
+        while ranks and (best := min(ranks)) != NO_MERGE:
             i = ranks.index(best)
-            ids[i : i + 2] = [best[1]]
-            del ranks[i]
+            new = best & ID_MASK
+            ids[i] = new
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = get(best[1] << 20 | ids[i + 1], (1 << 30, 0))
+                ranks[i] = get(new << 20 | ids[i + 1], NO_MERGE)
             if i:
-                ranks[i - 1] = get(ids[i - 1] << 20 | best[1], (1 << 30, 0))
+                ranks[i - 1] = get(ids[i - 1] << 20 | new, NO_MERGE)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         get, n = self.merges.get, len(ids)
         nxt, prv = [*range(1, n), -1], list(range(-1, n - 1))
-        heap = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := get(ids[i] << 20 | ids[i + 1]))]
+        heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := get(ids[i] << 20 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
-            j = nxt[i]
+            m, i, a, b = heapq.heappop(heap)
+            j, new = nxt[i], m & ID_MASK
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
             ids[i], ids[j] = new, -1
             k = nxt[i] = nxt[j]
             if k >= 0:
                 prv[k] = i
-                if m := get(new << 20 | ids[k]):
-                    heapq.heappush(heap, (m[0], i, new, ids[k], m[1]))
-            if (h := prv[i]) >= 0 and (m := get(ids[h] << 20 | new)):
-                heapq.heappush(heap, (m[0], h, ids[h], new, m[1]))
+                if (m := get(new << 20 | ids[k])) is not None:
+                    heapq.heappush(heap, (m, i, new, ids[k]))
+            if (h := prv[i]) >= 0 and (m := get(ids[h] << 20 | new)) is not None:
+                heapq.heappush(heap, (m, h, ids[h], new))
         return [x for x in ids if x >= 0]
 
     def encode_word(self, word: str) -> list[int]:
         """Ids of a piece of text without special strings."""
         out: list[int] = []
-        first, final = self.first, self.final
-        if not word.isascii():
-            for piece, _ in self.pieces(self.normal(word)):
-                out += self.merged([self.vocab[c] for c in piece[:-1]] + [self.vocab[piece[-1] + self.tail]])
+        memo = self.piece_memo
+        if LATIN(word):
+            for piece in self.split(word.lower()):
+                ids = memo.get(piece)
+                if ids is None:
+                    raw = piece.encode()
+                    ids = list(map(self.first.__getitem__, raw))
+                    ids[-1] = self.final[raw[-1]]
+                    ids = self._remember(piece, self.merged(ids))
+                out += ids
             return out
-        for piece in self.split(word.lower()):
-            raw = piece.encode()
-            ids = [first[b] for b in raw]
-            ids[-1] = final[raw[-1]]
-            out += self.merged(ids)
+        for piece, _ in self.pieces(self.normal(word)):
+            ids = memo.get("\0" + piece)  # here in the vocabulary's letters
+            if ids is None:
+                ids = [self.vocab[c] for c in piece[:-1]] + [self.vocab[piece[-1] + self.tail]]
+                ids = self._remember("\0" + piece, self.merged(ids))
+            out += ids
         return out
 
+    def _remember(self, piece: str, ids: list[int]) -> list[int]:
+        """Pieces recur in other words (case, punctuation)."""
+        if len(piece) <= 64:
+            if len(self.piece_memo) >= MEMO_ENTRIES:
+                self.piece_memo.clear()
+            self.piece_memo[piece] = ids
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """The vocabulary has no decoder: tokens joined by one space."""
         return " ".join([self.tokens[i] for i in ids])
@@ -235,7 +261,7 @@ class Lexicon:
         base = 8 + size
         found = {}
         for name, kind, n, at in json.loads(bytes(whole[8:base])):
-            found[name] = whole[base + at : base + at + n * np.dtype(kind).itemsize].view(kind)
+            found[name] = np.asarray(whole[base + at : base + at + n * np.dtype(kind).itemsize]).view(kind)
         return cls(found)
 
     def find(self, words: list[bytes]) -> np.ndarray:
@@ -285,29 +311,25 @@ class Codec:
         self.memo: dict[str, bytes] = {}
         self.memo_entries = memo_entries
 
-    def words(self, words: set[str]) -> dict[str, bytes]:
-        """Packed ids of each distinct word of a batch."""
-        memo, known = self.memo, {}
-        todo = [w for w in words if w not in memo]
+    def learn(self, words: set[str]) -> list[str]:
+        """Put the packed ids of a batch's distinct words into the memo; the long
+        ones, which are not to stay there."""
+        memo = self.memo
+        todo = list(words.difference(memo))
         if len(memo) + len(todo) > self.memo_entries:
             memo.clear()
             todo = list(words)
         if todo and self.lexicon is not None:
             found = self.lexicon.find([w.encode() for w in todo])
             ids, at = self.lexicon.ids, self.lexicon.id_at
-            for w, k in zip(todo, found.tolist(), strict=True):
-                if k >= 0:
-                    known[w] = ids[at[k] : at[k + 1]].tobytes()
-            todo = [w for w in todo if w not in known]
+            for i in np.flatnonzero(found >= 0).tolist():
+                k = found[i]
+                memo[todo[i]] = ids[at[k] : at[k + 1]].tobytes()
+            todo = [todo[i] for i in np.flatnonzero(found < 0).tolist()]
+        encode = self.bpe.encode_word
         for w in todo:
-            packed = np.array(self.bpe.encode_word(w), dtype="<u4").tobytes()
-            if len(w) <= 64:
-                memo[w] = packed
-            known[w] = packed
-        for w in words:
-            if w not in known:
-                known[w] = memo[w]
-        return known
+            memo[w] = array("I", encode(w)).tobytes()
+        return [w for w in todo if len(w) > 64]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each whole text."""
@@ -318,14 +340,16 @@ class Codec:
         for p, m in zip(parts, marked, strict=True):
             for q in (p[::2] if m else (p,)):
                 seen.update(q)
-        known = self.words(seen)
-        get = known.__getitem__
+        long = self.learn(seen)
+        get = self.memo.__getitem__
         out = []
         for p, m in zip(parts, marked, strict=True):
             if m:
                 out.append(b"".join(b"".join(map(get, q)) if isinstance(q, list) else struct.pack("<I", self.bpe.special[q]) for q in p))
             else:
                 out.append(b"".join(map(get, p)))
+        for w in long:
+            del self.memo[w]
         return out
 
     def decode(self, packed: list[bytes]) -> list[str]:
@@ -353,8 +377,9 @@ def codec(vocab_path: str, lexicon_file: str | None) -> Codec:
 
 
 def frequent_words(docs: DataFrame, text_col: str = "text", words: int = LEXICON_WORDS) -> DataFrame:
-    """The ``words`` most frequent blank-separated words of at most LONGEST
-    bytes, counted over all documents; counts are combined per task first."""
+    """The most frequent blank-separated words of at most LONGEST bytes, as many
+    whole steps of frequency as hold at most ``words``, counted over all
+    documents; counts are combined per task first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -367,8 +392,21 @@ def frequent_words(docs: DataFrame, text_col: str = "text", words: int = LEXICON
                 del c[w]
             yield pa.record_batch([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["w", "n"])
 
+    spark = docs.sparkSession
+    path = scratch_path(spark, "words")
     got = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).mapInArrow(run, "w string, n long")
-    return got.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(words)
+    got.groupBy("w").agg(F.sum("n").alias("n")).write.parquet(path)
+    got = spark.read.parquet(path)
+    # eight steps per doubling of the count: some hundred rows tell how far down
+    # the counts the bound reaches, so no task sends more than that
+    step = F.floor(F.log2("n") * 8)
+    total, least = 0, None
+    for r in sorted(got.groupBy(step.alias("s")).agg(F.count("*").alias("k")).collect(), key=lambda r: -r["s"]):
+        total += r["k"]
+        if total > words:
+            break
+        least = r["s"]
+    return got.where(step >= least) if least is not None else got.limit(words)
 
 
 def build_lexicon(spark: SparkSession, docs: DataFrame, vocab_path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
