@@ -7,6 +7,7 @@ session and only fill it in when it is unset (local runs and tests).
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -99,6 +100,15 @@ def clear_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps. Its cleaner removes
+    them once their plans are collected as garbage in the driver, which a driver
+    with a large heap may not do for half an hour; call this between long steps
+    that are cut by written tables, so that a job's disk use is that of one step."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of ours in whatever file system it lies."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
