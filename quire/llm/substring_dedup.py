@@ -301,7 +301,7 @@ def dedup_substrings(
     they lose all when long enough; an empty table gives an empty result; other
     columns aren't read. Window names have 128 bits; no other step can err.
     """
-    from quire.session import scratch_path
+    from quire.session import release_shuffles, remove_path, scratch_path
 
     if not 2 <= width <= 63:
         raise ValueError("width must be 2 to 63")
@@ -322,12 +322,19 @@ def dedup_substrings(
     # equal texts are a class; its first row's spots stand for all
     classes = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.struct("no", "own")).alias("one"))
     known = classes.select("key", "copies", F.col("one.no").alias("cid"), "one.own").join(spots, F.col("cid") == F.col("no"), "left").drop("no")
+    at, path = path, scratch_path(spark, "spots")
+    known.write.parquet(path)
+    known = spark.read.parquet(path)
+    # what the anchors took on disk isn't needed any more
+    remove_path(spark, at)
+    release_shuffles(spark)
 
     path = scratch_path(spark, "windows")
     src.join(known, "key").select("id", "cid", "t", "copies", "spots", "own").mapInArrow(
         _verify_rows(width, as_text),
         f"id {id_type}, cid long, n_words long, n_removed long, kept string, text string, names binary, at binary, sure binary, hits binary",
     ).write.parquet(path)
+    release_shuffles(spark)
     rows = spark.read.parquet(path)
     asked = rows.where("names is not null or sure is not null").select("cid", "names", "at", "sure")
     windows = asked.mapInArrow(_window_rows, "cid long, at int, a long, b long")
