@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.components import components
 from quire.llm.textarrays import GOLDEN, Texts, U, chunks, combine, fold, mix64, text_column
-from quire.session import scratch_path
+from quire.session import release_shuffles, scratch_path
 
 WORDS = 5
 HASHES, BAND = 128, 4  # 32 bands: a pair at 0.8 shares none with chance 5e-8
@@ -249,6 +249,7 @@ def similar_documents(
         .withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
     )
     classes = spark.read.parquet(path)
+    release_shuffles(spark)
     # 2. neighbourhoods
     bands = classes.select("node", "sig").mapInArrow(_bands, "band long, node long")
     shared = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).where("c > 1").select("band", "low")
@@ -256,6 +257,7 @@ def similar_documents(
     path = scratch_path(spark, "near")
     near.join(classes.select("node", "copies", "n", F.col("lead.no").alias("no")), "node").write.parquet(path)
     near = spark.read.parquet(path)
+    release_shuffles(spark)
     # 3. tiles
     size = near.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     size = size.select("root", F.greatest(F.ceil(F.col("c") / TILE_CLASSES), F.ceil(F.col("s") / TILE_SHINGLES)).cast("int").alias("tiles"))
@@ -268,6 +270,7 @@ def similar_documents(
     path = scratch_path(spark, "links")
     told.write.parquet(path)
     told = spark.read.parquet(path)
+    release_shuffles(spark)
     # 4. classes of linked classes
     groups = components(spark, told.select(F.col("node").alias("u"), F.col("to").alias("v")))
     total = told.groupBy("node").agg(F.sum("links").alias("links"))
