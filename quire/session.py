@@ -7,12 +7,11 @@ session and only fill it in when it is unset (local runs and tests).
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -100,13 +99,27 @@ def clear_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps. Its cleaner removes
-    them once their plans are collected as garbage in the driver, which a driver
-    with a large heap may not do for half an hour; call this between long steps
-    that are cut by written tables, so that a job's disk use is that of one step."""
-    gc.collect()
-    spark._jvm.System.gc()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_scratch(df: DataFrame, name: str) -> str:
+    """Write a step's result to a new scratch folder and return its path. With
+    Spark's own clean-up on, the shuffle files of the step go when it ends, not
+    when the driver happens to collect its plan, so that a job of many steps
+    needs the disk of one. (The switch is the session's, and is put back; on a
+    session that lacks it the files stay until Spark's cleaner takes them.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_CLEANUP, None)
+    if before is None:
+        df.write.parquet(path)
+        return path
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
