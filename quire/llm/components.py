@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.session import scratch_path
+from quire.session import write_scratch
 
 
 def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path = scratch_path(spark, "stars")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(write_scratch(df, "stars"))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

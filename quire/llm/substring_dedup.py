@@ -301,7 +301,7 @@ def dedup_substrings(
     they lose all when long enough; an empty table gives an empty result; other
     columns aren't read. Window names have 128 bits; no other step can err.
     """
-    from quire.session import release_shuffles, remove_path, scratch_path
+    from quire.session import remove_path, write_scratch
 
     if not 2 <= width <= 63:
         raise ValueError("width must be 2 to 63")
@@ -310,9 +310,8 @@ def dedup_substrings(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     src = docs.select(F.col(id_col).alias("id"), F.md5(text).alias("key"), text.alias("t"))
 
-    path = scratch_path(spark, "anchors")
     made = src.select("key", "t").mapInArrow(_anchor_rows(width), "key string, anchor array<long>, from array<int>, to array<int>, sure array<long>, own array<int>")
-    made.withColumn("no", F.monotonically_increasing_id()).write.parquet(path)
+    path = write_scratch(made.withColumn("no", F.monotonically_increasing_id()), "anchors")
     rows = spark.read.parquet(path)
     # an anchor is repeated if it was made at two places, or in one piece again
     listed = rows.select(F.explode(F.concat("anchor", "sure", "sure")).alias("anchor"))
@@ -322,20 +321,14 @@ def dedup_substrings(
     # equal texts are a class; its first row's spots stand for all
     classes = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.struct("no", "own")).alias("one"))
     known = classes.select("key", "copies", F.col("one.no").alias("cid"), "one.own").join(spots, F.col("cid") == F.col("no"), "left").drop("no")
-    at, path = path, scratch_path(spark, "spots")
-    known.write.parquet(path)
-    known = spark.read.parquet(path)
-    # what the anchors took on disk isn't needed any more
-    remove_path(spark, at)
-    release_shuffles(spark)
-
-    path = scratch_path(spark, "windows")
-    src.join(known, "key").select("id", "cid", "t", "copies", "spots", "own").mapInArrow(
+    known = spark.read.parquet(write_scratch(known, "spots"))
+    remove_path(spark, path)  # the anchors aren't needed any more
+
+    checked = src.join(known, "key").select("id", "cid", "t", "copies", "spots", "own").mapInArrow(
         _verify_rows(width, as_text),
         f"id {id_type}, cid long, n_words long, n_removed long, kept string, text string, names binary, at binary, sure binary, hits binary",
-    ).write.parquet(path)
-    release_shuffles(spark)
-    rows = spark.read.parquet(path)
+    )
+    rows = spark.read.parquet(write_scratch(checked, "windows"))
     asked = rows.where("names is not null or sure is not null").select("cid", "names", "at", "sure")
     windows = asked.mapInArrow(_window_rows, "cid long, at int, a long, b long")
     twice = windows.groupBy("a", "b").agg(F.sum(F.when(F.col("at") < 0, 2).otherwise(1)).alias("c")).where("c > 1").select("a", "b")
@@ -343,6 +336,7 @@ def dedup_substrings(
     open_rows = rows.where("text is not null and names is not null").select("cid", "names", "at", F.lit(None).cast("binary").alias("sure"))
     wanted = open_rows.mapInArrow(_window_rows, "cid long, at int, a long, b long")
     hits = wanted.join(twice, ["a", "b"]).groupBy("cid").agg(F.collect_list("at").alias("found"))
+    hits = spark.read.parquet(write_scratch(hits, "hits"))
     cut = rows.where("text is not null").select("id", "cid", "text", F.col("hits").alias("own")).join(hits, "cid", "left")
     cut = cut.select("id", "text", "own", "found").mapInArrow(_cut_rows(width, as_text), f"id {id_type}, n_words long, n_removed long, kept string")
     done = rows.where("text is null").select("id", "n_words", "n_removed", "kept")
