@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.components import components
 from quire.llm.textarrays import GOLDEN, Texts, U, chunks, combine, fold, mix64, text_column
-from quire.session import release_shuffles, scratch_path
+from quire.session import write_scratch
 
 WORDS = 5
 HASHES, BAND = 128, 4  # 32 bands: a pair at 0.8 shares none with chance 5e-8
@@ -234,30 +234,25 @@ def similar_documents(
     fields = docs.columns if carry else [text_col]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # 1. classes of equal shingle sets
-    path = scratch_path(spark, "profiles")
     src = docs.select(F.col(id_col).alias("id"), text.alias("t"), F.struct(*[F.col(f"`{c}`") for c in fields]).alias("row"))
     src = src.select(F.struct("id", "row").alias("id"), "t")
     kind = src.schema["id"].dataType.simpleString()
     made = src.mapInArrow(_profile(words), f"id {kind}, row string, a long, b long, n long, sig binary")
     # the text itself comes back as a column of its own; rows get a number here
-    made.select(F.monotonically_increasing_id().alias("no"), "id.id", *(["id.row"] if carry else []), F.col("row").alias("text"), "a", "b", "n", "sig").write.parquet(path)
-    rows = spark.read.parquet(path)
-    path = scratch_path(spark, "classes")
-    (
+    made = made.select(F.monotonically_increasing_id().alias("no"), "id.id", *(["id.row"] if carry else []), F.col("row").alias("text"), "a", "b", "n", "sig")
+    rows = spark.read.parquet(write_scratch(made, "profiles"))
+    classes = (
         rows.where("a is not null").groupBy("a", "b")
         .agg(F.count("*").alias("copies"), F.min(F.struct("id", "no")).alias("lead"), F.max("n").alias("n"), F.first("sig").alias("sig"))
-        .withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
+        .withColumn("node", F.monotonically_increasing_id())
     )
-    classes = spark.read.parquet(path)
-    release_shuffles(spark)
+    classes = spark.read.parquet(write_scratch(classes, "classes"))
     # 2. neighbourhoods
     bands = classes.select("node", "sig").mapInArrow(_bands, "band long, node long")
     shared = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).where("c > 1").select("band", "low")
     near = components(spark, bands.join(shared.hint("merge"), "band").select(F.col("node").alias("u"), F.col("low").alias("v")))
-    path = scratch_path(spark, "near")
-    near.join(classes.select("node", "copies", "n", F.col("lead.no").alias("no")), "node").write.parquet(path)
-    near = spark.read.parquet(path)
-    release_shuffles(spark)
+    near = near.join(classes.select("node", "copies", "n", F.col("lead.no").alias("no")), "node")
+    near = spark.read.parquet(write_scratch(near, "near"))
     # 3. tiles
     size = near.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     size = size.select("root", F.greatest(F.ceil(F.col("c") / TILE_CLASSES), F.ceil(F.col("s") / TILE_SHINGLES)).cast("int").alias("tiles"))
@@ -267,10 +262,7 @@ def similar_documents(
     # both sides of these two joins grow with the corpus, so they are sort-merge
     # joins at any size (and split where a key is hot)
     told = rows.select("no", "text").join(one.hint("merge"), "no").groupBy("root", "i", "j").applyInArrow(_tile(words, least, num, den), "node long, links long, to long")
-    path = scratch_path(spark, "links")
-    told.write.parquet(path)
-    told = spark.read.parquet(path)
-    release_shuffles(spark)
+    told = spark.read.parquet(write_scratch(told, "links"))
     # 4. classes of linked classes
     groups = components(spark, told.select(F.col("node").alias("u"), F.col("to").alias("v")))
     total = told.groupBy("node").agg(F.sum("links").alias("links"))
