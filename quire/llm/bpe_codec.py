@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.textarrays import spare, text_column
-from quire.session import scratch_path
+from quire.session import write_scratch
 
 LEXICON_WORDS = 1 << 16  # bound of the lexicon; rarer words are merged
 LONGEST = 32  # bytes of a word in the lexicon
@@ -393,10 +393,8 @@ def frequent_words(docs: DataFrame, text_col: str = "text", words: int = LEXICON
             yield pa.record_batch([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], names=["w", "n"])
 
     spark = docs.sparkSession
-    path = scratch_path(spark, "words")
     got = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).mapInArrow(run, "w string, n long")
-    got.groupBy("w").agg(F.sum("n").alias("n")).write.parquet(path)
-    got = spark.read.parquet(path)
+    got = spark.read.parquet(write_scratch(got.groupBy("w").agg(F.sum("n").alias("n")), "words"))
     # eight steps per doubling of the count: some hundred rows tell how far down
     # the counts the bound reaches, so no task sends more than that
     step = F.floor(F.log2("n") * 8)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.components import components
-from quire.session import scratch_path
+from quire.session import write_scratch
 
 THRESHOLD = 0.95
 CENTRES, SAMPLE = 64, 4096  # per split; the sample's bound
@@ -301,10 +301,8 @@ def near_duplicates(
     approximate but audited (see above); no pair below the threshold is linked.
     """
     src = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    path = scratch_path(spark, "vectors")
     classes = src.where(_valid("v")).groupBy("v").agg(F.count("*").alias("weight"), F.min("id").alias("low"))
-    classes.withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
-    classes = spark.read.parquet(path)
+    classes = spark.read.parquet(write_scratch(classes.withColumn("node", F.monotonically_increasing_id()), "vectors"))
     common = classes.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dim = common["d"] if common else 0
     nodes = classes.where(F.size("v") == dim)
@@ -331,9 +329,7 @@ def _linked(spark: SparkSession, nodes: DataFrame, threshold: float, overlap: in
     done = None
     level = 0
     while True:
-        path = scratch_path(spark, f"shards{level}")
-        _split(spark, rows, level, overlap).write.parquet(path)
-        rows = spark.read.parquet(path)
+        rows = spark.read.parquet(write_scratch(_split(spark, rows, level, overlap), f"shards{level}"))
         level += 1
         sizes = rows.groupBy("shard").agg(F.count("*").alias("c"))
         large = sizes.where(F.col("c") > SHARD).select("shard")
@@ -343,22 +339,18 @@ def _linked(spark: SparkSession, nodes: DataFrame, threshold: float, overlap: in
         done = small if done is None else done.unionByName(small)
         rows = rows.join(large, "shard").select(*rows.columns)
     rows = rows if done is None else done.unionByName(rows)
-    path = scratch_path(spark, "placed")
     tiles = rows.groupBy("shard").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     lists = rows.groupBy("node").agg(F.collect_set("shard").alias("shards"))
     placed = rows.join(tiles, "shard").join(lists, "node").withColumn("block", F.pmod(F.xxhash64("node", "shard"), "tiles").cast("int"))
-    placed.write.parquet(path)
-    placed = spark.read.parquet(path)
+    placed = spark.read.parquet(write_scratch(placed, "placed"))
     dealt = placed.select("node", "weight", "v", "shard", "shards", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k"))
     dealt = dealt.withColumns({"i": F.least("block", "k"), "j": F.greatest("block", "k")}).drop("k")
-    path = scratch_path(spark, "graph")
     near = dealt.select("node", "v", "shard", "i", "j").groupBy("shard", "i", "j").applyInArrow(_build, "node long, near array<long>")
-    near.select("node", F.explode("near").alias("to")).distinct().groupBy("node").agg(F.collect_list("to").alias("near")).write.parquet(path)
-    graph = spark.read.parquet(path)
-    path = scratch_path(spark, "found")
+    lists = near.select("node", F.explode("near").alias("to")).distinct().groupBy("node").agg(F.collect_list("to").alias("near"))
+    graph = spark.read.parquet(write_scratch(lists, "graph"))
     found = dealt.join(graph, "node", "left").withColumn("near", F.coalesce("near", F.array().cast("array<long>")))
-    found.groupBy("shard", "i", "j").applyInArrow(_find(threshold, beam), "node long, links long, to long").write.parquet(path)
-    return spark.read.parquet(path)
+    found = found.groupBy("shard", "i", "j").applyInArrow(_find(threshold, beam), "node long, links long, to long")
+    return spark.read.parquet(write_scratch(found, "found"))
 
 
 def _recall(spark: SparkSession, nodes: DataFrame, told: DataFrame, asked: list, threshold: float) -> float:

@@ -63,11 +63,9 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
 
     counts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")).mapInArrow(run, "w long, n long")
     counts = counts.groupBy("w").agg(F.sum("n").alias("n"))
-    from quire.session import scratch_path
+    from quire.session import write_scratch
 
-    path = scratch_path(docs.sparkSession, "word-counts")
-    counts.write.parquet(path)
-    counts = docs.sparkSession.read.parquet(path)
+    counts = docs.sparkSession.read.parquet(write_scratch(counts, "word-counts"))
     top = counts.orderBy(F.desc("n"), "w").limit(WORDS).collect()
     names = np.array([r["w"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(names)
