@@ -2,20 +2,25 @@
 
 The mix is a sequence of slots, each one block of words of one source. Slot i
 takes the point frac(i * golden ratio), mapped through the sources' cumulative
-shares; the slots of a source are ranked, and rank r takes block r modulo the
-source's number of blocks. A source's documents, shuffled by a hash of their
-id and text, are laid end to end and cut into blocks of equal words, so a source
-is taken evenly and as often as its share asks.
+shares of the slots; the slots of a source are ranked, and rank r takes block r
+modulo the source's number of blocks. A source's documents, shuffled by a hash
+of their id and text, are laid end to end and cut into blocks of equal words, so
+a source is taken evenly and as often as its share asks. Blocks keep their size
+however large the corpus, a small source has smaller ones, and a source's share
+of the slots is its target in its own blocks.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PHI = 0.6180339887498949
+PHI_HIGH = 0.607787409740351  # fractional part of 2^20 times the golden ratio
 WORD_RE = r"[^\x20\x09-\x0D]+"
-MAX_SLOTS = 1 << 22
+LEAST_BLOCKS = 1024  # of a source, or one for each word
 BUCKETS = 4096
 
 
@@ -55,13 +60,14 @@ def capped_targets(sizes: DataFrame, cap: float = 3.0, weights: tuple[int, ...]
     )
 
 
-def schedule(spark: SparkSession, targets: DataFrame, block: int, slots: int) -> DataFrame:
-    """(i, rank, slot): the sources' slots. A source is found through a grid of
-    the unit interval: an interval of cumulative share covers some cells, a point
-    lies in one, and cells are joined by equality."""
-    cells = 4096
-    share = F.coalesce(F.try_divide(F.col("target"), F.sum("target").over(Window.partitionBy())), F.lit(0.0))
-    t = targets.withColumn("share", share)
+def schedule(spark: SparkSession, wanted: DataFrame) -> DataFrame:
+    """(i, slot): the sources' slots, from (i, want), the slots each source is due.
+    A source is found through a grid of the unit interval: an interval of cumulative
+    share covers some cells, a point lies in one, and cells are joined by equality."""
+    slots, sources = wanted.agg(F.coalesce(F.sum("want"), F.lit(0.0)), F.count("*")).first()
+    slots, cells = math.ceil(slots), max(4096, 4 * sources)
+    share = F.coalesce(F.try_divide(F.col("want"), F.sum("want").over(Window.partitionBy())), F.lit(0.0))
+    t = wanted.withColumn("share", share)
     upto = Window.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("hi", F.sum("share").over(upto)).withColumn("last", F.max("i").over(Window.partitionBy()) == F.col("i"))
     t = t.withColumn("hi", F.when(F.col("last"), 2.0).otherwise(F.col("hi")))
@@ -70,7 +76,8 @@ def schedule(spark: SparkSession, targets: DataFrame, block: int, slots: int) ->
         "i", "lo", "hi",
         F.explode(F.sequence(F.floor(F.col("lo") * cells).cast("int"), F.least(F.floor(F.col("hi") * cells), F.lit(cells)).cast("int"))).alias("cell"),
     )
-    x = F.col("id") * F.lit(PHI)
+    # the high and low bits of a slot's number apart, so that no digit is lost
+    x = F.shiftright("id", 20) * F.lit(PHI_HIGH) + F.col("id").bitwiseAND(F.lit((1 << 20) - 1)) * F.lit(PHI)
     points = spark.range(slots).select(F.col("id").alias("slot"), (x - F.floor(x)).alias("x"))
     points = points.withColumn("cell", F.floor(F.col("x") * cells).cast("int"))
     return points.join(grid, "cell").where((F.col("x") >= F.col("lo")) & (F.col("x") < F.col("hi"))).select("i", "slot")
@@ -93,11 +100,11 @@ def mix(
     most ``cap`` times its size. Null and empty texts have size 0 and nothing
     taken; null is a source of its own; equal rows are mixed as separate
     documents laid side by side; an empty table gives none; other columns are
-    only carried inside ``row`` and can't clash. Blocks have ``min_block`` words,
-    or more in a large corpus so that there are about 4M slots at any size: the
-    targets are then met to some millionths.
+    only carried inside ``row`` and can't clash. A source's blocks are equal and of
+    at most ``min_block`` words; a source has 1,024 or more of them, or one for
+    each word, so a target is missed by some slots of the source's own size.
     """
-    from quire.session import scratch_path
+    from quire.session import scratch_path, write_scratch
 
     cols = [F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")]
     sized = docs.select(*cols, F.xxhash64(F.col(id_col), F.col(text_col), F.lit(8)).alias("h"))
@@ -111,12 +118,12 @@ def mix(
 
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = capped_targets(per_source, float(cap))
-    total = sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    block = max(min_block, -(-total // MAX_SLOTS))
-    ranked = schedule(spark, targets, block, -(-total // block)).groupBy("i").agg(F.count("*").alias("slots"))
+    blocks = F.greatest(F.ceil(F.col("source_size") / min_block), F.least("source_size", F.lit(LEAST_BLOCKS)))
+    want = F.coalesce(F.try_divide(F.col("target") * F.col("blocks"), F.col("source_size")), F.lit(0.0))
+    targets = spark.read.parquet(write_scratch(targets.withColumn("blocks", blocks).withColumn("want", want), "mix-targets"))
+    ranked = schedule(spark, targets.select("i", "want")).groupBy("i").agg(F.count("*").alias("slots"))
     plan = (
         targets.join(ranked, "i", "left")
-        .withColumn("blocks", F.ceil(F.col("source_size") / block))
         .withColumn("slots", F.least(F.coalesce("slots", F.lit(0)), cap * F.col("blocks")))
         .select(F.col("source").alias("s"), "source_size", "target", "blocks", "slots")
     )
@@ -138,10 +145,11 @@ def mix(
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
     # Block k of a source is taken once for each rank r = k modulo its blocks.
-    # A document's blocks are first..last; the ranks give each of them `full`
-    # rounds, and one more to the first `rest` blocks.
+    # The ranks give each block `full` rounds, and one more to the first `rest`,
+    # which end at the word `edge`; cuts lie at equal parts of the source.
     full = F.floor(F.col("slots") / F.greatest(F.col("blocks"), F.lit(1)))
     rest = F.col("slots") - full * F.col("blocks")
-    more = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), rest * block) - F.least(F.col("at"), rest * block))
+    edge = F.floor(rest * F.col("source_size").cast("decimal(20,0)") / F.greatest(F.col("blocks"), F.lit(1))).cast("long")
+    more = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), edge) - F.least(F.col("at"), edge))
     taken = F.when(F.col("size") > 0, full * F.col("size") + more).otherwise(0).cast("long")
     return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"), *(["row"] if carry else []))
