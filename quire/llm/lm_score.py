@@ -1,7 +1,9 @@
 """Masked pseudo-likelihood of documents by a bidirectional window network.
 
-The vocabulary is the corpus' most frequent words and hash buckets for the
-rest, from counts over all documents. A network in numpy predicts every word
+The network's vocabulary is the corpus' most frequent words, more of them in a
+larger corpus, and hash buckets for the rest, from counts over all documents; a
+word of a bucket has the bucket's probability by its own share of the bucket's
+count, which Spark joins for rare words. A network in numpy predicts every word
 from two words on each side: an embedding per side position, one hidden layer,
 and a softmax in two levels (class, then word). Every task trains a copy on a
 fixed share of the positions of its own documents, so the training data grow
@@ -12,8 +14,9 @@ log-probabilities of all its words.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,9 @@ from pyspark.sql import functions as F
 from quire.llm.textarrays import Texts, U, chunks, mix64, text_column
 
 CLASSES, PER_CLASS = 64, 40
-WORDS, BUCKETS = 2048, CLASSES * PER_CLASS - 2048
-SIZE = CLASSES * PER_CLASS
+SIZE = CLASSES * PER_CLASS  # at least; a fifth of the ids are buckets
+STEP = 1 / 3  # a word seen this often times the root of the corpus' words has an id
+HEAD = 1 << 17  # words whose counts travel to the tasks; others' counts are joined
 SIDES = (-2, -1, 1, 2)
 HIDDEN = 32
 SHARE = 16  # a round trains on one in SHARE positions of every document
@@ -38,21 +42,49 @@ class Vocabulary:
     names: np.ndarray  # of the frequent words, ascending
     ids: np.ndarray  # their ids, 0 the most frequent
     log_freq: np.ndarray  # of each id
-    log_kinds: np.ndarray  # log of the distinct words that share an id
+    log_total: np.ndarray  # log of the words counted for each id, and one for unseen words
+    shape: tuple[int, int] = (CLASSES, PER_CLASS)
+    head: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # words, ascending
+    head_log: np.ndarray = field(default_factory=lambda: np.zeros(0))  # logs of their counts
+    counts: str = ""  # folder of the counts (w, n) of all words
+
+    @property
+    def size(self) -> int:
+        return self.shape[0] * self.shape[1]
+
+    @property
+    def words(self) -> int:
+        return self.size - self.size // 5
 
     def encode(self, names: np.ndarray) -> np.ndarray:
-        out = (WORDS + (mix64(names) % U(BUCKETS)).astype(np.int64)).astype(np.int32)
-        if len(self.names):
-            at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
-            hit = self.names[at] == names
-            out[hit] = self.ids[at[hit]]
+        out = (self.words + (mix64(names) % U(self.size // 5)).astype(np.int64)).astype(np.int32)
+        at, hit = _find(self.names, names)
+        out[hit] = self.ids[at[hit]]
         return out
 
+    def shares(self, names: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log of each word's share of its id, and the places of words whose count
+        isn't at hand: these are given that of a word seen once."""
+        out, rest = np.zeros(len(ids)), np.flatnonzero(ids >= self.words)
+        at, hit = _find(self.head, names[rest])
+        out[rest] = -self.log_total[ids[rest]]
+        out[rest[hit]] += self.head_log[at[hit]]
+        return out, rest[~hit]
+
+
+def _find(sorted_names: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(sorted_names):
+        return np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+    at = np.minimum(np.searchsorted(sorted_names, names), len(sorted_names) - 1)
+    return at, sorted_names[at] == names
+
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
-    """Counts of all words of all documents, combined per batch and task, then
-    the most frequent ones and the totals of each bucket (a fixed number of rows
-    reaches the driver)."""
+    """Counts of all words of all documents, combined per batch and task and
+    written; then the most frequent words and the totals of each id. The words
+    with ids of their own are those above a count step that grows with the root
+    of the corpus, so their number grows too; the driver gets these, the counts
+    of at most HEAD words (or twice those with ids), and the totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,51 +97,75 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
     counts = counts.groupBy("w").agg(F.sum("n").alias("n"))
     from quire.session import write_scratch
 
-    counts = docs.sparkSession.read.parquet(write_scratch(counts, "word-counts"))
-    top = counts.orderBy(F.desc("n"), "w").limit(WORDS).collect()
-    names = np.array([r["w"] for r in top], np.int64).view(np.uint64)
+    path = write_scratch(counts, "word-counts")
+    counts = docs.sparkSession.read.parquet(path)
+    level = F.floor(F.log2("n") * 8)  # some hundreds at any size
+    levels = sorted(counts.groupBy(level.alias("v")).agg(F.count("*"), F.sum("n")).collect(), reverse=True)
+    step = math.floor(math.log2(max(STEP * math.sqrt(sum(r[2] for r in levels)), 1)) * 8)
+    grow = max(1.0, math.sqrt(sum(r[1] for r in levels if r[0] >= step) / (SIZE - SIZE // 5)))
+    shape = (math.ceil(CLASSES * grow), math.ceil(PER_CLASS * grow))
+    own = Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0), np.zeros(0), shape)
+    least, held = 1 << 30, 0
+    for v, words, _ in levels:
+        held += words
+        if held > max(HEAD, 2 * own.words):
+            break
+        least = v
+    head = counts.where(level >= least).toArrow()
+    names, n = head.column("w").to_numpy(), head.column("n").to_numpy()
+    order = np.lexsort((names, -n))[: own.words]
+    names = names.view(np.uint64)
+    rank = np.argsort(names[order])
+    own.names, own.ids = names[order][rank], rank.astype(np.int32)
     order = np.argsort(names)
-    own = Vocabulary(names[order], order.astype(np.int32), np.zeros(SIZE), np.zeros(SIZE))
+    own.head, own.head_log, own.counts = names[order], np.log(n[order]), path
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, kinds = np.zeros(SIZE, np.int64), np.zeros(SIZE, np.int64)
+        n = np.zeros(own.size, np.int64)
         for b in batches:
             at = own.encode(b.column(0).to_numpy().view(np.uint64))
-            n += np.bincount(at, weights=b.column(1).to_numpy(), minlength=SIZE).astype(np.int64)
-            kinds += np.bincount(at, minlength=SIZE)
-        yield pa.record_batch([pa.array(np.arange(SIZE)), pa.array(n), pa.array(kinds)], names=["i", "n", "kinds"])
+            n += np.bincount(at, weights=b.column(1).to_numpy(), minlength=own.size).astype(np.int64)
+        yield pa.record_batch([pa.array(np.arange(own.size)), pa.array(n)], names=["i", "n"])
 
-    n, kinds = np.zeros(SIZE), np.ones(SIZE)
-    for r in counts.mapInArrow(fold, "i long, n long, kinds long").groupBy("i").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():
-        n[r["i"]], kinds[r["i"]] = r["n"], max(r["kinds"], 1)
-    return Vocabulary(own.names, own.ids, np.log((n + 0.5) / (n + 0.5).sum()), np.log(kinds))
+    n = np.zeros(own.size)
+    for r in counts.mapInArrow(fold, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        n[r["i"]] = r["n"]
+    own.log_freq, own.log_total = np.log((n + 0.5) / (n + 0.5).sum()), np.log(n + 1)
+    return own
 
 
 class Network:
-    """Weights as one flat float32 array with named views."""
-
-    SHAPES = {
-        "embed": (len(SIDES), SIZE + 2, HIDDEN), "hidden": (HIDDEN,), "classes": (HIDDEN, CLASSES), "class_bias": (CLASSES,),
-        "words": (CLASSES, HIDDEN, PER_CLASS), "word_bias": (CLASSES, PER_CLASS),
-    }
-    LENGTH = sum(int(np.prod(s)) for s in SHAPES.values())
-
-    def __init__(self, flat: np.ndarray):
-        self.flat, at = flat, 0
-        for name, shape in self.SHAPES.items():
-            n = int(np.prod(shape))
-            setattr(self, name, flat[at : at + n].reshape(shape))
+    """Weights as one flat float32 array with named views, for a vocabulary of
+    ``shape`` classes times words of a class."""
+
+    @staticmethod
+    def shapes(shape: tuple[int, int]) -> dict[str, tuple[int, ...]]:
+        c, w = shape
+        return {
+            "embed": (len(SIDES), c * w + 2, HIDDEN), "hidden": (HIDDEN,), "classes": (HIDDEN, c), "class_bias": (c,),
+            "words": (c, HIDDEN, w), "word_bias": (c, w),
+        }
+
+    @classmethod
+    def length(cls, shape: tuple[int, int]) -> int:
+        return sum(math.prod(s) for s in cls.shapes(shape).values())
+
+    def __init__(self, flat: np.ndarray, shape: tuple[int, int] = (CLASSES, PER_CLASS)):
+        self.flat, self.shape, at = flat, shape, 0
+        for name, dims in self.shapes(shape).items():
+            n = math.prod(dims)
+            setattr(self, name, flat[at : at + n].reshape(dims))
             at += n
 
     @classmethod
     def fresh(cls, v: Vocabulary) -> Network:
         """Small random embeddings; biases of the word frequencies."""
-        net = cls(np.zeros(cls.LENGTH, np.float32))
+        net = cls(np.zeros(cls.length(v.shape), np.float32), v.shape)
         rng = np.random.default_rng(3)
         net.embed[:] = rng.normal(0, 0.1, net.embed.shape)
         net.classes[:] = rng.normal(0, 0.1, net.classes.shape)
         net.words[:] = rng.normal(0, 0.1, net.words.shape)
-        p = np.exp(v.log_freq).reshape(CLASSES, PER_CLASS)
+        p = np.exp(v.log_freq).reshape(v.shape)
         net.class_bias[:] = np.log(p.sum(axis=1))
         net.word_bias[:] = np.log(p / p.sum(axis=1, keepdims=True))
         return net
@@ -122,13 +178,13 @@ class Network:
 
     def log_prob(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         h = self.hide(context)
-        group, inner = target // PER_CLASS, target % PER_CLASS
+        group, inner = target // self.shape[1], target % self.shape[1]
         rows = np.arange(len(target))
         z = h @ self.classes + self.class_bias
         out = z[rows, group] - _lse(z)
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for g in range(CLASSES):
+        edges = np.searchsorted(group[order], np.arange(self.shape[0] + 1))
+        for g in range(self.shape[0]):
             i = order[edges[g] : edges[g + 1]]
             if len(i):
                 y = h[i] @ self.words[g] + self.word_bias[g]
@@ -138,9 +194,9 @@ class Network:
     def step(self, context: np.ndarray, target: np.ndarray, past: np.ndarray) -> None:
         """One Adagrad step on a batch; ``past`` sums the squared gradients."""
         n = len(target)
-        grad = Network(np.zeros(self.LENGTH, np.float32))
+        grad, seen = Network(np.zeros(len(self.flat), np.float32), self.shape), Network(past, self.shape)
         h = self.hide(context)
-        group, inner = target // PER_CLASS, target % PER_CLASS
+        group, inner = target // self.shape[1], target % self.shape[1]
         z = h @ self.classes + self.class_bias
         dz = np.exp(z - _lse(z)[:, None])
         dz[np.arange(n), group] -= 1
@@ -148,8 +204,8 @@ class Network:
         grad.classes[:], grad.class_bias[:] = h.T @ dz, dz.sum(axis=0)
         dh = dz @ self.classes.T
         order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for g in range(CLASSES):
+        edges = np.searchsorted(group[order], np.arange(self.shape[0] + 1))
+        for g in range(self.shape[0]):
             i = order[edges[g] : edges[g + 1]]
             if len(i):
                 y = h[i] @ self.words[g] + self.word_bias[g]
@@ -164,9 +220,13 @@ class Network:
             order = np.argsort(context[:, p], kind="stable")
             c = context[order, p]
             first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            grad.embed[p][c[first]] = np.add.reduceat(da[order], first, axis=0)
-        past += grad.flat * grad.flat
-        self.flat -= RATE * grad.flat / (np.sqrt(past) + 1e-6)
+            g, rows = np.add.reduceat(da[order], first, axis=0), c[first]
+            s = seen.embed[p][rows] + g * g
+            seen.embed[p][rows] = s
+            self.embed[p][rows] -= RATE * g / (np.sqrt(s) + 1e-6)
+        rest = slice(self.embed.size, None)
+        past[rest] += grad.flat[rest] * grad.flat[rest]
+        self.flat[rest] -= RATE * grad.flat[rest] / (np.sqrt(past[rest]) + 1e-6)
 
 
 def _lse(z: np.ndarray) -> np.ndarray:
@@ -174,28 +234,32 @@ def _lse(z: np.ndarray) -> np.ndarray:
     return m + np.log(np.exp(z - m[:, None]).sum(axis=1))
 
 
-def contexts(ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Ids on each side of the positions; beyond a text's ends SIZE and SIZE + 1."""
+# of the smallest vocabulary
+Network.LENGTH = Network.length((CLASSES, PER_CLASS))
+
+
+def contexts(ids: np.ndarray, doc: np.ndarray, at: np.ndarray, size: int = SIZE) -> np.ndarray:
+    """Ids on each side of the positions; beyond a text's ends size and size + 1."""
     out = np.empty((len(at), len(SIDES)), np.int32)
     for p, d in enumerate(SIDES):
         j = at + d
         inside = (j >= 0) & (j < len(ids))
         j = np.clip(j, 0, max(len(ids) - 1, 0))
         inside &= doc[j] == doc[at]
-        out[:, p] = np.where(inside, ids[j], SIZE + (d > 0))
+        out[:, p] = np.where(inside, ids[j], size + (d > 0))
     return out
 
 
 def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "text", rounds: int = ROUNDS, share: int = SHARE) -> Network:
     src = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     net = Network.fresh(v)
-    cut = -(-Network.LENGTH // PARTS)
+    cut = -(-len(net.flat) // PARTS)
     for k in range(rounds):
-        shared = spark.sparkContext.broadcast((v, net.flat))  # about 2 MB at any size
+        shared = spark.sparkContext.broadcast((v, net.flat))  # 4 MB, and 640 bytes for each further id
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, k: int = k) -> Iterator[pa.RecordBatch]:
             v, start = shared.value
-            own, past, n = Network(start.copy()), np.full(Network.LENGTH, 1e-6, np.float32), 0
+            own, past, n = Network(start.copy(), v.shape), np.full(len(start), 1e-6, np.float32), 0
             wait: list[tuple[np.ndarray, np.ndarray]] = []
             for batch in batches:
                 col = text_column(batch.column(0))
@@ -204,7 +268,7 @@ def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "
                     ids = v.encode(t.names)
                     spin = mix64(t.names ^ mix64(np.arange(len(ids), dtype=np.uint64) + U(k)))
                     at = np.flatnonzero(spin % U(share) == k % share)
-                    wait.append((contexts(ids, t.doc, at), ids[at]))
+                    wait.append((contexts(ids, t.doc, at, v.size), ids[at]))
                     while sum(len(y) for _, y in wait) >= BATCH:
                         x, y = (np.concatenate(z) for z in zip(*wait, strict=True))
                         own.step(x[:BATCH], y[:BATCH], past)
@@ -231,7 +295,7 @@ def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "
         got = got.groupBy("part", "seat").applyInArrow(mean, "part int, n long, w binary")
         got = got.groupBy("part").applyInArrow(mean, "part int, n long, w binary").collect()
         if got:
-            net = Network(np.concatenate([np.frombuffer(r["w"], np.float32) for r in sorted(got, key=lambda r: r["part"])]).copy())
+            net = Network(np.concatenate([np.frombuffer(r["w"], np.float32) for r in sorted(got, key=lambda r: r["part"])]).copy(), v.shape)
         shared.unpersist()
     return net
 
@@ -240,12 +304,15 @@ def lm_scores(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
     """(id, n_words, log_prob, mean_log_prob) of each row.
 
     ``log_prob`` is the sum over all words of a whole text of the logarithm of
-    their conditional probability (a bucket's is shared evenly by its distinct
-    words). Null and empty texts have no words and 0 for both; equal texts score
-    alike to single precision; an empty table gives none; other columns aren't read. Training visits
-    documents in the order of their partitions, so other partitions give slightly
-    different weights.
+    their conditional probability (a bucket's is shared by its words as their
+    counts in the corpus; a word the corpus lacks counts as seen once). Null and
+    empty texts have no words and 0 for both; equal texts score alike to single
+    precision; an empty table gives none; other columns aren't read. Training
+    visits documents in the order of their partitions, so other partitions give
+    slightly different weights.
     """
+    from quire.session import write_scratch
+
     if model is None:
         v = vocabulary(docs, text_col)
         model = (v, train(spark, docs, v, text_col))
@@ -253,20 +320,30 @@ def lm_scores(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value
-        net = Network(flat)
+        net = Network(flat, v.shape)
         for batch in batches:
-            ids_, col = batch.column(0), text_column(batch.column(1))
+            col = text_column(batch.column(2))
             for i, m in chunks(col):
                 t = Texts(col.slice(i, m))
                 ids, doc = v.encode(t.names), t.doc
-                total = np.zeros(m)
+                share, rare = v.shares(t.names, ids)
+                total = np.bincount(doc, weights=share, minlength=m)
                 for k in range(0, len(ids), 1 << 15):
                     at = np.arange(k, min(k + (1 << 15), len(ids)))
-                    lp = net.log_prob(contexts(ids, doc, at), ids[at]) - v.log_kinds[ids[at]]
-                    total += np.bincount(doc[at], weights=lp, minlength=m)
-                n = t.n_words.astype(np.int64)
-                yield pa.record_batch([ids_.slice(i, m), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], names=[id_col, "n_words", "log_prob", "mean_log_prob"])
-
-    src = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    kind = src.schema[0].dataType.simpleString()
-    return src.mapInArrow(run, f"`{id_col}` {kind}, n_words long, log_prob double, mean_log_prob double")
+                    total += np.bincount(doc[at], weights=net.log_prob(contexts(ids, doc, at, v.size), ids[at]), minlength=m)
+                edges = np.searchsorted(rare, t.bounds).astype(np.int32)
+                rare = pa.ListArray.from_arrays(pa.array(edges), pa.array(t.names[rare].view(np.int64)))
+                yield pa.record_batch([batch.column(0).slice(i, m), batch.column(1).slice(i, m), pa.array(t.n_words.astype(np.int64)), pa.array(total), rare], names=["row", "id", "n_words", "log_prob", "rare"])
+
+    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    kind = src.schema[1].dataType.simpleString()
+    # written, so that a row keeps its number
+    path = write_scratch(src.mapInArrow(run, f"row long, id {kind}, n_words long, log_prob double, rare array<long>"), "lm-scores")
+    rows = spark.read.parquet(path)
+    out, log_prob = rows.drop("rare"), F.col("log_prob")
+    if model[0].counts:
+        # counts of rare words; one seen once adds nothing
+        often = spark.read.parquet(model[0].counts).where("n > 1")
+        more = rows.select("row", F.explode("rare").alias("w")).join(often, "w").groupBy("row").agg(F.sum(F.log("n")).alias("more"))
+        out, log_prob = out.join(more, "row", "left"), log_prob + F.coalesce("more", F.lit(0.0))
+    return out.select(F.col("id").alias(id_col), "n_words", log_prob.alias("log_prob"), (log_prob / F.greatest("n_words", F.lit(1))).alias("mean_log_prob"))

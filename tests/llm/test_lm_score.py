@@ -60,3 +60,43 @@ def test_odd_rows(spark):
     alike = [r.log_prob for r in got if r.doc_id in (4, 5)]
     assert max(alike) - min(alike) < 1e-4 * abs(alike[0])  # products in float32 depend on the block
     assert L.lm_scores(spark, empty_docs(spark)).collect() == []
+
+
+def test_bucket_words_have_their_own_share(spark, monkeypatch):
+    """Words beyond those with ids get the bucket's probability by their counts,
+    whether the counts are sent or joined; the shares of a bucket sum to one."""
+    text = [f"f{k}" for k in range(2048)] * 30
+    seen = {f"r{k}": 1 + 19 * (k % 2) for k in range(1200)}
+    text += [w for w, n in seen.items() for _ in range(n)]
+    rows = [(k, " ".join(text[k::50]), "en", "a", 1) for k in range(50)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    single = spark.createDataFrame([(k, f"r{k}", "en", "a", 1) for k in range(1200)], SCHEMA)
+    names = L.Texts(L.pa.array([f"r{k}" for k in range(1200)])).names
+    scores = []
+    for head in (1 << 17, 2100):
+        monkeypatch.setattr(L, "HEAD", head)
+        v = L.vocabulary(docs)
+        if head == 2100:
+            v.head = v.head[:0]  # as if none of them were sent
+            v.head_log = v.head_log[:0]
+        got = L.lm_scores(spark, single, model=(v, L.Network.fresh(v))).collect()
+        scores.append({r.doc_id: r.log_prob for r in got})
+    assert all(abs(scores[0][k] - scores[1][k]) < 1e-6 for k in scores[0])
+    ids, by_id = v.encode(names), {}
+    for k, i in enumerate(ids):
+        by_id.setdefault(i, []).append(k)
+    mixed = 0
+    for group in by_id.values():
+        n = [seen[f"r{k}"] for k in group]
+        for a in range(1, len(group)):
+            assert abs(scores[0][group[a]] - scores[0][group[0]] - math.log(n[a] / n[0])) < 1e-4
+            mixed += n[a] != n[0]
+    assert mixed > 50
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    rows = [(k, " ".join(f"g{w}" for w in range(3000)), "en", "a", 1) for k in range(400)]
+    v = L.vocabulary(spark.createDataFrame(rows, SCHEMA).repartition(2))
+    assert len(v.names) == 3000 and len(set(v.ids.tolist())) == 3000 and v.size > L.SIZE
+    got = L.lm_scores(spark, spark.createDataFrame(rows[:2], SCHEMA), model=(v, L.Network.fresh(v))).collect()
+    assert all(r.n_words == 3000 and abs(r.mean_log_prob + math.log(3000)) < 0.5 for r in got)
