@@ -5,10 +5,10 @@ larger corpus, and hash buckets for the rest, from counts over all documents; a
 word of a bucket has the bucket's probability by its own share of the bucket's
 count, which Spark joins for rare words. A network in numpy predicts every word
 from two words on each side: an embedding per side position, one hidden layer,
-and a softmax in two levels (class, then word). Every task trains a copy on a
-fixed share of the positions of its own documents, so the training data grow
-with the corpus; the copies are averaged by Spark in two levels, and the next
-round starts from the average. A document's score is the sum of the conditional
+and a softmax in two levels (class, then word). Every task trains a copy on the
+positions of its own documents, a part of them in each round and all of them in
+the end; the copies are averaged by Spark in two levels, and the next round
+starts from the average. A document's score is the sum of the conditional
 log-probabilities of all its words.
 """
 
@@ -31,8 +31,7 @@ STEP = 1 / 3  # a word seen this often times the root of the corpus' words has a
 HEAD = 1 << 17  # words whose counts travel to the tasks; others' counts are joined
 SIDES = (-2, -1, 1, 2)
 HIDDEN = 32
-SHARE = 16  # a round trains on one in SHARE positions of every document
-ROUNDS = 2
+ROUNDS = SHARE = 2  # a round trains on one in SHARE positions, the rounds together on all
 BATCH, RATE = 4096, 0.1
 PARTS = 32  # pieces in which weights travel
 
@@ -250,6 +249,13 @@ def contexts(ids: np.ndarray, doc: np.ndarray, at: np.ndarray, size: int = SIZE)
     return out
 
 
+def turn(t: Texts, k: int, share: int) -> np.ndarray:
+    """Positions of round ``k``: one residue of a hash of the word and its place in
+    its text, so that any ``share`` rounds in a row have each position once."""
+    place = np.arange(len(t.names)) - t.bounds[:-1][t.doc]
+    return np.flatnonzero(mix64(t.names ^ mix64(place.astype(np.uint64))) % U(share) == k % share)
+
+
 def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "text", rounds: int = ROUNDS, share: int = SHARE) -> Network:
     src = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     net = Network.fresh(v)
@@ -266,8 +272,7 @@ def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "
                 for i, m in chunks(col):
                     t = Texts(col.slice(i, m))
                     ids = v.encode(t.names)
-                    spin = mix64(t.names ^ mix64(np.arange(len(ids), dtype=np.uint64) + U(k)))
-                    at = np.flatnonzero(spin % U(share) == k % share)
+                    at = turn(t, k, share)
                     wait.append((contexts(ids, t.doc, at, v.size), ids[at]))
                     while sum(len(y) for _, y in wait) >= BATCH:
                         x, y = (np.concatenate(z) for z in zip(*wait, strict=True))

@@ -100,3 +100,23 @@ def test_vocabulary_grows_with_the_corpus(spark):
     assert len(v.names) == 3000 and len(set(v.ids.tolist())) == 3000 and v.size > L.SIZE
     got = L.lm_scores(spark, spark.createDataFrame(rows[:2], SCHEMA), model=(v, L.Network.fresh(v))).collect()
     assert all(r.n_words == 3000 and abs(r.mean_log_prob + math.log(3000)) < 0.5 for r in got)
+
+
+def test_rounds_train_on_every_position():
+    t = L.Texts(L.pa.array([" ".join(chain(k, 7 + 31 * k)) for k in range(9)] + ["", "one"]))
+    at = np.concatenate([L.turn(t, k, L.SHARE) for k in range(L.ROUNDS)])
+    assert np.array_equal(np.unique(at), np.arange(len(t.names))) and len(at) == len(t.names) * L.ROUNDS // L.SHARE
+
+
+def test_context_is_learned_by_default(spark):
+    """The registered parameters, on 1,500 documents of 300 words."""
+    rows = [(k, " ".join(chain(k, 300)), "en", "a", 1) for k in range(1500)]
+    for k in range(5):
+        t = chain(10000 + k, 300)
+        s = list(t)
+        random.Random(k).shuffle(s)
+        rows += [(-2 * k - 1, " ".join(t), "en", "a", 1), (-2 * k - 2, " ".join(s), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2)
+    got = {r.doc_id: r.mean_log_prob for r in L.lm_scores(spark, docs).collect()}
+    gain = [got[-2 * k - 1] - got[-2 * k - 2] for k in range(5)]
+    assert min(gain) > 1, gain
