@@ -28,8 +28,9 @@ SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
 
-def features(t: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each kind: slots of its n-grams, and the bounds of each text's."""
+def features(t: Texts) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each kind: slots of its n-grams, and where each text's start and end;
+    an n-gram that runs into the next text is no text's."""
     shift = U(64 - BITS)
     names, b = t.names, t.bounds
     one = (names * GOLDEN >> shift).astype(np.int32)
@@ -37,28 +38,30 @@ def features(t: Texts) -> list[tuple[np.ndarray, np.ndarray]]:
     if len(names) > 1:
         two = (combine(names[:-1], names[1:], 2) >> shift).astype(np.int32)
     off, d = t.off, t.data.astype(np.uint32)
-    kinds = [(one, b), (two, np.minimum(b, len(two)))]
+    ends = lambda edges, n: np.maximum(edges[1:] - n + 1, edges[:-1])
+    kinds = [(one, b[:-1], b[1:]), (two, b[:-1], ends(b, 2))]
     for n in (3, 5):
         k = max(t.size - n + 1, 0)
         h = np.zeros(k, dtype=np.uint32)
         for j in range(n):
             h = (h + d[j : j + k]) * np.uint32(0x9E3779B1)
             h ^= h >> np.uint32(15)
-        kinds.append(((h >> np.uint32(32 - BITS)).astype(np.int32), np.minimum(off, k)))
+        kinds.append(((h >> np.uint32(32 - BITS)).astype(np.int32), off[:-1], ends(off, n)))
     return kinds
 
 
-def segment_mean(v: np.ndarray, b: np.ndarray) -> np.ndarray:
-    c = np.concatenate([[0.0], np.cumsum(v, dtype=np.float64)])
-    n = np.diff(b)
-    return (c[b[1:]] - c[b[:-1]]) / np.maximum(n, 1)
+def segment_mean(v: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    # each text summed by itself, so that no neighbour changes a digit
+    edges = np.minimum(np.stack([start, end], axis=1).ravel(), len(v))
+    total = np.add.reduceat(np.append(v, 0), edges, dtype=np.float64)[::2]
+    return np.where(end > start, total, 0) / np.maximum(end - start, 1)
 
 
 def margins(t: Texts, weights: np.ndarray, bias: float) -> np.ndarray:
     """Sum over kinds of the mean weight of a text's n-grams."""
     z = np.full(len(t.off) - 1, bias)
-    for k, (slots, b) in enumerate(features(t)):
-        z += segment_mean(weights[k][slots], b)
+    for k, (slots, start, end) in enumerate(features(t)):
+        z += segment_mean(weights[k][slots], start, end)
     return z
 
 
@@ -82,10 +85,11 @@ def fit(texts: pa.Array, y: np.ndarray, held: np.ndarray, epochs: int = 60) -> M
     at = 0
     for i, n in chunks(texts):
         t = Texts(texts.slice(i, n))
-        for k, (slots, b) in enumerate(features(t)):
-            cnt = np.diff(b)
+        for k, (slots, start, end) in enumerate(features(t)):
+            cnt = end - start
             r = np.repeat(np.arange(n), cnt)
-            code, c = np.unique(r * size + slots[: len(r)], return_counts=True)
+            place = np.arange(len(r)) + np.repeat(start - (np.cumsum(cnt) - cnt), cnt)
+            code, c = np.unique(r * size + slots[place], return_counts=True)
             r = code // size
             rows.append((at + r).astype(np.int32))
             cols.append((code % size + k * size).astype(np.int32))

@@ -73,3 +73,23 @@ def test_rules_on_labelled_rows(spark):
     good = [r.kept for r in got if label.get(r.doc_id) == 1 and not r.base_failed]
     bad = [r.kept for r in got if label.get(r.doc_id) == 0]
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.05 * len(bad)
+
+
+def test_a_text_scores_alike_beside_any_neighbours():
+    """n-grams end with their text: the same slots alone and between others."""
+    import numpy as np
+    import pyarrow as pa
+
+    from quire.llm import quality_rules as R
+    from quire.llm.textarrays import Texts
+
+    w = np.random.default_rng(5).normal(0, 1, (R.KINDS, 1 << R.BITS)).astype(np.float32)
+    for text in ("some words of a text", "ab", "é", "one", "", " ", "abcde f"):
+        alone = R.margins(Texts(pa.array([text])), w, 0.0)[0]
+        for left, right in (("", ""), ("before it", "after"), ("x", "y"), ("", "other words here"), ("more", "")):
+            got = R.margins(Texts(pa.array([left, text, right])), w, 0.0)[1]
+            assert got == alone, (text, left, right)
+        y = np.array([0, 1] * 10)
+        rows = [text + " good" if k else text + " bad" for k in y]
+        fitted = [R.fit(pa.array(rows + [tail]), np.append(y, 0), np.arange(21) >= 20).weights for tail in ("x", "quite other words")]
+        assert np.array_equal(*fitted)
