@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters over
+"""Registered queries of the operators, with production parameters over
 whole tables, and their DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
@@ -93,12 +93,77 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("probability")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document under ten-word windows of benchmark texts."""
+    from quire.llm.decontamination import contamination
+
+    got = contamination(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("items", ","), 256)
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding by exact integer products."""
+    from quire.llm.hard_negatives import mine
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return mine(spark, rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which repeats its tail."""
+    from quire.llm.periodic_runs import periodic_runs, repeated_tail
+
+    got = periodic_runs(spark, _table(spark, sf_dir, "documents"), text=repeated_tail(), kept_as="sha256")
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return got.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "start", "length", "period",
+        F.expr("(1000 * length) div period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.col("kept").alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_quality_classifier, op3_lm_score, op4_token_counts, op5_pii, op6_embedding_dedup,
-        op7_bpe_codec, op8_source_mix, op9_ngram_join,        op10_quality_rules,
+        op7_bpe_codec, op8_source_mix, op9_ngram_join, op10_quality_rules,
+        op11_decontamination, op12_hard_negatives, op13_periodic_runs,
     )
 }
 
-ORACLES: dict[str, str] = {}
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, {_ITEM_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item, m, array_to_string(w[s:s + m - 1], ' ') AS x
+       FROM (SELECT item, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0) q),
+m AS (SELECT DISTINCT m FROM iw),
+dw AS (SELECT no, m, s, array_to_string(w[s:s + m - 1], ' ') AS x
+       FROM (SELECT no, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, m) q),
+hits AS (SELECT no, s, iw.m AS m, item FROM dw JOIN iw ON dw.m = iw.m AND dw.x = iw.x),
+words AS (SELECT no, count(DISTINCT p) AS n_hit FROM (SELECT no, unnest(range(s, s + m)) AS p FROM hits) q GROUP BY no),
+items AS (SELECT no, list_sort(list(DISTINCT item)) AS items FROM hits WHERE item IS NOT NULL GROUP BY no)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (no) LEFT JOIN items USING (no)
+"""
+
+OP12_SQL = """
+WITH e AS (SELECT row_number() OVER () AS no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.no, a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+             CASE WHEN len(a.v) = 0 THEN 0 ELSE CAST(list_dot_product(a.v, c.v) AS BIGINT) END AS score
+      FROM e a JOIN e c ON a.no <> c.no AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+pos AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, other_id) AS r FROM p WHERE same) q WHERE r <= 5),
+neg AS (SELECT pos.anchor_id, pos.other_id AS positive_id, p.other_id AS negative_id, pos.score AS positive_score, p.score AS negative_score,
+               row_number() OVER (PARTITION BY pos.no, pos.r ORDER BY p.score DESC, p.other_id) AS rank
+        FROM pos JOIN p ON pos.no = p.no AND NOT p.same AND 50 * pos.score <= 100 * p.score AND 100 * p.score <= 95 * pos.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+ORACLES: dict[str, str] = {"op11_decontamination": OP11_SQL, "op12_hard_negatives": OP12_SQL}
