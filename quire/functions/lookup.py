@@ -15,6 +15,20 @@ def first_match(arr: Column, pred: Callable[[Column], Column]) -> Column:
     return F.get(F.filter(arr, pred), 0)
 
 
+def first_wins_map(entries: Column, key: str, value: str) -> Column:
+    """An array of structs as a map in which the first entry of a key wins
+    (``map_from_entries`` fails on repeated keys). Sorted by (key, place) once, so
+    it takes n log n comparisons; entries without a key are left out."""
+
+    def first(ordered: Column) -> Column:
+        firsts = F.filter(ordered, lambda x, i: F.coalesce(F.get(ordered, i - 1)["k"] != x["k"], F.lit(True)))
+        return F.map_from_entries(F.transform(firsts, lambda x: F.struct(x["k"], x["v"])))
+
+    placed = F.transform(entries, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"), x[value].alias("v")))
+    ordered = F.array_sort(F.filter(placed, lambda x: x["k"].isNotNull()))
+    return F.get(F.transform(F.array(ordered), first), 0)  # binds the sorted array once
+
+
 def query_param(query: Column, name: str) -> Column:
     """Value of the first ``name=...`` pair in an ``&``-separated query string
     (the value may itself hold ``=``)."""

@@ -4,11 +4,11 @@ J2, U7, X16-X19, D14, D19).
 A message is a (key, value) pair: the key carries a query string whose first
 ``dbcode`` names the column; the value is JSON with ``returndata.datanodes``
 (one measurement each, with dimension codes in ``wds``) and
-``returndata.wdnodes`` (per dimension, a code -> name dictionary). Parsing is a
-single ``from_json`` with a declared schema; dictionary lookups are
-first-match array filters evaluated per message before the explode, so the
-dictionaries are never copied onto every output row. The same function serves
-a batch read and a stream (D14).
+``returndata.wdnodes`` (per dimension, a code -> name dictionary). A message is
+parsed once, to a VARIANT. Each of its dictionaries becomes a map, built once, in
+which the first entry of a code wins; measurements look their names up in it
+before the explode, so a dictionary is never copied onto the output rows. The
+same function serves a batch read and a stream (D14).
 """
 
 from __future__ import annotations
@@ -16,14 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.lookup import first_match, query_param
+from quire.functions.lookup import first_match, first_wins_map, query_param
+from quire.functions.variant import parsed
 
-MESSAGE_SCHEMA = (
-    "returndata struct<"
-    "datanodes: array<struct<data: struct<hasdata: boolean, data: double>, "
-    "wds: array<struct<wdcode: string, valuecode: string>>>>, "
-    "wdnodes: array<struct<wdcode: string, nodes: array<struct<code: string, cname: string>>>>>"
-)
+NODES_SCHEMA = "array<struct<data: struct<hasdata: boolean, data: double>, wds: array<struct<wdcode: string, valuecode: string>>>>"
+DICTIONARIES_SCHEMA = "array<struct<wdcode: string, nodes: array<struct<code: string, cname: string>>>>"
 
 QUOTA_COLUMNS = ["value", "quotaName", "quotaType", "object", "period", "date", "columnName", "source"]
 
@@ -57,35 +54,43 @@ def period_of(col_name: Column) -> Column:
 
 
 def _dictionary(wdnodes: Column, wdcode: str) -> Column:
-    """The first dimension entry with ``wdcode`` -> its node list."""
-    return first_match(wdnodes, lambda n: n["wdcode"] == F.lit(wdcode))["nodes"]
+    """The first dimension entry with ``wdcode`` -> its map of code to name."""
+    nodes = first_match(wdnodes, lambda n: n["wdcode"] == F.lit(wdcode))["nodes"]
+    return first_wins_map(nodes, "code", "cname")
 
 
 def _name_of(dictionary: Column, wds: Column, wdcode: str) -> Column:
-    """X19 + J2: the node's code for ``wdcode``, looked up in the dictionary;
-    the first entry with that code wins, a missing code gives null."""
+    """X19 + J2: the name of the node's code for ``wdcode``; null without one."""
     code = first_match(wds, lambda w: w["wdcode"] == F.lit(wdcode))["valuecode"]
-    return first_match(dictionary, lambda n: n["code"] == code)["cname"]
+    return F.try_element_at(dictionary, code)
+
+
+def parsed_messages(messages: DataFrame, key_col: str = "key", value_col: str = "value") -> DataFrame:
+    """(columnName, datanodes, zb, sj): a message's measurements and its two
+    dictionaries, each computed once."""
+    name = column_name(F.col(key_col).cast("string"))
+    docs = parsed(messages, {"doc": F.col(value_col)}, keep={"columnName": name})
+    rd = lambda part, kind: F.try_variant_get("doc", f"$.returndata.{part}", kind)
+    docs = docs.select("columnName", rd("datanodes", NODES_SCHEMA).alias("datanodes"), rd("wdnodes", DICTIONARIES_SCHEMA).alias("wdnodes"))
+    built = F.struct("columnName", "datanodes", _dictionary(F.col("wdnodes"), "zb").alias("zb"), _dictionary(F.col("wdnodes"), "sj").alias("sj"))
+    return docs.select(F.explode(F.array(built)).alias("m")).select("m.*")
 
 
 def flatten_statistics(messages: DataFrame, key_col: str = "key", value_col: str = "value") -> DataFrame:
     """Messages to Quota rows (value, quotaName, quotaType, object,
     period, date, columnName, source). Measurements without data, or whose
     indicator has no (or an empty) name, are dropped (D19)."""
-    rd = F.from_json(F.col(value_col).cast("string"), MESSAGE_SCHEMA)["returndata"]
-    parsed = messages.select(column_name(F.col(key_col).cast("string")).alias("columnName"), rd.alias("rd"))
-    zb = _dictionary(F.col("rd.wdnodes"), "zb")
-    sj = _dictionary(F.col("rd.wdnodes"), "sj")
+    read = parsed_messages(messages, key_col, value_col)
     rows = F.transform(
-        F.col("rd.datanodes"),
+        F.col("datanodes"),
         lambda d: F.struct(
             d["data"]["hasdata"].alias("hasdata"),
             d["data"]["data"].alias("value"),
-            _name_of(zb, d["wds"], "zb").alias("quotaName"),
-            _name_of(sj, d["wds"], "sj").alias("date"),
+            _name_of(F.col("zb"), d["wds"], "zb").alias("quotaName"),
+            _name_of(F.col("sj"), d["wds"], "sj").alias("date"),
         ),
     )
-    flat = parsed.select("columnName", F.explode(rows).alias("q")).filter(
+    flat = read.select("columnName", F.explode(rows).alias("q")).filter(
         F.coalesce(F.col("q.hasdata"), F.lit(False))
         & F.col("q.quotaName").isNotNull()
         & (F.col("q.quotaName") != F.lit(""))

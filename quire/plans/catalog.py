@@ -520,14 +520,7 @@ FROM s
 """
 
 
-STREAM_MACD_SQL = f"""
-SELECT * FROM ({MACD_SQL}) m
-WHERE window_end <= (SELECT max(date_trunc('second', ts)) FROM events
-                     WHERE event_id % 97 <> 0 AND event_id % 89 <> 0) - INTERVAL 1 HOUR
-"""
-
-
-STREAM_MACD_RECORDS_SQL = f"SELECT key, 'MACD' AS type, value, split FROM ({STREAM_MACD_SQL}) m"
+STREAM_MACD_RECORDS_SQL = f"SELECT key, 'MACD' AS type, value, split FROM ({MACD_SQL}) m"
 
 
 def array_concat_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -787,6 +780,7 @@ QUERIES: dict[str, Query] = {
     "stream_slide_append": ST.stream_slide_append,
     "stream_fanout": ST.stream_fanout,
     "stream_macd": ST.stream_macd,
+    "stream_bars": ST.stream_bars,
     "stream_cdc": ST.stream_cdc,
 }
 
@@ -840,6 +834,7 @@ ORACLES: dict[str, str] = {
     "stream_word_count": WORD_COUNT_SQL,
     "stream_slide_append": ST.STREAM_SLIDE_SQL,
     "stream_fanout": ST.STREAM_FANOUT_SQL,
-    "stream_macd": STREAM_MACD_SQL,
+    "stream_macd": MACD_SQL,
+    "stream_bars": ST.STREAM_BARS_SQL,
     "stream_cdc": CDC_APPLY_SQL,
 }

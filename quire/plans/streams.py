@@ -15,6 +15,8 @@ from quire.plans import fixtures as FX
 from quire.session import scratch_path
 from quire.sources.tables import load
 from quire.streaming import jobs as J
+from quire.streaming.bars import on_rocksdb, open_bars, timed_bars
+from quire.streaming.replica import replica, replica_batch
 from quire.streaming.runner import checkpoint_for, run_available_now, unique_name
 
 LATENESS = "1 hour"
@@ -42,7 +44,7 @@ def run_to_memory(df: DataFrame, name: str, mode: str) -> str:
     return qname
 
 
-def _run_to_files(df: DataFrame, name: str) -> str:
+def _run_to_files(df: DataFrame, name: str, checkpoint: str | None = None) -> str:
     """Append-mode output to the Parquet file sink (exactly-once through the
     sink's commit log); returns the folder."""
     spark = df.sparkSession
@@ -51,7 +53,7 @@ def _run_to_files(df: DataFrame, name: str) -> str:
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("path", out)
-        .option("checkpointLocation", checkpoint_for(spark, name))
+        .option("checkpointLocation", checkpoint or checkpoint_for(spark, name))
     )
     run_available_now(writer)
     return out
@@ -112,22 +114,31 @@ def _tick_values_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_slide_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2 + T11: sliding 26-minute windows, watermark lateness 1 hour,
-    append mode (only closed windows are emitted)."""
+    """T2 + T11 + T7: sliding 26-minute windows, watermark lateness 1 hour,
+    append mode; the windows still open when the run ends come from its state."""
     stats = J.sliding_window_stats(_tick_values_stream(spark, sf_dir), "26 minutes", "1 minute", LATENESS)
-    return spark.read.parquet(_run_to_files(stats, "slide"))
+    state = checkpoint_for(spark, "slide")
+    return spark.read.parquet(_run_to_files(stats, "slide", state)).unionByName(J.open_windows(spark, state))
 
 
 def stream_macd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B7 on a stream: MACD per closed window."""
+    """B7 on a stream: MACD per window, of the ticks of closed buckets and of
+    those that still wait in state when the run ends."""
     window, slide = MACD_WINDOW
-    out = scratch_path(spark, "buckets")
-    writer = (
-        J.closed_buckets(_tick_values_stream(spark, sf_dir), slide, LATENESS).writeStream.format("parquet")
-        .outputMode("append").option("path", out).option("checkpointLocation", checkpoint_for(spark, "buckets"))
-    )
-    q = run_available_now(writer)
-    return J.closed_macd(spark.read.parquet(out), J.watermark_of(q), window, slide)
+    state = checkpoint_for(spark, "buckets")
+    out = _run_to_files(J.closed_buckets(_tick_values_stream(spark, sf_dir), slide, LATENESS), "buckets", state)
+    ticks = spark.read.parquet(out).unionByName(J.open_ticks(spark, state))
+    return TK.macd_windows(ticks, window, slide)
+
+
+def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 + T3: open, high, low and close per key and 30 minutes from ticks in a
+    list state on RocksDB, released by timers; the open bars from that state."""
+    own = on_rocksdb(spark)
+    values = _tick_values_stream(own, sf_dir)
+    state = checkpoint_for(own, "bars")
+    closed = spark.read.parquet(_run_to_files(timed_bars(values, MACD_WINDOW[1], LATENESS), "bars", state))
+    return closed.unionByName(open_bars(spark, state, MACD_WINDOW[1]))
 
 
 def stream_macd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,12 +170,12 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B12 on a stream: change events (from the orders stream) merged batch by
-    batch into a replica from which deleted keys are gone."""
-    changes = FX.change_events_of(_file_stream(spark, sf_dir, "orders"))
+    batch into a bucketed replica from which deleted keys are gone."""
+    changes = cdc_decode(FX.change_events_of(_file_stream(spark, sf_dir, "orders")))
     out = scratch_path(spark, "replica")
-    writer = cdc_decode(changes).writeStream.foreachBatch(J.replica_batch(out)).option("checkpointLocation", checkpoint_for(spark, "replica"))
+    writer = changes.writeStream.foreachBatch(replica_batch(out)).option("checkpointLocation", checkpoint_for(spark, "replica"))
     run_available_now(writer)
-    return J.replica(spark, out)
+    return replica(spark, out, changes.select("after.*").schema)
 
 
 STREAM_MEMORY_SQL = "SELECT CAST(event_id AS VARCHAR) AS key, event_type AS value FROM events"
@@ -181,7 +192,12 @@ w AS (SELECT key, x, unnest(generate_series(date_trunc('minute', t) - INTERVAL 2
 SELECT key, ws AS window_start, ws + INTERVAL 26 MINUTE AS window_end, count(*) AS n,
        CAST(sum(CAST(CAST(x AS VARCHAR) AS DECIMAL(28,10))) AS DOUBLE) AS total
 FROM w GROUP BY ALL
-HAVING ws + INTERVAL 26 MINUTE <= (SELECT max(t) FROM v) - INTERVAL 1 HOUR
+"""
+
+STREAM_BARS_SQL = f"""
+SELECT key, time_bucket(INTERVAL 30 MINUTE, t, TIMESTAMP '1970-01-01') AS bar_start, count(*) AS n, arg_min(x, (t, seq)) AS open,
+       max(x) AS high, min(x) AS low, arg_max(x, (t, seq)) AS close
+FROM ({_TICKS_V}) v GROUP BY ALL
 """
 
 STREAM_FANOUT_SQL = """

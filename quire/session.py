@@ -128,6 +128,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def complete_folders(spark: SparkSession, folder: str, prefix: str, mark: str | None = "_SUCCESS") -> list[int]:
+    """Numbers of the ``<prefix><number>`` folders below a folder, ascending;
+    with ``mark`` only those whose write was committed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    done = lambda n: mark is None or fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/{mark}"))
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and done(n))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -16,9 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from quire.operators import ticks as TK
-from quire.operators.cdc import cdc_merge
 from quire.operators.words import word_count
-from quire.session import remove_path
+from quire.session import complete_folders, remove_path
 from quire.sources.connectors import as_text_pairs, read_kafka_stream, write_kafka_batch
 
 
@@ -61,13 +60,36 @@ def sliding_window_stats(values: DataFrame, window: str, slide: str | None, late
 
 
 def closed_buckets(values: DataFrame, slide: str, lateness: str) -> DataFrame:
-    """T3 + T11: ticks wait in state once, in the tumbling bucket of the slide's
-    length that holds them, and come out as rows again when the watermark closes
-    it. Windows are built of whole buckets, so a window behind the watermark has
-    all its ticks in the output."""
-    tick = F.struct("event_time", "seq", "x")
-    held = values.withWatermark("event_time", lateness).groupBy("key", F.window("event_time", slide).alias("bucket")).agg(F.collect_list(tick).alias("ticks"))
-    return held.select("key", F.col("bucket.end").alias("bucket_end"), F.explode("ticks").alias("t")).select("key", "bucket_end", "t.*")
+    """T3 + T11: ticks wait in state in the tumbling bucket of the slide's length
+    that holds them and come out as rows when the watermark closes it. A tick is a
+    state row of its own (equal ones are counted), so state is only appended to and
+    a busy instrument is many rows, never one growing list. Windows are built of
+    whole buckets, so a window behind the watermark has all its ticks in the output."""
+    held = values.withWatermark("event_time", lateness).withColumn("at", F.unix_micros("event_time"))
+    return _as_ticks(held.groupBy("key", F.window("event_time", slide), "at", "seq", "x").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _as_ticks(held: DataFrame) -> DataFrame:
+    again = F.explode(F.array_repeat(F.lit(1), F.col("n").cast("int"))).alias("_one")
+    return held.select("key", F.col("window.end").alias("bucket_end"), F.timestamp_micros("at").alias("event_time"), "seq", "x", again).drop("_one")
+
+
+def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """T11 + T7: the windows of ``sliding_window_stats`` that the last watermark
+    has not closed, as they stand in the state of the query's checkpoint, read
+    with Spark's state data source. The sink and these are all windows of what a
+    finished run has read, none twice: a closed window has left the state."""
+    w, v = F.col("key.window"), F.col("value")
+    return spark.read.format("statestore").load(checkpoint).select(
+        F.col("key.key").alias("key"), w["start"].alias("window_start"), w["end"].alias("window_end"),
+        v["count"].alias("n"), v["sum"].cast("double").alias("total"),
+    )
+
+
+def open_ticks(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """T11 + T7: the ticks of ``closed_buckets`` that still wait in the state of
+    the query's checkpoint, in the rows of its sink."""
+    return _as_ticks(spark.read.format("statestore").load(checkpoint).select("key.*", F.col("value")["count"].alias("n")))
 
 
 def watermark_of(q: StreamingQuery) -> str | None:
@@ -80,6 +102,8 @@ def closed_macd(buckets: DataFrame, watermark: str | None, window: str, slide: s
     """B7 + T2: MACD of the windows that end at the watermark or before, over
     the closed buckets' ticks (the sink of ``closed_buckets``); the batch
     operator, so each tick is stored and shuffled once and not per window."""
+    if watermark is None:
+        raise ValueError("no watermark has been reached, so no window is closed")
     rows = TK.macd_windows(buckets, window, slide, span)
     return rows.filter(F.col("window_end") <= F.lit(watermark).cast("timestamp"))
 
@@ -90,43 +114,6 @@ def word_count_stream(lines: DataFrame, text_col: str = "value") -> DataFrame:
     return word_count(lines, text_col)
 
 
-def _batches(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """Numbers of the ``<prefix><id>`` folders that are complete."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
-    done = lambda n: fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))
-    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and done(n))
-
-
-def replica_batch(out_dir: str) -> Callable[[DataFrame, int], None]:
-    """B12 on a stream: every micro-batch of decoded changes is merged into the
-    replica: changed keys take their last change, deleted keys go and leave
-    nothing behind. Versions are folders ``v=<batch>``: a batch reads the newest
-    one before its own and writes its own, so a replayed batch gives the same
-    version again; older ones are deleted. A merge rewrites the replica: use
-    long triggers, or a table format with MERGE, when it is large. Changes of a
-    key must arrive in order, as a topic's partition keeps them."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        old = [b for b in _batches(spark, out_dir, "v=") if b < batch_id]
-        after = batch.select("after.*").schema
-        current = spark.read.schema(after).parquet(f"{out_dir}/v={old[-1]}") if old else spark.createDataFrame([], after)
-        cdc_merge(current, batch).write.mode("overwrite").parquet(f"{out_dir}/v={batch_id}")
-        for b in old[:-1]:
-            remove_path(spark, f"{out_dir}/v={b}")
-
-    return run
-
-
-def replica(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The replica's newest version."""
-    return spark.read.parquet(f"{out_dir}/v={_batches(spark, out_dir, 'v=')[-1]}")
-
-
 def changelog_batch(out_dir: str, keys: list[str] | None = None, compact_every: int = 16) -> Callable[[DataFrame, int], None]:
     """K7 shape on files: each micro-batch's updated rows (``update`` output
     mode) go to ``log/batch_id=<id>``; overwriting that folder makes a replayed
@@ -138,8 +125,8 @@ def changelog_batch(out_dir: str, keys: list[str] | None = None, compact_every:
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{out_dir}/log/batch_id={batch_id}")
         if keys and batch_id % compact_every == compact_every - 1:
-            done = [b for b in _batches(spark, f"{out_dir}/log", "batch_id=") if b <= batch_id]
-            bases = _batches(spark, f"{out_dir}/base", "upto=")
+            done = [b for b in complete_folders(spark, f"{out_dir}/log", "batch_id=") if b <= batch_id]
+            bases = complete_folders(spark, f"{out_dir}/base", "upto=")
             compact_changelog(spark, out_dir, keys).write.mode("overwrite").parquet(f"{out_dir}/base/upto={batch_id}")
             for b in done:
                 remove_path(spark, f"{out_dir}/log/batch_id={b}")
@@ -154,10 +141,10 @@ def compact_changelog(spark: SparkSession, out_dir: str, keys: list[str]) -> Dat
     """The current table of an update-mode changelog: per key, the row of the
     latest batch (``max_by``, a partial aggregate) of the newest base and the
     log behind it."""
-    bases = _batches(spark, f"{out_dir}/base", "upto=")
+    bases = complete_folders(spark, f"{out_dir}/base", "upto=")
     base = bases[-1] if bases else -1
     parts = [(base, f"{out_dir}/base/upto={base}")] if bases else []
-    parts += [(b, f"{out_dir}/log/batch_id={b}") for b in _batches(spark, f"{out_dir}/log", "batch_id=") if b > base]
+    parts += [(b, f"{out_dir}/log/batch_id={b}") for b in complete_folders(spark, f"{out_dir}/log", "batch_id=") if b > base]
     frames = [spark.read.parquet(path).withColumn("batch_id", F.lit(b)) for b, path in parts]
     log = frames[0]
     for f in frames[1:]:

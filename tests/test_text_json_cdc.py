@@ -12,9 +12,10 @@ from quire.operators.stats_json import flatten_statistics
 from quire.operators.udfs import split_with_udf
 from quire.operators.words import word_count
 from quire.sources.files import from_rows
-from quire.session import scratch_path
+from quire.session import complete_folders, scratch_path
 from quire.sources.tables import load
 from quire.streaming import jobs as J
+from quire.streaming.replica import bucket_of, manifest, replica, replica_batch
 
 
 def _tokens(spark, texts):
@@ -135,19 +136,73 @@ def test_cdc_ids_beyond_32_bits(spark):
 
 def test_replica_over_several_batches(spark):
     """A delete leaves nothing behind, a re-create comes back, a replayed batch
-    changes nothing, and only two versions are kept."""
+    changes nothing, and only two versions are kept; a batch rewrites the buckets
+    of its own keys and no others."""
     row = lambda i, n: {"id": i, "first_name": n, "last_name": "L", "email": "e"}
     decoded = lambda *e: cdc_decode(spark.createDataFrame(list(e), "key string, value string"))
     out = scratch_path(spark, "replica-test")
-    step = J.replica_batch(out)
-    now = lambda: sorted((r.id, r.first_name) for r in J.replica(spark, out).collect())
-    step(decoded(_event("c", 1, row(1, "a"), 1, 1), _event("c", 2, row(2, "b"), 1, 2)), 0)
-    step(decoded(_event("d", 1, None, 2, 3), _event("u", 2, row(2, "B"), 2, 4)), 1)
-    assert now() == [(2, "B")]
-    step(decoded(_event("c", 1, row(1, "again"), 3, 5)), 2)
-    assert now() == [(1, "again"), (2, "B")]
-    step(decoded(_event("c", 1, row(1, "again"), 3, 5)), 2)
-    assert now() == [(1, "again"), (2, "B")] and J._batches(spark, out, "v=") == [1, 2]
+    step = replica_batch(out, buckets=16)
+    kind = "id long, first_name string, last_name string, email string"
+    now = lambda: sorted((r.id, r.first_name) for r in replica(spark, out, kind).collect())
+    rewritten = lambda v: sorted(b for b, at in manifest(spark, out, v).items() if at == v)
+    buckets = {r.i: r.b for r in spark.range(100).select(F.col("id").alias("i"), bucket_of(F.col("id"), 16).alias("b")).collect()}
+
+    step(decoded(*[_event("c", i, row(i, f"n{i}"), 1, i) for i in range(100)]), 0)
+    assert rewritten(0) == sorted(set(buckets.values())) and len(rewritten(0)) == 16
+    step(decoded(_event("d", 1, None, 2, 300), _event("u", 2, row(2, "B"), 2, 400)), 1)
+    assert rewritten(1) == sorted({buckets[1], buckets[2]}) and len(manifest(spark, out, 1)) == 16
+    want = {i: f"n{i}" for i in range(100)}
+    del want[1]
+    want[2] = "B"
+    assert now() == sorted(want.items())
+    for _ in range(2):  # the second one is a replay
+        step(decoded(_event("c", 1, row(1, "again"), 3, 500)), 2)
+        assert now() == sorted((want | {1: "again"}).items()) and rewritten(2) == [buckets[1]]
+    assert complete_folders(spark, f"{out}/manifest", "v=") == [1, 2]
+    # a superseded bucket is gone, one that is still named is not
+    gone = set(complete_folders(spark, f"{out}/data/v=0", "bucket=", mark=None))
+    assert gone == set(range(16)) - {buckets[1], buckets[2]}
+    step(decoded(*[_event("d", i, None, 9, 1000 + i) for i in range(100)]), 3)
+    assert now() == [] and manifest(spark, out, 3) == {}
+    step(decoded(), 4)
+    assert now() == []
+
+
+def test_change_order_of_file_names(spark):
+    """The last file has more figures than the one before."""
+    row = {"id": 1, "first_name": "n", "last_name": "L", "email": "e"}
+    event = lambda file, name: (json.dumps({"payload": {"id": 1}}), json.dumps({"payload": {"after": row | {"first_name": name}, "op": "u", "ts_ms": 5, "source": {"file": file, "pos": 1, "row": 0}}}))
+    events = [event("log.999999", "old"), event("log.1000000", "new"), event("log.999998", "older")]
+    assert cdc_apply(cdc_decode(spark.createDataFrame(events, "key string, value string"))).first().first_name == "new"
+
+
+def test_fields_of_later_versions_and_no_json(spark):
+    value = json.loads(CDC_VALUE)
+    value["payload"]["source"]["snapshot"] = "last"
+    value["payload"]["transaction"] = {"id": "t-9", "order": 3}
+    events = [(CDC_KEY, json.dumps(value)), (CDC_KEY, CDC_VALUE), (CDC_KEY, "{broken"), (None, None)]
+    also = {"transaction": ("transaction.id", "string"), "snapshot": ("source.snapshot", "string"), "place": ("transaction.order", "int")}
+    got = cdc_decode(spark.createDataFrame(events, "key string, value string"), also=also).collect()
+    assert [(r.op, r.id, r.transaction, r.snapshot, r.place) for r in got] == [("u", 77, "t-9", "last", 3), ("u", 77, None, None, None), (None, 77, None, None, None), (None, None, None, None, None)]
+
+
+def test_documents_are_parsed_once(spark):
+    events = spark.createDataFrame([(CDC_KEY, CDC_VALUE)], "key string, value string")
+    for df, n in ((cdc_apply(cdc_decode(events)), 2), (flatten_statistics(events), 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(") == n and "from_json" not in plan
+
+
+def test_first_entry_wins_in_a_large_dictionary(spark):
+    """10,000 names, each code given twice, and as many measurements."""
+    n = 10_000
+    nodes = [{"code": f"c{i % n}", "cname": f"{'first' if i < n else 'second'} {i % n}"} for i in range(2 * n)]
+    nodes += [{"code": None, "cname": "none"}]
+    data = [{"data": {"hasdata": True, "data": i / 2}, "wds": [{"wdcode": "zb", "valuecode": f"c{i}"}, {"wdcode": "sj", "valuecode": "d1"}]} for i in range(n + 5)]
+    days = {"wdcode": "sj", "nodes": [{"code": "d1", "cname": "2020"}, {"code": "d1", "cname": "2021"}]}
+    value = json.dumps({"returndata": {"datanodes": data, "wdnodes": [{"wdcode": "zb", "nodes": nodes}, days, {"wdcode": "zb", "nodes": []}]}})
+    got = flatten_statistics(spark.createDataFrame([("a+dbcode=hgyd", value)], "key string, value string")).collect()
+    assert sorted((r.quotaName, r.value, r.date) for r in got) == sorted((f"first {i}", i / 2, "2020") for i in range(n))
 
 
 def test_changelog_is_compacted(spark):
@@ -156,7 +211,7 @@ def test_changelog_is_compacted(spark):
     for b, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 1)], [("b", 2)], [("a", 3)]]):
         step(spark.createDataFrame(rows, "word string, count long"), b)
     assert sorted(map(tuple, J.compact_changelog(spark, out, ["word"]).collect())) == [("a", 3), ("b", 2), ("c", 1)]
-    assert J._batches(spark, f"{out}/base", "upto=") == [3] and J._batches(spark, f"{out}/log", "batch_id=") == [4]
+    assert complete_folders(spark, f"{out}/base", "upto=") == [3] and complete_folders(spark, f"{out}/log", "batch_id=") == [4]
 
 
 def test_cdc_apply_order_and_deletes(spark):
