@@ -18,9 +18,11 @@ from quire.operators import rfm as R
 from quire.operators import ticks as TK
 from quire.operators.cdc import cdc_apply, cdc_decode
 from quire.operators.ranking import quantiles
+from quire.operators.sql_functions import rfm_score_sql
 from quire.operators.stats_json import QUOTA_DDL, flatten_statistics
 from quire.operators.udfs import rfm_score_udf, split_with_udf
 from quire.operators.words import word_count
+from quire.plans import features as FT
 from quire.plans import fixtures as FX
 from quire.plans import streams as ST
 from quire.plans.transactions import TX_SQL, transactions
@@ -729,6 +731,25 @@ HIVE_SQL = "SELECT r_regionkey, r_name, r_name AS name_parts FROM region"
 
 # --------------------------------------------------------------------- registry
 
+FEED_DAY = "2024-01-15"
+
+
+def feed_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B10 + P14: the feed's ticks of one day."""
+    f = F.col("fields")
+    recs = TK.feed_to_ticks(FX.feed_bodies(spark, sf_dir), day=FEED_DAY)
+    return recs.select(F.get(f, 0).alias("key"), F.get(f, 1).cast("long").alias("seq"), F.get(f, 31).alias("day"))
+
+
+FEED_DAY_SQL = f"SELECT key, seq, day FROM ({FEED_LINES_SQL}) f WHERE day = '{FEED_DAY}'"
+
+
+def rfm_score_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 + U2: RFM scores by a function defined in SQL."""
+    r = _rfm(spark, sf_dir).checkpoint(eager=True)
+    return rfm_score_sql(spark, r, R.rfm_quartiles(r, RFM_EXACT))
+
+
 QUERIES: dict[str, Query] = {
     "csv_flight_top5_df": csv_flight_top5_df,
     "csv_flight_top5_sql": csv_flight_top5_sql,
@@ -781,6 +802,10 @@ QUERIES: dict[str, Query] = {
     "stream_fanout": ST.stream_fanout,
     "stream_macd": ST.stream_macd,
     "stream_bars": ST.stream_bars,
+    "stream_progress": ST.stream_progress,
+    "feed_day": feed_day,
+    "rfm_score_functions": rfm_score_functions,
+    **FT.QUERIES,
     "stream_cdc": ST.stream_cdc,
 }
 
@@ -836,5 +861,10 @@ ORACLES: dict[str, str] = {
     "stream_fanout": ST.STREAM_FANOUT_SQL,
     "stream_macd": MACD_SQL,
     "stream_bars": ST.STREAM_BARS_SQL,
+    "stream_progress": ST.STREAM_PROGRESS_SQL,
+    "feed_day": FEED_DAY_SQL,
+    "rfm_score_functions": RFM_SCORE_SQL,
+    "stats_sql": STATS_SQL,
+    **FT.ORACLES,
     "stream_cdc": CDC_APPLY_SQL,
 }

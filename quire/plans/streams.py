@@ -13,9 +13,11 @@ from quire.operators.stats_json import flatten_statistics
 from quire.operators.words import word_count_updates
 from quire.plans import fixtures as FX
 from quire.session import scratch_path
+from quire.sources.connectors import as_text_pairs
 from quire.sources.tables import load
 from quire.streaming import jobs as J
 from quire.streaming.bars import on_rocksdb, open_bars, timed_bars
+from quire.streaming.listener import ProgressTable
 from quire.streaming.replica import replica, replica_batch
 from quire.streaming.runner import checkpoint_for, run_available_now, unique_name
 
@@ -76,7 +78,8 @@ def stream_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 (file stand-in) + P5: the key/value stream appended to a table,
     then queried by SQL through a view (S8, S9)."""
     ev = _file_stream(spark, sf_dir, "events")
-    kv = ev.select(F.col("event_id").cast("string").alias("key"), F.col("event_type").alias("value"))
+    # binary columns, as a topic's records have them
+    kv = as_text_pairs(ev.select(F.col("event_id").cast("string").cast("binary").alias("key"), F.col("event_type").cast("binary").alias("value")))
     view = unique_name("kv")
     spark.read.parquet(_run_to_files(kv, "kv")).createOrReplaceTempView(view)
     return spark.sql(f"SELECT * FROM {view}")
@@ -168,6 +171,24 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexes.unionByName(parameters)
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T9 + K10: a windowed run over several files whose batches a listener
+    records in a table; rows read, batches that read any, the last watermark."""
+    src, path, out = scratch_path(spark, "ticks"), scratch_path(spark, "progress"), scratch_path(spark, "progress-out")
+    FX.tick_records(spark, sf_dir).repartition(4).write.json(src)
+    ticks = J.source(spark, "json", path=src, schema="event_id long, value string", max_files_per_trigger=1)
+    stats = J.sliding_window_stats(TK.tick_values(TK.parse_ticks(ticks, "value", seq_col="event_id")), "26 minutes", None, LATENESS)
+    listener = ProgressTable(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        writer = stats.writeStream.format("parquet").outputMode("append").option("path", out)
+        listener.await_end(run_available_now(writer.option("checkpointLocation", checkpoint_for(spark, "progress"))))
+    finally:
+        listener.close()
+    mark = F.max(F.to_timestamp("watermark")).cast("timestamp_ntz").alias("watermark")
+    return listener.table().agg(F.sum("input_rows").alias("rows"), F.count_if(F.col("input_rows") > 0).alias("batches"), mark)
+
+
 def stream_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B12 on a stream: change events (from the orders stream) merged batch by
     batch into a bucketed replica from which deleted keys are gone."""
@@ -194,6 +215,10 @@ SELECT key, ws AS window_start, ws + INTERVAL 26 MINUTE AS window_end, count(*)
 FROM w GROUP BY ALL
 """
 
+STREAM_PROGRESS_SQL = f"""
+SELECT (SELECT count(*) FROM events) AS rows, CAST(4 AS BIGINT) AS batches, (SELECT max(t) FROM ({_TICKS_V}) v) - INTERVAL 1 HOUR AS watermark
+"""
+
 STREAM_BARS_SQL = f"""
 SELECT key, time_bucket(INTERVAL 30 MINUTE, t, TIMESTAMP '1970-01-01') AS bar_start, count(*) AS n, arg_min(x, (t, seq)) AS open,
        max(x) AS high, min(x) AS low, arg_max(x, (t, seq)) AS close
