@@ -23,9 +23,13 @@ def words(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR)
     return parts.select(F.explode(java_trim(F.col("_p"), F.col("_s"), pattern)).alias("word"))
 
 
-def word_count(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR) -> DataFrame:
+def word_count(df: DataFrame, text_col: str = "text", pattern: str = WORD_SEPARATOR, deal: int | None = None) -> DataFrame:
     """Running count per word (batch: the final table; stream: the changelog
-    of the same aggregate)."""
+    of the same aggregate). ``deal`` (off by default) deals the texts round-robin
+    over that many tasks first: it costs a shuffle of the text column and pays
+    where the input comes in fewer row groups than there are cores."""
+    if deal:
+        df = df.select(text_col).repartition(deal)
     return words(df, text_col, pattern).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
