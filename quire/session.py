@@ -99,6 +99,25 @@ def clear_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
+def scratch_folders(spark: SparkSession) -> list[str]:
+    """The scratch folders this session has made and not deleted, oldest first."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, ()))
+
+
+def drop_scratch(spark: SparkSession, paths: list[str], reader: DataFrame) -> list[str]:
+    """Delete those of the scratch folders that ``reader`` reads no file of; the
+    ones that remain."""
+    used = reader.inputFiles() if paths else []
+    left = [p for p in paths if any(f"/{os.path.basename(p)}/" in f for f in used)]
+    known = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    for p in paths:
+        if p not in left:
+            remove_path(spark, p)
+            if p in known:
+                known.remove(p)
+    return left
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
