@@ -9,23 +9,48 @@
 
 Each stage takes and, but for the last, returns the columns of documents
 (whatever they are, beyond doc_id, text and source), and is written as Parquet
-before the next reads it. Null ids and texts, empty texts, repeated rows and
+before the next reads it; what a stage wrote on its way is deleted when the next
+one starts, so the job needs the disk of one stage. Null ids and texts, empty texts, repeated rows and
 empty tables go through; see the operators for what each gives them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import bpe_codec, ngram_join, pii, quality_classifier, source_mix
 from quire.llm.ship import ship
-from quire.session import configure, scratch_path
+from quire.session import configure, drop_scratch, remove_path, scratch_folders, write_scratch
 
 VOCABULARY = "word_bpe_49k.json"
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_LEFT: dict[str, list[str]] = {}  # per application: scratch folders of the stage before
+
+
+def staged(stage: Stage) -> Stage:
+    """Delete the scratch of the stage before, but for folders that ``docs``
+    itself still reads: a stage's result is to be written before the next is called."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        left = drop_scratch(spark, _LEFT.pop(app, []), docs)
+        before = set(scratch_folders(spark))
+        out = stage(spark, docs, sf_dir)
+        _LEFT[app] = left + [p for p in scratch_folders(spark) if p not in before]
+        return out
+
+    return run_stage
+
+
+@staged
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the classifier's threshold."""
     ship(spark)
@@ -35,12 +60,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("quality score") >= quality_classifier.THRESHOLD).drop("quality score")
 
 
+@staged
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each class of near duplicates."""
     ship(spark)
     return ngram_join.similar_documents(spark, docs, carry=True).where("leads").select("row.*")
 
 
+@staged
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced; n_chars, if there, is counted anew."""
     found = pii.find_spans(spark, docs, carry=True)
@@ -49,6 +76,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*cols)
 
 
+@staged
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes their words, to the nearest whole."""
     mixed = source_mix.mix(spark, docs, carry=True)
@@ -56,6 +84,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
 
 
+@staged
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids (packed 32-bit integers), their number and digests."""
     ship(spark)
@@ -72,10 +101,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet and read again."""
     configure(spark)
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    path = None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            path = scratch_path(spark, f"pipeline-{name}")
-            docs.write.parquet(path)
+            before, path = path, write_scratch(docs, f"pipeline-{name}")
+            if before:
+                remove_path(spark, before)
             docs = spark.read.parquet(path)
     return docs
