@@ -238,8 +238,8 @@ def similar_documents(
     src = src.select(F.struct("id", "row").alias("id"), "t")
     kind = src.schema["id"].dataType.simpleString()
     made = src.mapInArrow(_profile(words), f"id {kind}, row string, a long, b long, n long, sig binary")
-    # the text itself comes back as a column of its own; rows get a number here
-    made = made.select(F.monotonically_increasing_id().alias("no"), "id.id", *(["id.row"] if carry else []), F.col("row").alias("text"), "a", "b", "n", "sig")
+    # rows get a number here; the text is kept once, inside the row if that is carried
+    made = made.select(F.monotonically_increasing_id().alias("no"), "id.id", "id.row" if carry else F.col("row").alias("text"), "a", "b", "n", "sig")
     rows = spark.read.parquet(write_scratch(made, "profiles"))
     classes = (
         rows.where("a is not null").groupBy("a", "b")
@@ -261,7 +261,8 @@ def similar_documents(
     one = one.select("no", "node", "root", "copies", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"))
     # both sides of these two joins grow with the corpus, so they are sort-merge
     # joins at any size (and split where a key is hot)
-    told = rows.select("no", "text").join(one.hint("merge"), "no").groupBy("root", "i", "j").applyInArrow(_tile(words, least, num, den), "node long, links long, to long")
+    texts = rows.select("no", F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")).alias("text")) if carry else rows.select("no", "text")
+    told = texts.join(one.hint("merge"), "no").groupBy("root", "i", "j").applyInArrow(_tile(words, least, num, den), "node long, links long, to long")
     told = spark.read.parquet(write_scratch(told, "links"))
     # 4. classes of linked classes
     groups = components(spark, told.select(F.col("node").alias("u"), F.col("to").alias("v")))

@@ -104,17 +104,14 @@ def mix(
     at most ``min_block`` words; a source has 1,024 or more of them, or one for
     each word, so a target is missed by some slots of the source's own size.
     """
-    from quire.session import scratch_path, write_scratch
+    from quire.session import write_scratch
 
     cols = [F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")]
-    sized = docs.select(*cols, F.xxhash64(F.col(id_col), F.col(text_col), F.lit(8)).alias("h"))
-    if carry:
-        rows = docs.select(*cols, F.xxhash64(F.col(id_col), F.col(text_col), F.lit(8)).alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    path = scratch_path(spark, "mix-sizes")
-    sized.write.parquet(path)
-    sizes = spark.read.parquet(path)
-    if not carry:
-        rows = sizes
+    cols += [F.xxhash64(F.col(id_col), F.col(text_col), F.lit(8)).alias("h"), F.monotonically_increasing_id().alias("no")]
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    path = write_scratch(docs.select(*cols, *whole), "mix-rows")
+    # everything is computed on these narrow columns; whole rows are met once, at the end
+    sizes = rows = spark.read.parquet(path).select("no", "id", "source", "size", "h")
 
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = capped_targets(per_source, float(cap))
@@ -152,4 +149,8 @@ def mix(
     edge = F.floor(rest * F.col("source_size").cast("decimal(20,0)") / F.greatest(F.col("blocks"), F.lit(1))).cast("long")
     more = F.greatest(F.lit(0), F.least(F.col("at") + F.col("size"), edge) - F.least(F.col("at"), edge))
     taken = F.when(F.col("size") > 0, full * F.col("size") + more).otherwise(0).cast("long")
-    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"), *(["row"] if carry else []))
+    found = rows.select(*(["no"] if carry else []), F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
+    if not carry:
+        return found
+    # both sides grow with the corpus: a sort-merge join at any size
+    return spark.read.parquet(path).select("no", "row").join(found.hint("merge"), "no").select(id_col, "size", "source_size", "target", "taken", "row")

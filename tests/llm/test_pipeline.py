@@ -80,5 +80,5 @@ def test_queries_are_registered():
 
     found = E.queries()
     assert {*queries.QUERIES, "pipeline"} <= set(found)
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in P.STAGES] == ["quality", "distinct", "private", "mix", "encode"]
