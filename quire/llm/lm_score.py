@@ -33,6 +33,7 @@ SIDES = (-2, -1, 1, 2)
 HIDDEN = 32
 ROUNDS = SHARE = 2  # a round trains on one in SHARE positions, the rounds together on all
 BATCH, RATE = 4096, 0.1
+SCORED = 1 << 13  # positions scored at once
 PARTS = 32  # pieces in which weights travel
 
 
@@ -170,67 +171,91 @@ class Network:
         return net
 
     def hide(self, context: np.ndarray) -> np.ndarray:
-        a = self.hidden + self.embed[0][context[:, 0]]
+        a = self.embed[0].take(context[:, 0], axis=0)
         for p in range(1, len(SIDES)):
-            a += self.embed[p][context[:, p]]
-        return np.tanh(a)
+            a += self.embed[p].take(context[:, p], axis=0)
+        a += self.hidden
+        return np.tanh(a, out=a)
+
+    def _inner(self, h: np.ndarray, edges: list[int], group: np.ndarray) -> np.ndarray:
+        """Scores of the words of each row's class; rows are in order of classes."""
+        y = np.empty((len(h), self.shape[1]), np.float32)
+        for g, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            if b > a:
+                np.matmul(h[a:b], self.words[g], out=y[a:b])
+        y += self.word_bias.take(group, axis=0)
+        return y
 
     def log_prob(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        h = self.hide(context)
-        group, inner = target // self.shape[1], target % self.shape[1]
-        rows = np.arange(len(target))
-        z = h @ self.classes + self.class_bias
-        out = z[rows, group] - _lse(z)
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.shape[0] + 1))
-        for g in range(self.shape[0]):
-            i = order[edges[g] : edges[g + 1]]
-            if len(i):
-                y = h[i] @ self.words[g] + self.word_bias[g]
-                out[i] += y[np.arange(len(i)), inner[i]] - _lse(y)
+        order = _sorted(target, self.shape[0] * self.shape[1])
+        group, inner = np.divmod(target[order], self.shape[1])
+        rows, h = np.arange(len(order)), self.hide(context[order])
+        edges = np.searchsorted(group, np.arange(self.shape[0] + 1)).tolist()
+        sums = []
+        for z, at in ((h @ self.classes + self.class_bias, group), (self._inner(h, edges, group), inner)):
+            own = z[rows, at]
+            total, top = _exp(z)
+            sums.append(own - top - np.log(total))
+        out = np.empty(len(order), np.float32)
+        out[order] = sums[0] + sums[1]
         return out
 
     def step(self, context: np.ndarray, target: np.ndarray, past: np.ndarray) -> None:
-        """One Adagrad step on a batch; ``past`` sums the squared gradients."""
+        """One Adagrad step on a batch, taken in order of the targets so that each
+        class is one range of rows; ``past`` sums the squared gradients. Of the
+        embeddings only the rows of words in the batch are touched."""
         n = len(target)
-        grad, seen = Network(np.zeros(len(self.flat), np.float32), self.shape), Network(past, self.shape)
-        h = self.hide(context)
-        group, inner = target // self.shape[1], target % self.shape[1]
-        z = h @ self.classes + self.class_bias
-        dz = np.exp(z - _lse(z)[:, None])
-        dz[np.arange(n), group] -= 1
-        dz /= n
-        grad.classes[:], grad.class_bias[:] = h.T @ dz, dz.sum(axis=0)
+        seen = Network(past, self.shape)
+        order = _sorted(target, self.shape[0] * self.shape[1])
+        context = context[order]
+        group, inner = np.divmod(target[order], self.shape[1])
+        rows, h = np.arange(n), self.hide(context)
+        edges = np.searchsorted(group, np.arange(self.shape[0] + 1)).tolist()
+        dz = h @ self.classes + self.class_bias
+        _slope(dz, rows, group)
         dh = dz @ self.classes.T
-        order = np.argsort(group, kind="stable")
-        edges = np.searchsorted(group[order], np.arange(self.shape[0] + 1))
-        for g in range(self.shape[0]):
-            i = order[edges[g] : edges[g + 1]]
-            if len(i):
-                y = h[i] @ self.words[g] + self.word_bias[g]
-                dy = np.exp(y - _lse(y)[:, None])
-                dy[np.arange(len(i)), inner[i]] -= 1
-                dy /= n
-                grad.words[g], grad.word_bias[g] = h[i].T @ dy, dy.sum(axis=0)
-                dh[i] += dy @ self.words[g].T
+        dy = self._inner(h, edges, group)
+        _slope(dy, rows, inner)
+        words, bias, ones = np.zeros_like(self.words), np.zeros_like(self.word_bias), np.ones(n, np.float32)
+        for g, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            if b > a:
+                np.matmul(h[a:b].T, dy[a:b], out=words[g])
+                np.matmul(ones[a:b], dy[a:b], out=bias[g])
+                dh[a:b] += dy[a:b] @ self.words[g].T
         da = dh * (1 - h * h)
-        grad.hidden[:] = da.sum(axis=0)
+        found = {"hidden": da.sum(axis=0), "classes": h.T @ dz, "class_bias": dz.sum(axis=0), "words": words, "word_bias": bias}
+        for name, g in found.items():
+            w, s = getattr(self, name), getattr(seen, name)
+            s += g * g
+            w -= RATE * g / (np.sqrt(s) + 1e-6)
         for p in range(len(SIDES)):
-            order = np.argsort(context[:, p], kind="stable")
-            c = context[order, p]
+            by = _sorted(context[:, p], self.embed.shape[1])
+            c = context[by, p]
             first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            g, rows = np.add.reduceat(da[order], first, axis=0), c[first]
-            s = seen.embed[p][rows] + g * g
-            seen.embed[p][rows] = s
-            self.embed[p][rows] -= RATE * g / (np.sqrt(s) + 1e-6)
-        rest = slice(self.embed.size, None)
-        past[rest] += grad.flat[rest] * grad.flat[rest]
-        self.flat[rest] -= RATE * grad.flat[rest] / (np.sqrt(past[rest]) + 1e-6)
+            g, at = np.add.reduceat(da.take(by, axis=0), first, axis=0), c[first]
+            s = seen.embed[p].take(at, axis=0) + g * g
+            seen.embed[p][at] = s
+            self.embed[p][at] -= RATE * g / (np.sqrt(s) + 1e-6)
 
 
-def _lse(z: np.ndarray) -> np.ndarray:
-    m = z.max(axis=1)
-    return m + np.log(np.exp(z - m[:, None]).sum(axis=1))
+def _sorted(ids: np.ndarray, size: int) -> np.ndarray:
+    """Stable order of ids below ``size``; 16-bit ones are sorted by radix."""
+    return np.argsort(ids.astype(np.uint16) if size < 1 << 16 else ids, kind="stable")
+
+
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials in place of scores, less each row's largest; their sums and that."""
+    top = z.max(axis=1)
+    z -= top[:, None]
+    np.exp(z, out=z)
+    return z.sum(axis=1), top
+
+
+def _slope(z: np.ndarray, rows: np.ndarray, at: np.ndarray) -> None:
+    """In place of scores, the slope of the mean loss of a softmax."""
+    total, _ = _exp(z)
+    z /= (total * len(z))[:, None]
+    z[rows, at] -= np.float32(1 / len(z))
 
 
 # of the smallest vocabulary
@@ -333,8 +358,8 @@ def lm_scores(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
                 ids, doc = v.encode(t.names), t.doc
                 share, rare = v.shares(t.names, ids)
                 total = np.bincount(doc, weights=share, minlength=m)
-                for k in range(0, len(ids), 1 << 15):
-                    at = np.arange(k, min(k + (1 << 15), len(ids)))
+                for k in range(0, len(ids), SCORED):
+                    at = np.arange(k, min(k + SCORED, len(ids)))
                     total += np.bincount(doc[at], weights=net.log_prob(contexts(ids, doc, at, v.size), ids[at]), minlength=m)
                 edges = np.searchsorted(rare, t.bounds).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(edges), pa.array(t.names[rare].view(np.int64)))

@@ -42,6 +42,45 @@ def test_log_probabilities_sum_to_one():
     assert abs(np.exp(net.log_prob(context, np.arange(L.SIZE))).sum() - 1) < 1e-4
 
 
+def test_scores_by_definition(spark):
+    """Every word of some texts by the written formula, one position at a time."""
+    texts = [chain(1, 40), chain(2, 9), ["w1"], []]
+    docs = spark.createDataFrame([(k, " ".join(t), "en", "a", 1) for k, t in enumerate(texts)], SCHEMA)
+    v = L.vocabulary(docs)
+    net = L.Network.fresh(v)
+    ids = [v.encode(L.Texts(L.pa.array([" ".join(t)])).names) for t in texts]
+    got = {r.doc_id: r.log_prob for r in L.lm_scores(spark, docs, model=(v, net)).collect()}
+    softmax = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    for k, own in enumerate(ids):
+        total = 0.0
+        for i, y in enumerate(own):
+            around = [own[i + d] if 0 <= i + d < len(own) else v.size + (d > 0) for d in L.SIDES]
+            h = np.tanh(net.hidden + sum(net.embed[p][c] for p, c in enumerate(around)))
+            g, inner = divmod(int(y), v.shape[1])
+            total += math.log(softmax(h @ net.classes + net.class_bias)[g]) + math.log(softmax(h @ net.words[g] + net.word_bias[g])[inner])
+        assert abs(got[k] - total) < 1e-3 * max(1, len(own))
+
+
+def test_step_is_the_gradient():
+    """One step moves each weight as the loss' difference quotient says."""
+    rng = np.random.default_rng(5)
+    v = L.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.log(np.full(L.SIZE, 1 / L.SIZE)), np.zeros(L.SIZE))
+    net = L.Network.fresh(v)
+    context, target = rng.integers(0, 50, (40, 4)), rng.integers(0, 120, 40)
+    moved, past = L.Network(net.flat.copy()), np.zeros(L.Network.LENGTH, np.float32)
+    moved.step(context, target, past)
+    loss = lambda: -net.log_prob(context, target).astype(np.float64).mean()
+    for at in [*np.flatnonzero(past > 1e-7)[:: max(1, int((past > 1e-7).sum()) // 25)]]:
+        was = net.flat[at]
+        net.flat[at] = was + 1e-2
+        up = loss()
+        net.flat[at] = was - 1e-2
+        slope = (up - loss()) / 2e-2
+        net.flat[at] = was
+        assert abs(abs(slope) - math.sqrt(past[at])) < 2e-4 + 0.05 * abs(slope)
+        assert (moved.flat[at] < was) == (slope > 0)
+
+
 def test_gradient_step_by_differences():
     rng = np.random.default_rng(1)
     v = L.Vocabulary(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.log(np.full(L.SIZE, 1 / L.SIZE)), np.zeros(L.SIZE))
