@@ -31,6 +31,8 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Whole rows travel to the Python workers: small batches keep these small.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 _LEFT: dict[str, list[str]] = {}  # per application: scratch folders of the stage before
 
 
@@ -40,6 +42,9 @@ def staged(stage: Stage) -> Stage:
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        configure(spark)
+        for name, value in BATCHES.items():
+            spark.conf.set(name, value)
         app = spark.sparkContext.applicationId
         left = drop_scratch(spark, _LEFT.pop(app, []), docs)
         before = set(scratch_folders(spark))
