@@ -357,7 +357,7 @@ def lm_scores(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
                 t = Texts(col.slice(i, m))
                 ids, doc = v.encode(t.names), t.doc
                 share, rare = v.shares(t.names, ids)
-                total = np.bincount(doc, weights=share, minlength=m)
+                total = np.bincount(doc, weights=share, minlength=m).astype(np.float64)  # of no words at all: integers
                 for k in range(0, len(ids), SCORED):
                     at = np.arange(k, min(k + SCORED, len(ids)))
                     total += np.bincount(doc[at], weights=net.log_prob(contexts(ids, doc, at, v.size), ids[at]), minlength=m)
