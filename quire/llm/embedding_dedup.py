@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by a robust-pruned flat graph.
 
 1. Equal vectors are one class, searched once and counted with its size.
-2. Classes are dealt to overlapping shards: each goes to its nearest few of up
+2. Classes of one length are dealt to overlapping shards: each goes to its nearest few of up
    to 64 well separated centres (fitted on a bounded sample); a shard that is
    still large is split again in the same way, and one that can't be split, a
    dense cluster, is dealt in tiles, every pair of blocks in one task.
@@ -12,8 +12,9 @@
    the medoid and the node itself, then outwards from all that lies in range.
    Pairs are verified in double precision. A pair is judged in the first shard
    that both share, and only links' weights and representatives leave a task.
-5. Recall is audited by brute force for a bounded set of queries; below the
-   target the index is built again with twice the overlap and beam.
+5. Recall is audited by brute force for a bounded set of queries, each counted
+   alike; below the target the index is built again with a wider overlap and
+   beam, and if that doesn't reach it either, all pairs are compared in tiles.
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ TILE = 2048  # classes of a block
 LEVELS = 4
 NEAREST, RANDOM, DEGREE, ALPHA = 40, 12, 24, 1.2
 SLACK = 0.04  # how far below the threshold the search still expands
-AUDIT, TARGET = 256, 0.99
+AUDIT, TARGET = 1024, 0.99
+TRIES = 2
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -92,13 +94,14 @@ def _split(spark: SparkSession, rows: DataFrame, level: int, overlap: int) -> Da
         for b in batches:
             if not b.num_rows:
                 continue
-            v, shard, packed = _matrix(b.column(2)), b.column(3).to_pylist(), b.column(4).to_pylist()
+            shard, packed = b.column(3).to_pylist(), b.column(4).to_pylist()
             parts: list[list[str]] = [[]] * b.num_rows
             for s in set(shard):
                 i = np.array([k for k, x in enumerate(shard) if x == s])
+                v = _unit(_matrix(b.column(2).take(pa.array(i))))  # of one length in a shard
                 c = np.frombuffer(packed[i[0]], np.float64).reshape(-1, v.shape[1])
                 m = min(overlap, len(c))
-                best = np.argpartition(-(_unit(v[i]) @ c.T), m - 1, axis=1)[:, :m]
+                best = np.argpartition(-(v @ c.T), m - 1, axis=1)[:, :m]
                 for k, near in zip(i, best, strict=True):
                     parts[k] = [f"{s}.{x}" for x in sorted(near.tolist())]
             yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(parts, pa.list_(pa.string()))], names=["node", "weight", "v", "parts"])
@@ -294,8 +297,7 @@ def near_duplicates(
     """(id, n_links, component_id, kept) of each row.
 
     Vectors that are null, zero or hold null or non-finite components link with
-    nothing. So do those of another length than the most common one, but with
-    equal vectors. ``n_links`` counts the other rows at a cosine of at least
+    nothing; others with those of their own length. ``n_links`` counts the other rows at a cosine of at least
     ``threshold``, equal rows included; component_id is the smallest id
     reachable. An empty table gives none; other columns aren't read. Search is
     approximate but audited (see above); no pair below the threshold is linked.
@@ -303,15 +305,14 @@ def near_duplicates(
     src = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     classes = src.where(_valid("v")).groupBy("v").agg(F.count("*").alias("weight"), F.min("id").alias("low"))
     classes = spark.read.parquet(write_scratch(classes.withColumn("node", F.monotonically_increasing_id()), "vectors"))
-    common = classes.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = common["d"] if common else 0
-    nodes = classes.where(F.size("v") == dim)
+    nodes = classes.select("node", "weight", "v")
     asked = nodes.orderBy(F.xxhash64("node", F.lit(6))).limit(AUDIT).collect()
-    for _ in range(3):
-        told = _linked(spark, nodes, threshold, overlap, beam)
-        if _recall(spark, nodes, told, asked, threshold) >= TARGET:
+    for k in range(TRIES):
+        told = _linked(spark, nodes, threshold, overlap + k, beam << k)
+        if _recall(nodes, told, asked, threshold) >= TARGET:
             break
-        overlap, beam = 2 * overlap, 2 * beam
+    else:
+        told = _compared(spark, nodes, threshold)
     groups = components(spark, told.select(F.col("node").alias("u"), F.col("to").alias("v")))
     total = told.groupBy("node").agg(F.sum("links").alias("links"))
     every = classes.join(groups, "node", "left").join(total, "node", "left")
@@ -325,7 +326,7 @@ def near_duplicates(
 
 def _linked(spark: SparkSession, nodes: DataFrame, threshold: float, overlap: int, beam: int) -> DataFrame:
     """(node, links, to) of every node and tile, written."""
-    rows = nodes.select("node", "weight", "v", F.lit("0").alias("shard"))
+    rows = nodes.select("node", "weight", "v", F.size("v").cast("string").alias("shard"))
     done = None
     level = 0
     while True:
@@ -334,7 +335,7 @@ def _linked(spark: SparkSession, nodes: DataFrame, threshold: float, overlap: in
         sizes = rows.groupBy("shard").agg(F.count("*").alias("c"))
         large = sizes.where(F.col("c") > SHARD).select("shard")
         if level == LEVELS or not large.take(1):
-                        break
+            break
         small = rows.join(large, "shard", "left_anti").select(*rows.columns)
         done = small if done is None else done.unionByName(small)
         rows = rows.join(large, "shard").select(*rows.columns)
@@ -353,23 +354,62 @@ def _linked(spark: SparkSession, nodes: DataFrame, threshold: float, overlap: in
     return spark.read.parquet(write_scratch(found, "found"))
 
 
-def _recall(spark: SparkSession, nodes: DataFrame, told: DataFrame, asked: list, threshold: float) -> float:
-    """Share of the true links of the audit's queries (at most AUDIT vectors,
-    held by every task) that the index found."""
-    if not asked:
-        return 1.0
-    q = _unit(np.array([r["v"] for r in asked]))
-    ids = np.array([r["node"] for r in asked])
+def _compared(spark: SparkSession, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, to) of every node and tile by comparing all pairs of blocks
+    of vectors of one length: the exact way where the index misses its target."""
+    sizes = nodes.groupBy(F.size("v").alias("d")).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+    placed = nodes.join(sizes, F.size("v") == F.col("d")).withColumn("block", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    dealt = placed.select("d", "node", "weight", "v", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k"))
+    dealt = dealt.withColumns({"i": F.least("block", "k"), "j": F.greatest("block", "k")}).drop("k")
+
+    def run(table: pa.Table) -> pa.Table:
+        node, weight, block = (table.column(k).to_numpy() for k in ("node", "weight", "block"))
+        cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        v, links, label = _unit(_matrix(table.column("v"))), np.zeros(len(node), np.int64), np.arange(len(node))
+        pairs = []
+        for at in range(0, len(node), 256):
+            hit = v[at : at + 256] @ v.T >= threshold
+            if cross:
+                hit &= block[at : at + 256, None] != block
+            q, t = np.nonzero(hit)
+            pairs.append(np.stack([q + at, t])[:, q + at != t])
+        q, t = np.concatenate(pairs, axis=1)
+        np.add.at(links, q, weight[t])
+        while True:  # smallest number reachable
+            low = label.copy()
+            np.minimum.at(low, q, label[t])
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        return pa.table({"node": pa.array(node), "links": pa.array(links), "to": pa.array(node[label])})
+
+    found = dealt.groupBy("d", "i", "j").applyInArrow(run, "node long, links long, to long")
+    return spark.read.parquet(write_scratch(found, "compared"))
+
+
+def _recall(nodes: DataFrame, told: DataFrame, asked: list, threshold: float) -> float:
+    """Mean share of its true links that the index found for each of the audit's
+    queries that has any (at most AUDIT vectors, held by every task): a member of
+    a large group counts as much as one of a pair."""
+    queries: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for d in {len(r["v"]) for r in asked}:
+        mine = [r for r in asked if len(r["v"]) == d]
+        queries[d] = np.array([r["node"] for r in mine]), _unit(np.array([r["v"] for r in mine]))
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(q), np.int64)
+        total = {d: np.zeros(len(ids), np.int64) for d, (ids, _) in queries.items()}
         for b in batches:
-            if b.num_rows:
-                hit = (_unit(_matrix(b.column(2))) @ q.T >= threshold) & (b.column(0).to_numpy()[:, None] != ids[None, :])
-                total += (hit * b.column(1).to_numpy()[:, None]).sum(axis=0)
-        yield pa.record_batch([pa.array(ids), pa.array(total)], names=["node", "links"])
-
-    true = nodes.select("node", "weight", "v").mapInArrow(brute, "node long, links long").groupBy("node").agg(F.sum("links").alias("true"))
+            length = np.diff(b.column(2).offsets.to_numpy())
+            for d in set(length.tolist()) & queries.keys():
+                i, (ids, q) = np.flatnonzero(length == d), queries[d]
+                hit = (_unit(_matrix(b.column(2).take(pa.array(i)))) @ q.T >= threshold) & (b.column(0).to_numpy()[i, None] != ids)
+                total[d] += (hit * b.column(1).to_numpy()[i, None]).sum(axis=0)
+        for d, (ids, _) in queries.items():
+            yield pa.record_batch([pa.array(ids), pa.array(total[d])], names=["node", "links"])
+
+    true = nodes.mapInArrow(brute, "node long, links long").groupBy("node").agg(F.sum("links").alias("true")).where(F.col("true") > 0)
     found = told.groupBy("node").agg(F.sum("links").alias("found"))
-    r = true.join(found, "node", "left").agg(F.sum("true"), F.sum(F.least(F.coalesce("found", F.lit(0)), F.col("true")))).first()
-    return 1.0 if not r[0] else r[1] / r[0]
+    share = F.least(F.coalesce("found", F.lit(0)), F.col("true")) / F.col("true")
+    r = true.join(found, "node", "left").agg(F.avg(share)).first()
+    return 1.0 if r[0] is None else r[0]
