@@ -121,21 +121,23 @@ def drop_scratch(spark: SparkSession, paths: list[str], reader: DataFrame) -> li
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def write_scratch(df: DataFrame, name: str) -> str:
+def write_scratch(df: DataFrame, name: str, compression: str | None = None) -> str:
     """Write a step's result to a new scratch folder and return its path. With
     Spark's own clean-up on, the shuffle files of the step go when it ends, not
     when the driver happens to collect its plan, so that a job of many steps
     needs the disk of one. (The switch is the session's, and is put back; on a
-    session that lacks it the files stay until Spark's cleaner takes them.)"""
+    session that lacks it the files stay until Spark's cleaner takes them.)
+    ``compression`` is the Parquet codec, the session's by default."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    writer = df.write.option("compression", compression) if compression else df.write
     before = spark.conf.get(_CLEANUP, None)
     if before is None:
-        df.write.parquet(path)
+        writer.parquet(path)
         return path
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        writer.parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return path
