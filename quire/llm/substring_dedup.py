@@ -12,7 +12,7 @@ windows have equal anchors and neighbouring windows mostly share theirs.
 
 1. The anchors of all windows are counted over the corpus; an anchor made at
    one place only proves its windows unique. This leaves few windows.
-2. Those are verified: 128-bit names of their words are counted over the corpus.
+2. Those are verified: two folds of their words' names are counted over the corpus.
 3. Words under a window counted twice or more are removed.
 
 Counts are combined before they are shuffled, the join back to the rows is an
@@ -311,7 +311,7 @@ def dedup_substrings(
     src = docs.select(F.col(id_col).alias("id"), F.md5(text).alias("key"), text.alias("t"))
 
     made = src.select("key", "t").mapInArrow(_anchor_rows(width), "key string, anchor array<long>, from array<int>, to array<int>, sure array<long>, own array<int>")
-    path = write_scratch(made.withColumn("no", F.monotonically_increasing_id()), "anchors")
+    path = write_scratch(made.withColumn("no", F.monotonically_increasing_id()), "anchors", "zstd")
     rows = spark.read.parquet(path)
     # an anchor is repeated if it was made at two places, or in one piece again
     listed = rows.select(F.explode(F.concat("anchor", "sure", "sure")).alias("anchor"))
@@ -321,14 +321,16 @@ def dedup_substrings(
     # equal texts are a class; its first row's spots stand for all
     classes = rows.groupBy("key").agg(F.count("*").alias("copies"), F.min(F.struct("no", "own")).alias("one"))
     known = classes.select("key", "copies", F.col("one.no").alias("cid"), "one.own").join(spots, F.col("cid") == F.col("no"), "left").drop("no")
-    known = spark.read.parquet(write_scratch(known, "spots"))
+    spots_path = write_scratch(known, "spots", "zstd")
+    known = spark.read.parquet(spots_path)
     remove_path(spark, path)  # the anchors aren't needed any more
 
     checked = src.join(known, "key").select("id", "cid", "t", "copies", "spots", "own").mapInArrow(
         _verify_rows(width, as_text),
         f"id {id_type}, cid long, n_words long, n_removed long, kept string, text string, names binary, at binary, sure binary, hits binary",
     )
-    rows = spark.read.parquet(write_scratch(checked, "windows"))
+    rows = spark.read.parquet(write_scratch(checked, "windows", "zstd"))  # holds texts
+    remove_path(spark, spots_path)
     asked = rows.where("names is not null or sure is not null").select("cid", "names", "at", "sure")
     windows = asked.mapInArrow(_window_rows, "cid long, at int, a long, b long")
     twice = windows.groupBy("a", "b").agg(F.sum(F.when(F.col("at") < 0, 2).otherwise(1)).alias("c")).where("c > 1").select("a", "b")
@@ -336,7 +338,7 @@ def dedup_substrings(
     open_rows = rows.where("text is not null and names is not null").select("cid", "names", "at", F.lit(None).cast("binary").alias("sure"))
     wanted = open_rows.mapInArrow(_window_rows, "cid long, at int, a long, b long")
     hits = wanted.join(twice, ["a", "b"]).groupBy("cid").agg(F.collect_list("at").alias("found"))
-    hits = spark.read.parquet(write_scratch(hits, "hits"))
+    hits = spark.read.parquet(write_scratch(hits, "hits", "zstd"))
     cut = rows.where("text is not null").select("id", "cid", "text", F.col("hits").alias("own")).join(hits, "cid", "left")
     cut = cut.select("id", "text", "own", "found").mapInArrow(_cut_rows(width, as_text), f"id {id_type}, n_words long, n_removed long, kept string")
     done = rows.where("text is null").select("id", "n_words", "n_removed", "kept")
