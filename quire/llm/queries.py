@@ -166,4 +166,59 @@ neg AS (SELECT pos.anchor_id, pos.other_id AS positive_id, p.other_id AS negativ
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
 """
 
-ORACLES: dict[str, str] = {"op11_decontamination": OP11_SQL, "op12_hard_negatives": OP12_SQL}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP1_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS no, doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT no, s, array_to_string(w[s:s + 34], ' ') AS x FROM (SELECT no, w, unnest(range(1, len(w) - 33)) AS s FROM d) q),
+again AS (SELECT no, s FROM (SELECT no, s, count(*) OVER (PARTITION BY x) AS c FROM win) q WHERE c > 1),
+gone AS (SELECT DISTINCT no, unnest(range(s, s + 35)) AS p FROM again),
+kept AS (SELECT no, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n
+         FROM (SELECT no, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) q ANTI JOIN gone USING (no, p) GROUP BY no)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (no)
+"""
+
+OP6_SQL = """
+WITH RECURSIVE
+e AS (SELECT row_number() OVER () AS no, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+u AS (SELECT no, vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM e
+      WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+near AS MATERIALIZED (SELECT a.no AS a, b.no AS b FROM u a JOIN u b ON a.no < b.no AND len(a.v) = len(b.v)
+                      WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95),
+link AS MATERIALIZED (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+n AS (SELECT a AS no, count(*) AS n_links FROM link GROUP BY a),
+least AS (SELECT reach.a AS no, min(o.vec_id) AS vec_id FROM reach JOIN e o ON o.no = reach.b GROUP BY reach.a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, least(e.vec_id, coalesce(l.vec_id, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(l.vec_id, e.vec_id)) AS kept
+FROM e LEFT JOIN n USING (no) LEFT JOIN least l USING (no)
+"""
+
+# documents of one shingle set are a class; links of classes, then of their rows
+OP9_SQL = f"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS no, doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT no, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS x FROM d),
+c AS MATERIALIZED (SELECT row_number() OVER () AS k, x, len(x) AS n, count(*) AS copies, min(doc_id) AS low FROM s WHERE len(x) > 0 GROUP BY x),
+g AS MATERIALIZED (SELECT k, n, unnest(x) AS h FROM c),
+near AS MATERIALIZED (SELECT a.k AS a, b.k AS b FROM g a JOIN g b ON a.h = b.h AND a.k < b.k AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+                      GROUP BY a.k, b.k, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))),
+link AS MATERIALIZED (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+n AS (SELECT a AS k, sum(copies) AS others FROM link JOIN c ON c.k = link.b GROUP BY a),
+least AS (SELECT a AS k, min(low) AS low FROM reach JOIN c ON c.k = reach.b GROUP BY a)
+SELECT s.doc_id, CASE WHEN c.k IS NULL THEN s.doc_id ELSE least(c.low, coalesce(l.low, c.low)) END AS class_id,
+       CAST(coalesce(c.copies - 1 + coalesce(n.others, 0), 0) AS BIGINT) AS n_links
+FROM s LEFT JOIN c ON c.x = s.x LEFT JOIN n ON n.k = c.k LEFT JOIN least l ON l.k = c.k
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op6_embedding_dedup": OP6_SQL,
+    "op9_ngram_join": OP9_SQL,
+    "op11_decontamination": OP11_SQL,
+    "op12_hard_negatives": OP12_SQL,
+}
