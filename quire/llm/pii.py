@@ -66,25 +66,41 @@ TREES, RATE, UNLABELLED, PRECISION = 10, 0.4, 0.3, 0.9
 CARD_DIGITS, PHONE_DIGITS = (13, 19), (9, 15)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once a row (what a function of
+    array elements names from outside is computed anew for each element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan(values: Column, merge) -> Column:
+    """Running results of an associative ``merge`` over array<int>, by doubling
+    distances: n log n steps, and no array that is copied for every element.
+    ``merge`` gets null where there is nothing before."""
+
+    def step(acc: Column, j: Column) -> Column:
+        moved = F.concat(F.array_repeat(F.lit(None).cast("int"), F.pow(F.lit(2), j).cast("int")), acc)
+        return F.slice(F.zip_with(acc, moved, lambda x, y: merge(x, y).cast("int")), F.lit(1), F.size(acc))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+    return F.aggregate(rounds, values, step)
+
+
 def _hits(text: Column, pattern: str, may_hold: str) -> Column:
     """array<(m, s, before, after)>: matches with their start in code points
     and up to 24 code points around them. The pattern only runs over a text in
     which the cheap test finds something."""
 
     def place(pieces: Column, found: Column) -> Column:
-        pairs = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("p"), F.get(pieces, i + 1).alias("q")))
-        kind = "array<struct<m:string,s:int,before:string,after:string>>"
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            at = (acc["at"] + F.length(x["p"])).cast("int")
-            row = F.struct(x["m"].alias("m"), at.alias("s"), F.substr(x["p"], F.lit(-24)).alias("before"), F.left(x["q"], F.lit(24)).alias("after"))
-            return F.struct((at + F.length(x["m"])).cast("int").alias("at"), F.concat(acc["out"], F.array(row).cast(kind)).alias("out"))
-
-        return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        n = F.size(found)
+        left, right = F.slice(pieces, F.lit(1), n), F.slice(pieces, F.lit(2), n)
+        ends = _let(F.zip_with(left, found, lambda p, m: (F.length(p) + F.length(m)).cast("int")), lambda v: _scan(v, lambda x, y: x + F.coalesce(y, F.lit(0))))
+        hits = F.zip_with(found, ends, lambda m, e: F.struct(m.alias("m"), (e - F.length(m)).cast("int").alias("s")))
+        around = F.zip_with(left, right, lambda p, q: F.struct(F.substr(p, F.lit(-24)).alias("before"), F.left(q, F.lit(24)).alias("after")))
+        return F.zip_with(hits, around, lambda h, c: F.struct(h["m"].alias("m"), h["s"].alias("s"), c["before"].alias("before"), c["after"].alias("after")))
 
     run = F.rlike(text, F.lit(may_hold))
-    got = place(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    got = _let(F.split(text, pattern, -1), lambda pieces: _let(found, lambda m: place(pieces, m)))
     return F.when(run, got).otherwise(F.array().cast("array<struct<m:string,s:int,before:string,after:string>>"))
 
 
@@ -166,12 +182,30 @@ def _described(k: int, i: int) -> Column:
     """The i-th generator's proposals of a kind: positive if a base span, negative
     if it fails the check itself, else unlabelled."""
 
+    kind = "struct<s:int,e:int,own:int,m:string,before:string,after:string>"
+    none = F.lit(None).cast("string")
+
+    def place(x: Column, own: int, *rest: Column) -> Column:
+        return F.struct(x["s"].alias("s"), _end(x).alias("e"), F.lit(own).alias("own"), *rest).cast(kind)
+
     def row(x: Column) -> Column:
-        base = F.exists(F.col(f"h{k}"), lambda h: h["ok"] & (h["s"] == x["s"]) & (_end(h) == _end(x)))
-        y = F.when(base, 1).when(~checked(KINDS[k], x["m"]), 0)
-        return F.struct(F.lit(k).alias("k"), x["s"].alias("s"), _end(x).alias("e"), describe(k, x).alias("f"), y.cast("int").alias("y")).cast(PROPOSAL)
+        y = F.when(x["base"], 1).when(~checked(KINDS[k], x["m"]), 0)
+        return F.struct(F.lit(k).alias("k"), x["s"].alias("s"), x["e"].alias("e"), describe(k, x).alias("f"), y.cast("int").alias("y")).cast(PROPOSAL)
+
+    def told(x: Column, before: Column) -> Column:
+        """A span equal to a proposal stands right before it."""
+        same = F.coalesce((before["own"] == 0) & (before["s"] == x["s"]) & (before["e"] == x["e"]), F.lit(False))
+        return F.struct(*[x[c].alias(c) for c in ("s", "e", "own", "m", "before", "after")], same.alias("base"))
+
+    good = F.transform(F.filter(F.col(f"h{k}"), lambda h: h["ok"]), lambda h: place(h, 0, none, none, none))
+    more = F.transform(F.col(f"p{k}_{i}"), lambda x: place(x, 1, x["m"], x["before"], x["after"]))
+    both = _let(F.sort_array(F.concat(good, more)), lambda r: F.zip_with(r, _moved(r, kind), told))
+    return F.transform(F.filter(both, lambda x: x["own"] == 1), row)
 
-    return F.transform(F.col(f"p{k}_{i}"), row)
+
+def _moved(values: Column, kind: str) -> Column:
+    """Each element's predecessor, null for the first."""
+    return F.slice(F.concat(F.array(F.lit(None).cast(kind)), values), F.lit(1), F.size(values))
 
 
 def proposals(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
@@ -217,7 +251,7 @@ def grow(spark: SparkSession, made: DataFrame) -> Trees:
     some thousands of rows whatever the corpus, decide a tree."""
     path = scratch_path(spark, "descriptions")
     rows = made.select("id", F.explode("more").alias("x")).select("x.f", F.col("x.y").alias("y"), F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 0, F.lit(False)).alias("held"))
-    rows.groupBy("f", "y", "held").agg(F.count("*").cast("double").alias("n")).coalesce(1).write.parquet(path)
+    rows.groupBy("f", "y", "held").agg(F.count("*").cast("double").alias("n")).write.parquet(path)
     table = spark.read.parquet(path)
     w = F.col("n") * F.when(F.col("y").isNull(), UNLABELLED).otherwise(1.0)
     label = F.coalesce(F.col("y"), F.lit(0))
@@ -265,6 +299,47 @@ def _meets(a: Column, b: Column) -> Column:
     return (a["s"] < b["e"]) & (b["s"] < a["e"])
 
 
+def _free(base: Column, more: Column) -> Column:
+    """Of ``more``, array<(s, e, k, z)>, those that meet no base span, in order
+    of start: in the order of all starts, no span begins before a proposal and
+    ends in or behind it, and none begins behind its start and before its end."""
+    kind = "struct<s:int,e:int,k:int,z:double>"
+    spans = F.transform(base, lambda b: F.struct(b["s"].alias("s"), b["e"].alias("e"), F.lit(-1).alias("k"), F.lit(0.0).alias("z")).cast(kind))
+
+    def place(rows: Column) -> Column:
+        ends = _scan(F.transform(rows, lambda x: F.when(x["k"] < 0, x["e"])), lambda x, y: F.greatest(x, y))
+        starts = F.reverse(_scan(F.reverse(F.transform(rows, lambda x: F.when(x["k"] < 0, x["s"]))), lambda x, y: F.least(x, y)))
+        near = F.zip_with(ends, starts, lambda e, s: F.struct(e.alias("e"), s.alias("s")))
+        told = F.zip_with(rows, near, lambda x, n: F.struct(x.alias("x"), (F.coalesce(n["e"] > x["s"], F.lit(False)) | F.coalesce(n["s"] < x["e"], F.lit(False))).alias("meets")))
+        return F.transform(F.filter(told, lambda r: (r["x"]["k"] >= 0) & ~r["meets"]), lambda r: r["x"])
+
+    return _let(F.sort_array(F.concat(spans, more)), place)
+
+
+def _best(found: Column) -> Column:
+    """The spans of proposals, array<(s, e, k, z)> in order of start, taken best
+    score first, without those that meet one already taken. Each run of
+    proposals that overlap one another is judged alone."""
+    kind = f"array<{SPAN}>"
+
+    def greedy(run: Column) -> Column:
+        ordered = F.sort_array(F.transform(run, lambda x: F.struct((-x["z"]).alias("z"), x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e"))))
+        return F.aggregate(
+            ordered, F.array().cast(kind),
+            lambda acc, x: F.when(F.exists(acc, lambda b: _meets(x, b)), acc).otherwise(F.concat(acc, F.array(F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e")).cast(SPAN)))),
+        )
+
+    def runs(rows: Column) -> Column:
+        ends = _let(_scan(F.transform(rows, lambda x: x["e"]), lambda x, y: F.greatest(x, y)), lambda v: _moved(v, "int"))
+        first = F.zip_with(rows, ends, lambda x, e: F.coalesce(e <= x["s"], F.lit(True)))
+        starts = F.filter(F.transform(first, lambda new, i: F.when(new, i + 1)), lambda i: i.isNotNull())
+        stops = lambda at: F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(rows) + 1))
+        cuts = _let(starts, lambda at: F.zip_with(at, stops(at), lambda i, j: F.struct(i.alias("i"), (j - i).alias("n"))))
+        return F.flatten(F.transform(F.filter(cuts, lambda c: c["i"].isNotNull()), lambda c: greedy(F.slice(rows, c["i"], c["n"]))))
+
+    return _let(found, runs)
+
+
 def find_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """(id, base, spans[, row]) of each row: arrays of (k, s, e), the kind's number
     in KINDS, start and end in code points (end exclusive), by kind and start;
@@ -278,15 +353,9 @@ def find_spans(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     proposals(docs, id_col, text_col, carry).write.parquet(path)
     made = spark.read.parquet(path)
     model = grow(spark, made)
-    score = lambda x: F.round(model.score(x["f"]), 3)
-    above = lambda x: score(x) >= reduce(lambda acc, k: F.when(x["k"] == k, model.thresholds[k]).otherwise(acc), model.thresholds, F.lit(1e9))
-    fresh = F.filter("more", lambda x: above(x) & ~F.exists("base", lambda b: _meets(x, b)))
-    fresh = F.transform(fresh, lambda x: F.struct((-score(x)).alias("z"), x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e")))
-    # best score first; a proposal that meets one already taken is left out
-    taken = F.aggregate(
-        F.sort_array(fresh), F.array().cast(f"array<{SPAN}>"),
-        lambda acc, x: F.when(F.exists(acc, lambda b: _meets(x, b)), acc).otherwise(F.concat(acc, F.array(F.struct(x["k"].alias("k"), x["s"].alias("s"), x["e"].alias("e")).cast(SPAN)))),
-    )
+    scored = F.transform("more", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"), F.round(model.score(x["f"]), 3).alias("z")))
+    above = lambda x: x["z"] >= reduce(lambda acc, k: F.when(x["k"] == k, model.thresholds[k]).otherwise(acc), model.thresholds, F.lit(1e9))
+    taken = _best(_free(F.col("base"), F.filter(scored, above)))
     some = F.size("more") > 0
     out = made.withColumn("spans", F.when(some, F.sort_array(F.concat("base", taken))).otherwise(F.col("base")))
     return out.select(F.col("id").alias(id_col), "base", "spans", *(["row"] if carry else []))
@@ -303,20 +372,29 @@ def span_text(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["k"]), x["s"].cast("string"), x["e"].cast("string"))))
 
 
+CHUNK = 1024  # code points; a span's text is cut out of the chunks that hold it
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span, or run of overlapping spans, replaced by the
-    first one's kind in brackets."""
-    ordered = F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+    first one's kind in brackets. Time grows with the text and the spans, not
+    with their product."""
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    ordered = F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["k"].alias("k"))))
+
+    def cut(chunks: Column, a: Column, b: Column) -> Column:
+        i = F.floor(a / CHUNK).cast("int")
+        held = F.array_join(F.slice(chunks, i + 1, F.floor((b - 1) / CHUNK).cast("int") - i + 1), "")
+        return F.when(a < b, F.substring(held, a - i * CHUNK + 1, b - a)).otherwise(F.lit(""))
+
+    def build(chunks: Column, rows: Column) -> Column:
+        def join(ends: Column) -> Column:
+            done = F.transform(_moved(ends, "int"), lambda e: F.coalesce(e, F.lit(0)))
+            parts = F.zip_with(rows, done, lambda x, e: F.when(x["s"] >= e, F.concat(cut(chunks, e, x["s"]), F.get(names, x["k"]))).otherwise(F.lit("")))
+            return F.concat(F.array_join(parts, ""), cut(chunks, F.element_at(ends, -1), F.length(text)))
 
-    def step(acc: Column, x: Column) -> Column:
-        new = x["s"] >= acc["at"]
-        gap = F.substring(text, acc["at"] + 1, x["s"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], x["e"]).cast("int").alias("at"),
-            F.when(new, F.concat(acc["out"], F.array(gap, F.get(names, x["k"])))).otherwise(acc["out"]).alias("out"),
-        )
+        return _let(_scan(F.transform(rows, lambda x: x["e"]), lambda x, y: F.greatest(x, y)), join)
 
-    done = F.aggregate(ordered, start, step, lambda acc: F.concat_ws("", acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    done = _let(chunks, lambda c: _let(ordered, lambda rows: build(c, rows)))
     return F.when(F.size(spans) > 0, done).otherwise(text)

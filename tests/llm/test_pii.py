@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 from pyspark.sql import functions as F
 from test_support import SCHEMA, empty_docs, key, odd_docs
@@ -86,3 +88,41 @@ def test_no_python_on_the_path(spark):
     made = pii.proposals(spark.createDataFrame([(1, "a@b.co", "en", "a", 1)], SCHEMA), "doc_id", "text", False)
     plan = made._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_texts_of_very_many_matches(spark):
+    """Time grows with the matches, not with their square."""
+    parts = [f"u{i}@mail{i}.example.org, 4644 3483 9801 0899; 10.0.{i % 256}.{i % 300} é\U0001f600 +49 30 12{i:05d}\n" for i in range(5000)]
+    text = "".join(parts)
+    rows = [(1, text, "en", "a", 1), (2, "4644348398010899 " * 3000, "en", "a", 1), (3, "555-123-4567 x " * 3000, "en", "a", 1)]
+    start = time.time()
+    got = pii.find_spans(spark, spark.createDataFrame(rows, SCHEMA), carry=True).withColumn("red", pii.redacted(F.col("row.text"), F.col("spans")))
+    got = {r.doc_id: r for r in got.collect()}
+    assert time.time() - start < 90
+    for i, t, *_ in rows:
+        spans = sorted((s, e, k) for k, s, e in got[i].spans)
+        assert sorted((k, s, e) for k, s, e in got[i].base) == base(t)
+        at, out = 0, []
+        for s, e, k in spans:
+            if s >= at:
+                out += [t[at:s], f"[{pii.KINDS[k].upper()}]"]
+            at = max(at, e)
+        assert got[i].red == "".join(out) + t[at:]
+    assert len(got[1].base) > 19000
+
+
+def test_choice_of_proposals(spark):
+    """Those free of base spans, best score first, as by definition."""
+    rng = random.Random(5)
+    for n in (0, 1, 2, 7, 60):
+        base_rows = [(k, s, s + rng.randint(1, 9)) for k in range(4) for s in sorted(rng.sample(range(400), n // 8))]
+        more = [(s, s + rng.randint(1, 20), rng.randint(0, 3), rng.choice([0.5, 1.0, rng.random()])) for s in rng.sample(range(400), n)]
+        df = spark.createDataFrame([(base_rows, more)], "b array<struct<k:int,s:int,e:int>>, m array<struct<s:int,e:int,k:int,z:double>>")
+        r = df.select(pii._free(F.col("b"), F.col("m")).alias("f"), pii._best(F.sort_array("m")).alias("t")).first()
+        meets = lambda a, b: a[0] < b[1] and b[0] < a[1]
+        assert [tuple(x) for x in r.f] == sorted(x for x in more if not any(meets(x, b[1:]) for b in base_rows))
+        taken = []
+        for z, k, s, e in sorted((-z, k, s, e) for s, e, k, z in more):
+            if not any(meets((s, e), y[1:]) for y in taken):
+                taken.append((k, s, e))
+        assert sorted(map(tuple, r.t)) == sorted(taken)
