@@ -186,7 +186,9 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
     picked = [lab.where(F.col("y") == v).orderBy("h", "k").limit(sample_rows) for v in (0, 1)]
     chosen = picked[0].unionByName(picked[1])  # at most 2 * sample_rows short rows: safe to broadcast
     rows = docs.select(F.col(id_col).cast("string").alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(chosen), "k")
-    rows = rows.dropDuplicates(["k"]).select("t", "y", (F.pmod("h", F.lit(5)) == 0).alias("held"))
+    # of several texts of one id, that of the smallest hash
+    rows = rows.groupBy("k").agg(F.min_by("t", F.struct(F.xxhash64("t"), F.col("t"))).alias("t"), F.first("y").alias("y"), F.first("h").alias("h"))
+    rows = rows.select("t", "y", (F.pmod("h", F.lit(5)) == 0).alias("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]

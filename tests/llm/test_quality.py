@@ -8,7 +8,7 @@ import zlib
 from collections import Counter
 
 from conftest import SF_MID
-from test_support import empty_docs, key, odd_docs, odd_rows, words
+from test_support import SCHEMA, empty_docs, key, odd_docs, odd_rows, prose, words
 
 from quire.llm import queries
 from quire.llm import quality_classifier as Q
@@ -93,3 +93,11 @@ def test_a_text_scores_alike_beside_any_neighbours():
         rows = [text + " good" if k else text + " bad" for k in y]
         fitted = [R.fit(pa.array(rows + [tail]), np.append(y, 0), np.arange(21) >= 20).weights for tail in ("x", "quite other words")]
         assert np.array_equal(*fitted)
+
+
+def test_texts_of_one_id_give_one_model(spark):
+    """The sample's text of an id doesn't hang on partitions or order."""
+    rows = [(k % 40, prose(k, 60 + k), "en", "a", 1) for k in range(120)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality long")
+    one, two = (train(spark, spark.createDataFrame(r, SCHEMA).repartition(n), labels) for r, n in ((rows, 1), (rows[::-1], 5)))
+    assert abs(one.weights - two.weights).max() < 1e-5 and abs(one.bias - two.bias) < 1e-5
