@@ -18,8 +18,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     Each round hooks every node's larger neighbours to its smallest one, then
     its smaller neighbours likewise; both are a combined minimum per node and a
-    join, which Spark splits at a node with many links. Each round's edges are
-    written to the shared folder. It ends when a round changes nothing: after a
+    join. The minima are written before they are joined, as Spark splits a join
+    at a node with many links only if both sides come straight from a shuffle
+    (an aggregate below the join has no shuffle of its own). Each round's edges
+    are written to the shared folder. It ends when a round changes nothing: after a
     logarithmic number of rounds, and then the edges are the stars themselves.
     """
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -28,10 +30,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     stamp = None
     while True:
         both = e.where("u != v").select("u", "v").unionByName(e.where("u != v").select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = _written(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = _written(spark, large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = _written(spark, large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         e = _written(spark, small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -250,12 +250,15 @@ def similar_documents(
     # 2. neighbourhoods
     bands = classes.select("node", "sig").mapInArrow(_bands, "band long, node long")
     shared = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("node").alias("low")).where("c > 1").select("band", "low")
+    # aggregates are written before they are joined, so that a hot key's join is split
+    shared = spark.read.parquet(write_scratch(shared, "shared"))
     near = components(spark, bands.join(shared.hint("merge"), "band").select(F.col("node").alias("u"), F.col("low").alias("v")))
     near = near.join(classes.select("node", "copies", "n", F.col("lead.no").alias("no")), "node")
     near = spark.read.parquet(write_scratch(near, "near"))
     # 3. tiles
     size = near.groupBy("root").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     size = size.select("root", F.greatest(F.ceil(F.col("c") / TILE_CLASSES), F.ceil(F.col("s") / TILE_SHINGLES)).cast("int").alias("tiles"))
+    size = spark.read.parquet(write_scratch(size, "sizes"))
     placed = near.join(size, "root").withColumn("block", F.pmod(F.xxhash64("node", F.lit(9)), "tiles").cast("int"))
     one = placed.select("no", "node", "root", "copies", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k"))
     one = one.select("no", "node", "root", "copies", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"))
@@ -269,7 +272,8 @@ def similar_documents(
     total = told.groupBy("node").agg(F.sum("links").alias("links"))
     every = classes.join(groups, "node", "left").join(total, "node", "left")
     every = every.select("a", "b", F.coalesce("root", "node").alias("root"), "lead", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    heads = every.groupBy("root").agg(F.min("lead").alias("head"))
+    every = spark.read.parquet(write_scratch(every, "linked"))
+    heads = spark.read.parquet(write_scratch(every.groupBy("root").agg(F.min("lead").alias("head")), "heads"))
     every = every.join(heads, "root").select("a", "b", "n_links", "head")
     out = rows.join(every, ["a", "b"], "left")
     own = F.col("a").isNull()
