@@ -1,10 +1,8 @@
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 from test_support import SCHEMA, empty_docs, key, odd_docs, odd_rows, prose, words
 
 from quire.llm import ngram_join
-from quire.llm.components import components
 from quire.llm.ngram_join import least_matches, similar_documents
 
 
@@ -60,33 +58,3 @@ def test_rows_are_carried_and_empty_table(spark):
 def test_pruning_keeps_similar_pairs():
     least = least_matches(0.8, 1e-8)
     assert least == sorted(least) and least[0] < 0.3 * 16 and 0.4 * 128 < least[-1] < 0.8 * 128
-
-
-def test_joins_at_a_hot_node_are_split(spark):
-    """The second half of a round of stars: edges of one hot node against the
-    written minima, and the same with the minima straight below the join."""
-    from quire.session import write_scratch
-
-    low_limits = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    before = {k: spark.conf.get(k, None) for k in low_limits}
-    edges = spark.range(60000, numPartitions=8).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7)).alias("u"), F.col("id").alias("v"))
-    edges = spark.read.parquet(write_scratch(edges, "edges"))
-    try:
-        for k, v in low_limits.items():
-            spark.conf.set(k, v)
-        low = edges.groupBy("u").agg(F.min("v").alias("m"))
-        plans = []
-        for side in (low, spark.read.parquet(write_scratch(low, "low"))):
-            joined = edges.join(side, "u").select("v", "m").distinct()
-            joined.collect()
-            plans.append(joined._jdf.queryExecution().executedPlan().toString())
-        assert "skew=true" not in plans[0] and "skew=true" in plans[1]
-        found = components(spark, edges)
-        assert {r.root for r in found.where("node % 3 != 0 or node = 7").collect()} == {1}
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
