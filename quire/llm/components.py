@@ -18,8 +18,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
     Each round hooks every node's larger neighbours to its smallest one, then
     its smaller neighbours likewise; both are a combined minimum per node and a
-    join, which Spark splits at a node with many links. Each round's edges are
-    written to the shared folder. It ends when a round changes nothing: after a
+    join (with an aggregate below it, so a node with many links is one task).
+    Each round's edges are written to the shared folder. It ends when a round changes nothing: after a
     logarithmic number of rounds, and then the edges are the stars themselves.
     """
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

@@ -260,7 +260,7 @@ def similar_documents(
     one = placed.select("no", "node", "root", "copies", "block", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("k"))
     one = one.select("no", "node", "root", "copies", "block", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"))
     # both sides of these two joins grow with the corpus, so they are sort-merge
-    # joins at any size (and split where a key is hot)
+    # joins at any size
     texts = rows.select("no", F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit("")).alias("text")) if carry else rows.select("no", "text")
     told = texts.join(one.hint("merge"), "no").groupBy("root", "i", "j").applyInArrow(_tile(words, least, num, den), "node long, links long, to long")
     told = spark.read.parquet(write_scratch(told, "links"))
