@@ -5,7 +5,8 @@ larger corpus, and hash buckets for the rest, from counts over all documents; a
 word of a bucket has the bucket's probability by its own share of the bucket's
 count, which Spark joins for rare words. A network in numpy predicts every word
 from two words on each side: an embedding per side position, one hidden layer,
-and a softmax in two levels (class, then word). Every task trains a copy on the
+and a softmax in two levels (class, then word). The words' ids are written once
+and read by all passes that follow. Every task trains a copy on the
 positions of its own documents, a part of them in each round and all of them in
 the end; the copies are averaged by Spark in two levels, and the next round
 starts from the average. A document's score is the sum of the conditional
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.textarrays import Texts, U, chunks, mix64, text_column
+from quire.llm.textarrays import Texts, U, chunks, mix64, offsets, text_column
 
 CLASSES, PER_CLASS = 64, 40
 SIZE = CLASSES * PER_CLASS  # at least; a fifth of the ids are buckets
@@ -35,6 +36,7 @@ ROUNDS = SHARE = 2  # a round trains on one in SHARE positions, the rounds toget
 BATCH, RATE = 4096, 0.1
 SCORED = 1 << 13  # positions scored at once
 PARTS = 32  # pieces in which weights travel
+TAME = 60  # scores up to this size, their exponentials and sums stay within single precision
 
 
 @dataclass
@@ -56,6 +58,11 @@ class Vocabulary:
     def words(self) -> int:
         return self.size - self.size // 5
 
+    @property
+    def stored(self) -> np.dtype:
+        """Type of the ids where they are written."""
+        return np.dtype(np.uint16 if self.size < 1 << 16 else np.uint32)
+
     def encode(self, names: np.ndarray) -> np.ndarray:
         out = (self.words + (mix64(names) % U(self.size // 5)).astype(np.int64)).astype(np.int32)
         at, hit = _find(self.names, names)
@@ -175,26 +182,50 @@ class Network:
         for p in range(1, len(SIDES)):
             a += self.embed[p].take(context[:, p], axis=0)
         a += self.hidden
-        return np.tanh(a, out=a)
-
-    def _inner(self, h: np.ndarray, edges: list[int], group: np.ndarray) -> np.ndarray:
+        # tanh(a) = 2 / (1 + exp(-2 a)) - 1, faster than numpy's own
+        a *= -2
+        with np.errstate(over="ignore"):
+            np.exp(a, out=a)
+        a += 1
+        np.divide(2, a, out=a)
+        a -= 1
+        return a
+
+    def _outer(self, h: np.ndarray) -> np.ndarray:
+        """Scores of the classes."""
+        z = h @ self.classes
+        z += self.class_bias
+        return z
+
+    def _inner(self, h: np.ndarray, edges: list[tuple[int, int, int]], group: np.ndarray) -> np.ndarray:
         """Scores of the words of each row's class; rows are in order of classes."""
-        y = np.empty((len(h), self.shape[1]), np.float32)
-        for g, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-            if b > a:
-                np.matmul(h[a:b], self.words[g], out=y[a:b])
+        y = np.empty((len(h), self.shape[1]), h.dtype)
+        for g, a, b in edges:
+            np.matmul(h[a:b], self.words[g], out=y[a:b])
         y += self.word_bias.take(group, axis=0)
         return y
 
-    def log_prob(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    def _tame(self) -> tuple[bool, bool]:
+        """Whether no class or word can have a score beyond TAME, as hidden values lie in -1..1."""
+        outer = np.abs(self.classes).sum(axis=0).max() + np.abs(self.class_bias).max()
+        inner = np.abs(self.words).sum(axis=1).max() + np.abs(self.word_bias).max()
+        return outer <= TAME, inner <= TAME
+
+    def _ordered(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+        """Order of the rows by target, their classes, their words in these, and
+        (class, first row, end) of each class there."""
         order = _sorted(target, self.shape[0] * self.shape[1])
         group, inner = np.divmod(target[order], self.shape[1])
+        ends = np.searchsorted(group, np.arange(self.shape[0] + 1)).tolist()
+        return order, group, inner, [(g, a, b) for g, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if b > a]
+
+    def log_prob(self, context: np.ndarray, target: np.ndarray, tame: tuple[bool, bool] | None = None) -> np.ndarray:
+        order, group, inner, edges = self._ordered(target)
         rows, h = np.arange(len(order)), self.hide(context[order])
-        edges = np.searchsorted(group, np.arange(self.shape[0] + 1)).tolist()
         sums = []
-        for z, at in ((h @ self.classes + self.class_bias, group), (self._inner(h, edges, group), inner)):
+        for z, at, small in zip((self._outer(h), self._inner(h, edges, group)), (group, inner), tame or self._tame(), strict=True):
             own = z[rows, at]
-            total, top = _exp(z)
+            total, top = _exp(z, small)
             sums.append(own - top - np.log(total))
         out = np.empty(len(order), np.float32)
         out[order] = sums[0] + sums[1]
@@ -204,57 +235,70 @@ class Network:
         """One Adagrad step on a batch, taken in order of the targets so that each
         class is one range of rows; ``past`` sums the squared gradients. Of the
         embeddings only the rows of words in the batch are touched."""
-        n = len(target)
-        seen = Network(past, self.shape)
-        order = _sorted(target, self.shape[0] * self.shape[1])
+        seen, tame = Network(past, self.shape), self._tame()
+        order, group, inner, edges = self._ordered(target)
         context = context[order]
-        group, inner = np.divmod(target[order], self.shape[1])
-        rows, h = np.arange(n), self.hide(context)
-        edges = np.searchsorted(group, np.arange(self.shape[0] + 1)).tolist()
-        dz = h @ self.classes + self.class_bias
-        _slope(dz, rows, group)
-        dh = dz @ self.classes.T
-        dy = self._inner(h, edges, group)
-        _slope(dy, rows, inner)
-        words, bias, ones = np.zeros_like(self.words), np.zeros_like(self.word_bias), np.ones(n, np.float32)
-        for g, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-            if b > a:
-                np.matmul(h[a:b].T, dy[a:b], out=words[g])
-                np.matmul(ones[a:b], dy[a:b], out=bias[g])
-                dh[a:b] += dy[a:b] @ self.words[g].T
-        da = dh * (1 - h * h)
-        found = {"hidden": da.sum(axis=0), "classes": h.T @ dz, "class_bias": dz.sum(axis=0), "words": words, "word_bias": bias}
+        rows, h = np.arange(len(order)), self.hide(context)
+        one = np.ones((len(order), HIDDEN + 1), h.dtype)  # a column of ones sums the biases' slopes
+        one[:, :HIDDEN] = h
+        dz, dy = self._outer(h), self._inner(h, edges, group)
+        _slope(dz, rows, group, tame[0])
+        _slope(dy, rows, inner, tame[1])
+        words, dh = np.zeros((self.shape[0], HIDDEN + 1, self.shape[1]), h.dtype), np.empty_like(h)
+        for g, a, b in edges:
+            np.matmul(one[a:b].T, dy[a:b], out=words[g])
+            np.matmul(dy[a:b], self.words[g].T, out=dh[a:b])
+        dh += dz @ self.classes.T
+        h *= h
+        np.subtract(1, h, out=h)
+        dh *= h
+        classes = one.T @ dz
+        found = {"hidden": dh.sum(axis=0), "classes": classes[:HIDDEN], "class_bias": classes[HIDDEN], "words": words[:, :HIDDEN], "word_bias": words[:, HIDDEN]}
         for name, g in found.items():
             w, s = getattr(self, name), getattr(seen, name)
             s += g * g
             w -= RATE * g / (np.sqrt(s) + 1e-6)
+        slopes = np.ascontiguousarray(dh.T, np.float64)
         for p in range(len(SIDES)):
-            by = _sorted(context[:, p], self.embed.shape[1])
-            c = context[by, p]
-            first = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-            g, at = np.add.reduceat(da.take(by, axis=0), first, axis=0), c[first]
+            at, place = _distinct(context[:, p], self.embed.shape[1])
+            g = np.empty((len(at), HIDDEN), h.dtype)
+            for j in range(HIDDEN):
+                g[:, j] = np.bincount(place, weights=slopes[j], minlength=len(at))
             s = seen.embed[p].take(at, axis=0) + g * g
             seen.embed[p][at] = s
             self.embed[p][at] -= RATE * g / (np.sqrt(s) + 1e-6)
 
 
+def _distinct(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids below ``size``, and each one's place among them."""
+    by = _sorted(ids, size)
+    c = ids[by]
+    new = np.concatenate([[True], c[1:] != c[:-1]])
+    place = np.empty(len(ids), np.int64)
+    place[by] = np.cumsum(new) - 1
+    return c[new], place
+
+
 def _sorted(ids: np.ndarray, size: int) -> np.ndarray:
     """Stable order of ids below ``size``; 16-bit ones are sorted by radix."""
     return np.argsort(ids.astype(np.uint16) if size < 1 << 16 else ids, kind="stable")
 
 
-def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials in place of scores, less each row's largest; their sums and that."""
-    top = z.max(axis=1)
-    z -= top[:, None]
+def _exp(z: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray | int]:
+    """Exponentials in place of scores, less each row's largest unless all are
+    ``tame``; their sums and what was taken off."""
+    top: np.ndarray | int = 0
+    if not tame:
+        top = z.max(axis=1)
+        z -= top[:, None]
     np.exp(z, out=z)
-    return z.sum(axis=1), top
+    return z @ np.ones(z.shape[1], z.dtype), top
 
 
-def _slope(z: np.ndarray, rows: np.ndarray, at: np.ndarray) -> None:
+def _slope(z: np.ndarray, rows: np.ndarray, at: np.ndarray, tame: bool) -> None:
     """In place of scores, the slope of the mean loss of a softmax."""
-    total, _ = _exp(z)
-    z /= (total * len(z))[:, None]
+    total, _ = _exp(z, tame)
+    z *= (1 / (total * len(z)))[:, None]
     z[rows, at] -= np.float32(1 / len(z))
 
 
@@ -274,15 +318,65 @@ def contexts(ids: np.ndarray, doc: np.ndarray, at: np.ndarray, size: int = SIZE)
     return out
 
 
-def turn(t: Texts, k: int, share: int) -> np.ndarray:
+class Coded:
+    """Word ids of some texts, with the layout of Texts: ``names`` are the ids."""
+
+    def __init__(self, col: pa.Array, v: Vocabulary):
+        off, kind = offsets(col), v.stored
+        raw = col.buffers()[2] if off[-1] > off[0] else b""
+        self.ids = np.frombuffer(raw, kind, int(off[-1] - off[0]) // kind.itemsize, int(off[0]) if raw else 0).astype(np.int32)
+        self.bounds = (off - off[0]) // kind.itemsize
+        self.doc = np.repeat(np.arange(len(col)), np.diff(self.bounds))
+
+    @property
+    def names(self) -> np.ndarray:
+        return self.ids.astype(np.uint64)
+
+
+def turn(t: Texts | Coded, k: int, share: int) -> np.ndarray:
     """Positions of round ``k``: one residue of a hash of the word and its place in
     its text, so that any ``share`` rounds in a row have each position once."""
-    place = np.arange(len(t.names)) - t.bounds[:-1][t.doc]
+    place = np.arange(len(t.doc)) - t.bounds[:-1][t.doc]
     return np.flatnonzero(mix64(t.names ^ mix64(place.astype(np.uint64))) % U(share) == k % share)
 
 
+def coded(docs: DataFrame, v: Vocabulary, id_col: str | None = None, text_col: str = "text") -> DataFrame:
+    """(row, id, n_words, share, rare, ids) of each row, written once for the
+    passes of training and scoring: the words' ids as packed integers, the sum of
+    the logs of their shares, and the names of words whose share isn't at hand."""
+    from quire.session import write_scratch
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            col = text_column(batch.column(2))
+            for i, m in chunks(col):
+                t = Texts(col.slice(i, m))
+                ids = v.encode(t.names)
+                share, rare = v.shares(t.names, ids)
+                total = np.bincount(t.doc, weights=share, minlength=m).astype(np.float64)  # of no words at all: integers
+                edges = np.searchsorted(rare, t.bounds).astype(np.int32)
+                rare = pa.ListArray.from_arrays(pa.array(edges), pa.array(t.names[rare].view(np.int64)))
+                raw, ends = ids.astype(v.stored).tobytes(), (t.bounds * v.stored.itemsize).tolist()
+                packed = pa.array([raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+                yield pa.record_batch(
+                    [batch.column(0).slice(i, m), batch.column(1).slice(i, m), pa.array(t.n_words.astype(np.int64)), pa.array(total), rare, packed],
+                    names=["row", "id", "n_words", "share", "rare", "ids"],
+                )
+
+    id_ = F.col(id_col) if id_col else F.lit(None).cast("int")
+    src = docs.select(F.monotonically_increasing_id().alias("row"), id_.alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    kind = src.schema[1].dataType.simpleString()
+    # written, so that a row keeps its number
+    made = src.mapInArrow(run, f"row long, id {kind}, n_words long, share double, rare array<long>, ids binary")
+    return docs.sparkSession.read.parquet(write_scratch(made, "word-ids"))
+
+
 def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "text", rounds: int = ROUNDS, share: int = SHARE) -> Network:
-    src = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    return train_coded(spark, coded(docs, v, text_col=text_col), v, rounds, share)
+
+
+def train_coded(spark: SparkSession, rows: DataFrame, v: Vocabulary, rounds: int = ROUNDS, share: int = SHARE) -> Network:
+    """The network after ``rounds`` over the word ids of ``rows``."""
     net = Network.fresh(v)
     cut = -(-len(net.flat) // PARTS)
     for k in range(rounds):
@@ -291,21 +385,17 @@ def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "
         def run(batches: Iterator[pa.RecordBatch], shared=shared, k: int = k) -> Iterator[pa.RecordBatch]:
             v, start = shared.value
             own, past, n = Network(start.copy(), v.shape), np.full(len(start), 1e-6, np.float32), 0
-            wait: list[tuple[np.ndarray, np.ndarray]] = []
+            x, y = np.empty((0, len(SIDES)), np.int32), np.empty(0, np.int32)
             for batch in batches:
-                col = text_column(batch.column(0))
-                for i, m in chunks(col):
-                    t = Texts(col.slice(i, m))
-                    ids = v.encode(t.names)
+                for i, m in chunks(batch.column(0)):
+                    t = Coded(batch.column(0).slice(i, m), v)
                     at = turn(t, k, share)
-                    wait.append((contexts(ids, t.doc, at, v.size), ids[at]))
-                    while sum(len(y) for _, y in wait) >= BATCH:
-                        x, y = (np.concatenate(z) for z in zip(*wait, strict=True))
-                        own.step(x[:BATCH], y[:BATCH], past)
-                        n += BATCH
-                        wait = [(x[BATCH:], y[BATCH:])]
-            if wait and sum(len(y) for _, y in wait):
-                x, y = (np.concatenate(z) for z in zip(*wait, strict=True))
+                    x, y = np.concatenate([x, contexts(t.ids, t.doc, at, v.size)]), np.concatenate([y, t.ids[at]])
+                    full = len(y) - len(y) % BATCH
+                    for j in range(0, full, BATCH):
+                        own.step(x[j : j + BATCH], y[j : j + BATCH], past)
+                    x, y, n = x[full:], y[full:], n + full
+            if len(y):
                 own.step(x, y, past)
                 n += len(y)
             if n:
@@ -321,7 +411,7 @@ def train(spark: SparkSession, docs: DataFrame, v: Vocabulary, text_col: str = "
             out = (total / n.sum()).astype(np.float32).tobytes()
             return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "n": pa.array([int(n.sum())], pa.int64()), "w": pa.array([out], pa.binary())})
 
-        got = src.mapInArrow(run, "part int, seat int, n long, w binary")
+        got = rows.select("ids").mapInArrow(run, "part int, seat int, n long, w binary")
         got = got.groupBy("part", "seat").applyInArrow(mean, "part int, n long, w binary")
         got = got.groupBy("part").applyInArrow(mean, "part int, n long, w binary").collect()
         if got:
@@ -341,39 +431,31 @@ def lm_scores(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text
     visits documents in the order of their partitions, so other partitions give
     slightly different weights.
     """
-    from quire.session import write_scratch
-
-    if model is None:
-        v = vocabulary(docs, text_col)
-        model = (v, train(spark, docs, v, text_col))
-    shared = spark.sparkContext.broadcast((model[0], model[1].flat))
+    v = model[0] if model else vocabulary(docs, text_col)
+    rows = coded(docs, v, id_col, text_col)
+    net = model[1] if model else train_coded(spark, rows, v)
+    shared = spark.sparkContext.broadcast((v, net.flat))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, flat = shared.value
         net = Network(flat, v.shape)
+        tame = net._tame()
         for batch in batches:
-            col = text_column(batch.column(2))
+            col = batch.column(4)
             for i, m in chunks(col):
-                t = Texts(col.slice(i, m))
-                ids, doc = v.encode(t.names), t.doc
-                share, rare = v.shares(t.names, ids)
-                total = np.bincount(doc, weights=share, minlength=m).astype(np.float64)  # of no words at all: integers
-                for k in range(0, len(ids), SCORED):
-                    at = np.arange(k, min(k + SCORED, len(ids)))
-                    total += np.bincount(doc[at], weights=net.log_prob(contexts(ids, doc, at, v.size), ids[at]), minlength=m)
-                edges = np.searchsorted(rare, t.bounds).astype(np.int32)
-                rare = pa.ListArray.from_arrays(pa.array(edges), pa.array(t.names[rare].view(np.int64)))
-                yield pa.record_batch([batch.column(0).slice(i, m), batch.column(1).slice(i, m), pa.array(t.n_words.astype(np.int64)), pa.array(total), rare], names=["row", "id", "n_words", "log_prob", "rare"])
-
-    src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    kind = src.schema[1].dataType.simpleString()
-    # written, so that a row keeps its number
-    path = write_scratch(src.mapInArrow(run, f"row long, id {kind}, n_words long, log_prob double, rare array<long>"), "lm-scores")
-    rows = spark.read.parquet(path)
-    out, log_prob = rows.drop("rare"), F.col("log_prob")
-    if model[0].counts:
+                t = Coded(col.slice(i, m), v)
+                total = batch.column(3).slice(i, m).to_numpy().copy()
+                for k in range(0, len(t.ids), SCORED):
+                    at = np.arange(k, min(k + SCORED, len(t.ids)))
+                    total += np.bincount(t.doc[at], weights=net.log_prob(contexts(t.ids, t.doc, at, v.size), t.ids[at], tame), minlength=m)
+                yield pa.record_batch([*[batch.column(c).slice(i, m) for c in range(3)], pa.array(total)], names=["row", "id", "n_words", "log_prob"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    out = rows.select("row", "id", "n_words", "share", "ids").mapInArrow(run, f"row long, id {kind}, n_words long, log_prob double")
+    log_prob = F.col("log_prob")
+    if v.counts:
         # counts of rare words; one seen once adds nothing
-        often = spark.read.parquet(model[0].counts).where("n > 1")
+        often = spark.read.parquet(v.counts).where("n > 1")
         more = rows.select("row", F.explode("rare").alias("w")).join(often, "w").groupBy("row").agg(F.sum(F.log("n")).alias("more"))
         out, log_prob = out.join(more, "row", "left"), log_prob + F.coalesce("more", F.lit(0.0))
     return out.select(F.col("id").alias(id_col), "n_words", log_prob.alias("log_prob"), (log_prob / F.greatest("n_words", F.lit(1))).alias("mean_log_prob"))
