@@ -12,9 +12,9 @@ from quire.operators.cdc import cdc_decode
 from quire.operators.stats_json import flatten_statistics
 from quire.operators.words import word_count_updates
 from quire.plans import fixtures as FX
-from quire.session import scratch_path
+from quire.session import is_folder, scratch_path
 from quire.sources.connectors import as_text_pairs
-from quire.sources.tables import load
+from quire.sources.tables import load, table_path
 from quire.streaming import jobs as J
 from quire.streaming.bars import on_rocksdb, open_bars, timed_bars
 from quire.streaming.listener import ProgressTable
@@ -26,7 +26,13 @@ MACD_WINDOW = ("780 minutes", "30 minutes")
 
 
 def _file_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table as a file stream. The source reads folders: that of a table in
+    several files, or, for a table in one file, the data folder with all other
+    files left out."""
     schema = load(spark, sf_dir, table).schema  # footer read only
+    path = table_path(sf_dir, table)
+    if is_folder(spark, path):
+        return J.source(spark, "parquet", path=path, schema=schema)
     return J.source(spark, "parquet", path=sf_dir, schema=schema, path_glob=f"{table}.parquet")
 
 

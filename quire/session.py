@@ -149,6 +149,12 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a path is a folder in whatever file system it lies."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(hadoop_path)
+
+
 def complete_folders(spark: SparkSession, folder: str, prefix: str, mark: str | None = "_SUCCESS") -> list[int]:
     """Numbers of the ``<prefix><number>`` folders below a folder, ascending;
     with ``mark`` only those whose write was committed."""

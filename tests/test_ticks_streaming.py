@@ -241,6 +241,38 @@ def test_stream_word_count_complete_mode(spark):
     assert sorted((r.word, r["count"]) for r in spark.read.parquet(f"{out}/batch_id=0").collect()) == [("a", 2), ("b", 2)]
 
 
+@pytest.mark.parametrize("layout", ["file", "files", "partitions", "no rows"])
+def test_stream_word_count_of_a_table_in_any_layout(spark, layout):
+    from quire.plans.streams import stream_word_count
+
+    folder = _documents(spark, layout)
+    got = sorted((r.word, r["count"]) for r in stream_word_count(spark, folder).collect())
+    assert got == ([] if layout == "no rows" else [("a", 4), ("b", 2), ("c", 1)])
+
+
+def _documents(spark, layout: str) -> str:
+    """A data folder of a documents table: one file, a folder of several files, one
+    of partitions, one of a file without rows; and another table beside it."""
+    folder = scratch_path(spark, "tables")
+    path = f"{folder}/documents.parquet"
+    docs = spark.createDataFrame([(1, "a b a", "x"), (2, "B c", "y"), (3, None, "x"), (None, "a A", "y")], "doc_id long, text string, lang string")
+    if layout == "file":
+        import os
+
+        import pyarrow.parquet as pq
+
+        os.makedirs(folder)
+        pq.write_table(docs.toArrow(), path)
+    elif layout == "files":
+        docs.repartition(3).write.parquet(path)
+    elif layout == "partitions":
+        docs.write.partitionBy("lang").parquet(path)
+    else:
+        docs.limit(0).write.parquet(path)
+    spark.createDataFrame([("z",)], "text string").write.parquet(f"{folder}/pages.parquet")
+    return folder
+
+
 def test_a_time_limit_is_only_on_request(spark):
     src = scratch_path(spark, "slow-src")
     spark.range(4).write.parquet(src)
