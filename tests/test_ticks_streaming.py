@@ -250,6 +250,13 @@ def test_stream_word_count_of_a_table_in_any_layout(spark, layout):
     assert got == ([] if layout == "no rows" else [("a", 4), ("b", 2), ("c", 1)])
 
 
+def test_stream_word_text_of_a_table_in_several_files(spark):
+    from quire.plans.streams import stream_word_text
+
+    got = sorted(map(tuple, stream_word_text(spark, _documents(spark, "files")).collect()))
+    assert got == [("a", "4"), ("b", "2"), ("c", "1")]
+
+
 def _documents(spark, layout: str) -> str:
     """A data folder of a documents table: one file, a folder of several files, one
     of partitions, one of a file without rows; and another table beside it."""
