@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.textarrays import Texts, chunks, combine, spare, text_column
+from quire.session import write_scratch
 
 THRESHOLD = 0.7
 SHRINK = 0.1  # share of the pooled covariance
@@ -137,11 +138,20 @@ def discriminant(n: np.ndarray, total: np.ndarray, scatter: np.ndarray) -> Discr
     return Discriminant(mean, np.stack(whiten), np.asarray(log_det), prior)
 
 
-def _score_rows(model: Discriminant | None, names: list[str]):
-    """Batches of (..., t) to (..., x): the statistics, or with a model the score."""
+def _vectors(col: pa.Array) -> np.ndarray:
+    return col.flatten().to_numpy().reshape(-1, len(STATS))
+
+
+def _score_rows(model: Discriminant | None, names: list[str], measured: bool = False):
+    """Batches of (..., t) to (..., x): the statistics, or with a model the score.
+    With ``measured`` the last column holds the statistics and not the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if measured:
+                new = pa.array(model.score(_vectors(batch.column(batch.num_columns - 1))))
+                yield pa.record_batch([*batch.columns[:-1], new], names=names)
+                continue
             col = text_column(batch.column(batch.num_columns - 1))
             for i, n in chunks(col):
                 x = statistics(Texts(col.slice(i, n)))
@@ -151,14 +161,26 @@ def _score_rows(model: Discriminant | None, names: list[str]):
     return run
 
 
-def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Discriminant:
+def measure(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, stats_col: str = "stats") -> DataFrame:
+    """The ``carry`` columns (all by default) of each row and the STATS of its
+    whole text as ``stats_col``, which ``learn`` and ``quality_scores`` take in
+    place of the text. Written once, so that both read what one pass measured."""
+    rows = _by_text(docs, None, text_col, carry, stats_col, "array<double>")
+    return docs.sparkSession.read.schema(rows.schema).parquet(write_scratch(rows, "statistics"))
+
+
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stats_col: str | None = None) -> Discriminant:
     """Fit on the labelled rows whose crc32(id) mod 4 is not 2, each distinct
-    vector once per class; calibrate on a fifth of them."""
+    vector once per class; calibrate on a fifth of them. ``stats_col`` names the
+    statistics of ``measure``; without it the texts are measured."""
     key = F.col(id_col).cast("string")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lab = labels.where(F.col("quality").isin(0, 1)).select(key.alias("k"), F.col("quality").cast("int").alias("y"))
     lab = lab.where(F.col("k").isNotNull() & (F.crc32("k") % 4 != 2)).groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("y1")).where("y = y1").select("k", "y")
-    x = docs.select(key.alias("k"), text.alias("t")).mapInArrow(_score_rows(None, ["k", "x"]), "k string, x array<double>")
+    if stats_col is None:
+        text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+        x = docs.select(key.alias("k"), text.alias("t")).mapInArrow(_score_rows(None, ["k", "x"]), "k string, x array<double>")
+    else:
+        x = docs.select(key.alias("k"), F.col(stats_col).alias("x"))
     rows = x.join(lab, "k").groupBy("y", "x").agg(F.min("k").alias("k"))
     rows = rows.select("y", "x", (F.crc32("k") % 5 == 0).alias("hold"))
     dim = len(STATS)
@@ -166,7 +188,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, 1 + dim + dim * dim))
         for b in batches:
-            v = b.column(1).flatten().to_numpy().reshape(-1, dim)
+            v = _vectors(b.column(1))
             y, hold = b.column(0).to_numpy(), b.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for c in (0, 1):
                 u = v[(y == c) & ~hold]
@@ -190,7 +212,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
 
     def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            z = model.difference(b.column(1).flatten().to_numpy().reshape(-1, dim))
+            z = model.difference(_vectors(b.column(1)))
             yield pa.record_batch([b.column(0), pa.array(np.clip(np.rint(z / width), -100, 100).astype(np.int32))], names=["y", "z"])
 
     got = rows.where("hold").mapInArrow(bins, "y int, z int").groupBy("y", "z").count().collect()  # at most 402 rows
@@ -211,18 +233,27 @@ def _platt(rows: np.ndarray) -> tuple[float, float]:
     return max(float(q[0] / 10), 0.01), float(q[1])
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, model: Discriminant, text_col: str = "text", carry: list[str] | None = None, score_col: str = "score") -> DataFrame:
+def _by_text(docs: DataFrame, model: Discriminant | None, text_col: str, carry: list[str] | None, out_col: str, kind: str, stats_col: str | None = None) -> DataFrame:
+    """The ``carry`` columns and ``out_col``, of type ``kind``: see ``_score_rows``."""
+    keep = [c for c in (docs.columns if carry is None else carry) if c != out_col]
+    last = F.coalesce(F.col(text_col).cast("string"), F.lit("")) if stats_col is None else F.col(stats_col)
+    src = docs.select(*[F.col(f"`{c}`") for c in keep], last.alias(spare(keep)))
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
+    return src.mapInArrow(_score_rows(model, [*keep, out_col], stats_col is not None), f"{schema}`{out_col}` {kind}")
+
+
+def quality_scores(
+    spark: SparkSession, docs: DataFrame, model: Discriminant, text_col: str = "text", carry: list[str] | None = None, score_col: str = "score", stats_col: str | None = None
+) -> DataFrame:
     """The ``carry`` columns (all by default) and ``score_col`` of each row.
 
     Null and empty texts have the all-zero statistics and the score of those;
     whole texts of any length count; equal texts score alike; an empty table
     gives none. A carried column named as the score is replaced by it.
+    ``stats_col`` names the statistics of ``measure``; without it the texts are
+    measured.
     """
-    keep = [c for c in (docs.columns if carry is None else carry) if c != score_col]
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    src = docs.select(*[F.col(f"`{c}`") for c in keep], text.alias(spare(keep)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(_score_rows(model, [*keep, score_col]), f"{schema}, `{score_col}` double")
+    return _by_text(docs, model, text_col, carry, score_col, "double", stats_col)
 
 
 def held_out(id_col: str = "doc_id"):

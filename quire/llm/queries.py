@@ -28,8 +28,9 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quire.llm import quality_classifier as Q
 
     docs = _table(spark, sf_dir, "documents")
-    model = Q.learn(spark, docs, _table(spark, sf_dir, "labels"))
-    got = Q.quality_scores(spark, docs, model, carry=["doc_id"])
+    measured = Q.measure(docs, carry=["doc_id"])
+    model = Q.learn(spark, measured, _table(spark, sf_dir, "labels"), stats_col="stats")
+    got = Q.quality_scores(spark, measured, model, carry=["doc_id"], stats_col="stats")
     return got.select("doc_id", Q.held_out().alias("held_out"), "score", (F.col("score") >= Q.THRESHOLD).cast("int").alias("predicted"))
 
 

@@ -32,6 +32,30 @@ def test_classifier_on_held_out_rows(spark):
     assert sum(good) >= 0.95 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def test_classifier_measures_each_text_once(spark):
+    from quire.session import scratch_path
+
+    folder = scratch_path(spark, "op2")
+    docs, labels = odd_docs(spark), labels_of(spark, [(4, 1, 0), (8, 0, 0), (11, 1, 0), (9, 0, 0)])
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    got = queries.op2_quality_classifier(spark, folder)
+    # learning and scoring read the statistics that one pass over the texts wrote
+    assert not [f for f in got.inputFiles() if "documents.parquet" in f]
+    model = Q.learn(spark, docs, labels)
+    want = sorted((key(r.doc_id), r.score) for r in Q.quality_scores(spark, docs, model).collect())
+    rows = sorted((key(r.doc_id), r.score) for r in got.collect())
+    assert [k for k, _ in rows] == [k for k, _ in want] and len(rows) == len(odd_rows())
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(rows, want))
+
+
+def test_classifier_of_no_rows(spark):
+    measured = Q.measure(empty_docs(spark))
+    assert measured.columns == [*empty_docs(spark).columns, "stats"]
+    model = Q.learn(spark, measured, labels_of(spark), stats_col="stats")
+    assert Q.quality_scores(spark, measured, model, stats_col="stats").collect() == []
+
+
 def test_classifier_odd_rows(spark):
     docs = odd_docs(spark)
     for rows in ([], [(4, 1, 0), (8, 1, 0)], [(4, 1, 0), (8, 0, 0), (11, 1, 0), (9, 0, 0), (9, 1, 0), (None, 1, 0), (7, None, 0)]):
